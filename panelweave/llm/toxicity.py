@@ -24,8 +24,9 @@ from .langid import sample_labelled
 
 #: Labelled rows of each class that the scorer is fitted on.
 TRAIN_ROWS = 1500
-BUCKETS = 1 << 20
 ROUNDS = 120
+#: Boosting ends when no rule explains more.
+LEAST_EDGE = 0.03
 #: Characters decoded together; longer tokens are decoded in pieces.
 WINDOW = 48
 CACHE_WORDS = 200_000
@@ -39,7 +40,7 @@ SYMBOL = {c: k for k, c in enumerate(dict.fromkeys(LETTERS), 2)}
 N = 64
 
 # channel costs in nats
-COST_SIGN, COST_DROP_SEPARATOR, COST_DROP_REPEAT, COST_KEEP_REPEAT, COST_DROP_SIGN = 0.5, 0.3, 0.2, 3.0, 8.0
+COST_SIGN, COST_DROP_SEPARATOR, COST_DROP_REPEAT, COST_KEEP_REPEAT, COST_DROP_DOUBLE = 0.5, 0.3, 0.2, 3.0, 5.0
 
 EMAIL = r"\pL@[\w.-]+\.\pL|[/=\\]"
 DISGUISED = r"^[@$!|(]\pL|\pL[0-9@$!|+€£*#(]+\pL|\pL[0-9@$!]$|^[0-9]+\pL|^[\pL0-9@$!]([._\-*~'][\pL0-9@$!]){2,}"
@@ -102,15 +103,15 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             if run == 1:
                 out.append([(c, 0.0)])
             elif run == 2 and token[k + 1 : k + 2] != c:
-                out.append([(c, 0.0), ("", COST_DROP_REPEAT + 2)])
+                out.append([(c, 0.0), ("", COST_DROP_DOUBLE)])
             else:
                 out.append([(c, COST_KEEP_REPEAT), ("", COST_DROP_REPEAT)])
             continue
         options = [(x, COST_SIGN) for x in LEET.get(c, "")]
         if c in SEPARATORS:
             options += [("", COST_DROP_SEPARATOR), (" ", 0.0)]
-        elif options:
-            options += [("", COST_DROP_REPEAT)] if run > 1 else [("", COST_DROP_SIGN)]
+        elif options and run > 1:
+            options += [("", COST_DROP_REPEAT)]
         out.append(options or [(" ", 0.0)])
     return out
 
@@ -150,7 +151,7 @@ class Restorer:
         if token not in self.known:
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
-            self.known[token] = decode(token.lower().strip(TRIM), self.model).split()
+            self.known[token] = decode(token.lower().strip(TRIM).rstrip("!" + TRIM), self.model).split()
         return self.known[token]
 
     def words(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -201,8 +202,9 @@ def _thrice(words: pa.Array) -> np.ndarray:
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the 5- and 6-byte n-grams of each word between borders, and
-    the word of each."""
+    """64-bit keys of each whole word and of its 5- and 6-byte n-grams between
+    borders, and the word of each.  Keys are not folded into buckets: a rare n-gram must not
+    pass for one that a rule names."""
     cased = pc.utf8_lower(pa.array(words, pa.large_string()))
     core = pc.utf8_trim(cased, ".,;:?!\"'()[]{}<>*#%&$@|…-_=+~`")
     framed = pc.binary_join_element_wise(pa.scalar("^", pa.large_string()), core, pa.scalar("$", pa.large_string()), pa.scalar("", pa.large_string()))
@@ -217,15 +219,38 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for k in range(n):
             code = code * np.uint64(256) + data[k : k + m]
         fits = left[:m] >= n
-        grams.append((mix64(code[fits]) % np.uint64(BUCKETS)).astype(np.int64))
+        grams.append(mix64(code[fits]).view(np.int64))
         owners.append(owner[:m][fits])
+    if len(data):
+        place = np.arange(len(data)) - ends[:-1][owner]
+        power = np.cumprod(np.concatenate([[1], np.full(int(place.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+        grams.append(mix64(np.add.reduceat(data * power[place], ends[:-1]) + np.uint64(0x5BD1)).view(np.int64))
+        owners.append(np.arange(len(framed)))
     return np.concatenate(grams), np.concatenate(owners)
 
 
+#: Turns the key "holds this n-gram" into "holds it often": twice and once in
+#: ``OFTEN`` words at least.  Stems that clean texts hold by chance need it.
+OFTEN, OFTEN_KEY = 80, np.int64(0x2545F4914F6CDD1D)
+
+
+def text_keys(grams: np.ndarray, owner: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Distinct keys of a text with the words numbered ``words`` (repeats
+    included); grams are sorted by the word that owns them."""
+    mine, times = np.unique(words, return_counts=True)
+    i, j = np.searchsorted(owner, mine), np.searchsorted(owner, mine, side="right")
+    n = j - i
+    held = grams[np.repeat(i - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    keys, at = np.unique(held, return_inverse=True)
+    count = np.bincount(at, weights=np.repeat(times, n), minlength=len(keys))
+    return np.concatenate([keys, keys[(count >= 2) & (count * OFTEN >= len(words))] ^ OFTEN_KEY])
+
+
 @dataclass
 class ToxicityModel:
     chars: np.ndarray  # log trigram model
-    gains: np.ndarray  # of each bucket; 0 where it has no say
+    rules: np.ndarray  # keys of n-grams, ascending
+    gains: np.ndarray
     bias: float
 
     def margins(self, restorer: Restorer, texts: pa.Array) -> np.ndarray:
@@ -233,48 +258,58 @@ class ToxicityModel:
         out = np.full(len(texts), self.bias)
         if len(words):
             grams, owner = word_features(words)
-            told = self.gains[grams] != 0
-            grams, owner = grams[told], owner[told]
-            if len(grams):
-                order = np.argsort(owner, kind="stable")
-                grams, owner = grams[order], owner[order]
-                first, last = np.searchsorted(owner, word), np.searchsorted(owner, word, side="right")
+            size = np.bincount(text, minlength=len(texts))
+            for often in (False, True):
+                key = grams ^ OFTEN_KEY if often else grams
+                rule = np.minimum(np.searchsorted(self.rules, key), max(0, len(self.rules) - 1))
+                told = self.rules[rule] == key if len(self.rules) else np.zeros(len(key), bool)
+                if not told.any():
+                    continue
+                order = np.argsort(owner[told], kind="stable")
+                rule, by = rule[told][order], owner[told][order]
+                first, last = np.searchsorted(by, word), np.searchsorted(by, word, side="right")
                 n = last - first
                 take = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                pairs = np.unique(np.repeat(text, n) * BUCKETS + grams[take])
-                np.add.at(out, pairs // BUCKETS, self.gains[pairs % BUCKETS])
+                pairs, count = np.unique(np.repeat(text, n) * len(self.rules) + rule[take], return_counts=True)
+                if often:
+                    pairs = pairs[(count >= 2) & (count * OFTEN >= size[pairs // len(self.rules)])]
+                np.add.at(out, pairs // len(self.rules), self.gains[pairs % len(self.rules)])
         return out
 
 
-def boost(rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """Confidence-rated boosting of one-sided rules "holds this n-gram".
 
-    rows, features: distinct pairs; toxic: 0 or 1 of each row.  A rule needs
-    two toxic rows.  Returns the gain of each bucket and the bias.
+    rows, keys: distinct pairs; toxic: 0 or 1 of each row.  A rule needs three
+    toxic rows and a hundredth of all.  Weights are not scaled up again as rows
+    are explained, so chance rules never get a say when little is left.
+    Returns keys and gains of the rules, and the bias.
     """
-    gains, margin = np.zeros(BUCKETS), np.zeros(len(toxic))
+    margin, none = np.zeros(len(toxic)), (np.zeros(0, np.int64), np.zeros(0))
     n_toxic = int(toxic.sum())
     if not n_toxic or n_toxic == len(toxic):
-        return gains, (-2.0 if not n_toxic else 2.0)
+        return *none, (-2.0 if not n_toxic else 2.0)
+    named, times = np.unique(keys[toxic[rows] == 1], return_counts=True)
+    named = named[times >= max(3, 0.01 * n_toxic)]
+    if not len(named):
+        return *none, -2.0
+    place = np.minimum(np.searchsorted(named, keys), len(named) - 1)
+    useful = named[place] == keys
+    rows, features, count = rows[useful], place[useful], len(named)
+    gains = np.zeros(count)
     # both classes weigh the same
     weight = np.where(toxic == 1, 0.5 / n_toxic, 0.5 / (len(toxic) - n_toxic))
     w0 = weight.copy()
-    seen = np.bincount(features, weights=toxic[rows], minlength=BUCKETS)
-    mass = np.bincount(features, weights=w0[rows] * (2 * toxic[rows] - 1), minlength=BUCKETS)
-    useful = ((seen >= 2) & (mass > 0))[features]
-    rows, features = rows[useful], features[useful]
     sign = 2.0 * toxic - 1
     small = 0.25 / len(toxic)
     by_feature = np.argsort(features, kind="stable")
     of_feature = features[by_feature]
     for _ in range(rounds):
-        if not len(rows):
-            break
-        bad = np.bincount(features, weights=(weight * toxic)[rows], minlength=BUCKETS)
-        good = np.bincount(features, weights=(weight * (1 - toxic))[rows], minlength=BUCKETS)
+        bad = np.bincount(features, weights=(weight * toxic)[rows], minlength=count)
+        good = np.bincount(features, weights=(weight * (1 - toxic))[rows], minlength=count)
         edge = np.sqrt(bad) - np.sqrt(good)
         k = int(np.argmax(edge))
-        if edge[k] <= 0.01:
+        if edge[k] <= LEAST_EDGE:
             break
         gain = 0.5 * np.log((bad[k] + small) / (good[k] + small))
         gains[k] += gain
@@ -282,12 +317,11 @@ def boost(rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, rounds: int
         held = rows[by_feature[i:j]]
         margin[held] += gain
         weight[held] *= np.exp(-gain * sign[held])
-        weight /= weight.sum()
     # the cut with the fewest errors, in the middle of its gap
     values = np.unique(margin)
     cuts = np.concatenate([values[:1] - 1, (values[1:] + values[:-1]) / 2, values[-1:] + 1])
     right = [(w0 * ((margin > c) == (toxic == 1))).sum() for c in cuts]
-    return gains, -float(cuts[int(np.argmax(right))])
+    return named[gains != 0], gains[gains != 0], -float(cuts[int(np.argmax(right))])
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TRAIN_ROWS) -> ToxicityModel:
@@ -307,21 +341,15 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TR
             grams, owner = word_features(words)
             order = np.argsort(owner, kind="stable")
             grams, owner = grams[order], owner[order]
-            found = []
-            for t in range(b.num_rows):
-                mine = np.unique(word[text == t])
-                i, j = np.searchsorted(owner, mine), np.searchsorted(owner, mine, side="right")
-                n = j - i
-                found.append(np.unique(grams[np.repeat(i - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "at"])
-
-    got = chosen.mapInArrow(run, "toxic int, at array<int>").toArrow().combine_chunks()
+            found = [text_keys(grams, owner, word[text == t]) for t in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.list_(pa.int64()))], names=["toxic", "at"])
+
+    got = chosen.mapInArrow(run, "toxic int, at array<long>").toArrow().combine_chunks()
     if not got.num_rows:
-        return ToxicityModel(chars, np.zeros(BUCKETS), -2.0)
+        return ToxicityModel(chars, np.zeros(0, np.int64), np.zeros(0), -2.0)
     lists = got.column("at").combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    gains, bias = boost(np.repeat(np.arange(got.num_rows), np.diff(ends)), flat.astype(np.int64), got.column("toxic").to_numpy())
-    return ToxicityModel(chars, gains, bias)
+    return ToxicityModel(chars, *boost(np.repeat(np.arange(got.num_rows), np.diff(ends)), flat, got.column("toxic").to_numpy()))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
