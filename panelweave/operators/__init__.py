@@ -1 +1 @@
-"""See the modules."""
+"""Relational operators over genotype panels.  Calls are long: i, j, d."""

@@ -1 +1 @@
-"""See the modules."""
+"""Queries over the test tables, each with the SQL of an independent engine."""

@@ -1,3 +1,8 @@
 """All queries over the test tables, and their SQL."""
-QUERIES: dict = {}
-SQL: dict = {}
+
+from __future__ import annotations
+
+from . import mosaic_queries, panel_queries, table_queries
+
+QUERIES = table_queries.QUERIES | panel_queries.QUERIES | mosaic_queries.QUERIES
+SQL = table_queries.SQL | panel_queries.SQL | mosaic_queries.SQL
