@@ -13,12 +13,14 @@ hold it.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +30,31 @@ from .common import ragged_take, tuned, word_table
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 #: Words a worker remembers with their ids; emptied when full.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 
 STORED = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 
 
+#: Punctuation that may end a word of letters; it is a piece of its own.
+TAIL = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself
+    if printable, else the next free one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that never merges across white space.
 
     Such a tokenizer's ids for a text are those of its words, end to end, so
-    each distinct word is given to the library once.
+    each distinct word is given to the library once.  A word of letters, maybe
+    with a tail of punctuation, is one piece (and its tail another) after lower
+    casing and goes to the library's model directly; any other word goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -45,17 +62,35 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+
+    def _whole(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.known[word] = array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        core = word.rstrip(TAIL)
+        if not core.isalpha():
+            return self._whole(word)
+        low = core.lower()
+        ids = self.known.get(low)
+        if ids is None:
+            piece = low
+            if not core.isascii():
+                if not (low.isalpha() and unicodedata.is_normalized("NFC", core)) or "\u03a3" in core:
+                    return self._whole(word)
+                piece = low.encode().decode("latin-1").translate(self.letters)
+            ids = self.known[low] = array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return ids if len(core) == len(word) else ids + self._whole(word[len(core) :])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
         words, codes, offsets = word_table(texts)
-        words = words.to_pylist()
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<i4").tobytes()
-        each = [self.known[w] for w in words]
+        each = list(map(self._word, words.to_pylist()))
         store = np.frombuffer(b"".join(each), "<i4")
         lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
         starts = np.cumsum(lengths) - lengths
@@ -64,6 +99,12 @@ class WordEncoder:
         return ids, before[offsets[1:]] - before[offsets[:-1]]
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """One a worker process: what a task has learned helps the next one."""
+    return WordEncoder(path)
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, text) to the stored columns, in ascending doc_id order.
 
@@ -73,7 +114,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at, part = WordEncoder(tokenizer_path), 0, TaskContext.get().partitionId()
+        encoder, at, part = _encoder(tokenizer_path), 0, TaskContext.get().partitionId()
         for b in batches:
             ids, counts = encoder.encode(b.column(1))
             n = len(counts)
