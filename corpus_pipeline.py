@@ -14,6 +14,13 @@ from panelweave.llm.common import crc_text, scratch, written
 from panelweave.llm.queries import MIX, quality_domains, table, tokenizer_file
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is not among ``gone``.  The merge join keeps
+    the plan the same at every size: the ids grow with the corpus, so they are
+    never broadcast."""
+    return docs.hint("merge").join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identifiable language (no text, no letter) go; the
     rest carries the predicted one.  Rows that share a doc_id share a verdict."""
@@ -26,14 +33,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of equal texts the row with the largest doc_id stays."""
     groups = exact_dedup.exact_groups(docs, keep="max")
     gone = written(groups.where(~F.col("kept")).select("doc_id"), "exact-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, gone)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest doc_id stays."""
     groups = simhash.near_groups(docs)
     gone = written(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, gone)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").join(docs.select("doc_id"), "doc_id", "left_semi")
     rates, _ = mixing.mix(docs, quality_domains(labels), MIX, "q1t0", 1.1)
     taken = written(rates.select("doc_id", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies")).where("copies > 0"), "taken")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    return docs.hint("merge").join(taken.hint("merge"), "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

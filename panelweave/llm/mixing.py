@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import remove, written
 
 BUCKETS = 4096
 #: Labelled documents of each domain that the classifier is fitted on.
@@ -61,7 +61,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, per_domain: int = TR
     marks = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
     seen = {d: [0.0] * BUCKETS for d in domains}
     if sizes:
-        train = docs.join(marks, "doc_id").select("domain", F.explode(_words(F.col("text"))).alias("w"))
+        # the sample is bounded, so the texts need not be shuffled to meet it
+        train = docs.join(F.broadcast(marks), "doc_id").select("domain", F.explode(_words(F.col("text"))).alias("w"))
         # at most BUCKETS rows a domain
         for r in train.groupBy("domain", _bucket(F.col("w")).alias("b")).count().collect():
             seen[r["domain"]][r["b"]] = float(r["count"])
@@ -110,8 +111,6 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
         pull = sum((p[k] * F.lit(step * rest[k] / curve[k]) for k in n if k), p[0] * F.lit(step * rest[0] / curve[0]))
         rate, nested = F.greatest(F.lit(0.0), rate - pull), nested + 1
         if nested == NEST:
-            from .common import remove
-
             now = written(now.withColumn("rate", rate), "rates")
             if old is not None:
                 remove(members.sparkSession, old)

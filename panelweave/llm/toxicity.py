@@ -331,7 +331,8 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TR
     chars = log_model(trigram_counts(docs))
     marks = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
     marks = sample_labelled(marks, "toxic", per_class, where)
-    chosen = docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+    # the sample is bounded, so the texts need not be shuffled to meet it
+    chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
     shared = spark.sparkContext.broadcast(chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
