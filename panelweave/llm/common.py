@@ -115,3 +115,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**n as unsigned 64-bit numbers, modulo 2**64."""
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)

@@ -101,7 +101,8 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     goal = [float(targets.get(d, base[f"t{k}"])) for k, d in enumerate(domains)]
     curve = [max(base[f"m{k}_{k}"], 1e-9) for k in n]
     # rows of the scaled curvature bound its largest eigenvalue
-    step = 1.0 / max(sum(abs(base[f"m{k}_{j}"]) / (curve[k] * curve[j]) ** 0.5 for j in n) for k in n) if base["t0"] or len(domains) > 1 else 0.0
+    bound = max(sum(abs(base[f"m{k}_{j}"]) / (curve[k] * curve[j]) ** 0.5 for j in n) for k in n)
+    step = 1.0 / bound if bound else 0.0
     rate, nested, old = F.col("rate"), 0, None
     for _ in range(steps):
         got = now.agg(*(F.coalesce(F.sum(rate * tokens * p[k]), F.lit(0.0)) for k in n)).first()

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged_take, tuned
+from .common import powers, ragged_take, tuned
 
 BLANK = "▁"
 CACHE_WORDS = 200_000
@@ -71,9 +71,7 @@ class PieceTable:
         n, size = len(words), len(words[0])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64)
         prefix = np.zeros((size + 1, n), np.uint64)
-        power = np.ones(self.longest + 1, np.uint64)
-        for k in range(1, self.longest + 1):
-            power[k] = power[k - 1] * BASE
+        power = powers(int(BASE), self.longest)
         best = np.full((size + 1, n), -np.inf)
         best[0] = 0
         back, used = np.zeros((size + 1, n), np.int64), np.full((size + 1, n), -1, np.int64)

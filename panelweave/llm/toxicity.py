@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, tuned, word_table
+from .common import mix64, powers, tuned, word_table
 from .langid import sample_labelled
 
 #: Labelled rows of each class that the scorer is fitted on.
@@ -223,7 +223,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(owner[:m][fits])
     if len(data):
         place = np.arange(len(data)) - ends[:-1][owner]
-        power = np.cumprod(np.concatenate([[1], np.full(int(place.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+        power = powers(0x9E3779B97F4A7C15, int(place.max()))
         grams.append(mix64(np.add.reduceat(data * power[place], ends[:-1]) + np.uint64(0x5BD1)).view(np.int64))
         owners.append(np.arange(len(framed)))
     return np.concatenate(grams), np.concatenate(owners)
