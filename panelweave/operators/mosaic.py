@@ -29,28 +29,61 @@ def check_inputs(alleles: DataFrame, markers: DataFrame, n: int, rate: float) ->
 
 
 def map_steps(markers: DataFrame) -> DataFrame:
-    """Add delta, the distance from the marker before (0 at the first).  The
-    marker table is the small side of every mosaic (a row a marker)."""
-    keys = ["chr"] if "chr" in markers.columns else []
-    return markers.withColumn("delta", F.coalesce(F.col("morgan") - F.lag("morgan").over(W.partitionBy(*keys).orderBy("j")), F.lit(0.0)))
+    """Add delta, the distance from the marker before, and first, whether the
+    marker begins a chromosome.  The marker table is the small side of every
+    mosaic (a row a marker)."""
+    order = W.partitionBy(*(["chr"] if "chr" in markers.columns else [])).orderBy("j")
+    before = F.lag("morgan").over(order)
+    return markers.withColumns({"delta": F.coalesce(F.col("morgan") - before, F.lit(0.0)), "first": before.isNull()})
+
+
+def _draws(haplotypes: DataFrame, steps: DataFrame, n_donors: int, rate: float, seed: int) -> DataFrame:
+    """hap, j, (block,) switched, step (the donor's offset), tract (1 where one begins)."""
+    keys = [c for c in ("block",) if c in steps.columns]
+    rows = with_uniforms(haplotypes.select("hap").join(steps.select("j", "delta", "first", *keys)), F.col("hap"), F.col("j"), seed, u1=1, u2=2, u3=3)
+    chance = -F.expm1(-F.lit(float(rate)) * F.col("delta"))
+    rows = rows.withColumn("switched", (~F.col("first") & (F.col("u1") < chance) & F.lit(n_donors > 1)).cast("int"))
+    step = F.when(F.col("first"), F.floor(F.col("u3") * n_donors)).when(F.col("switched") == 1, 1 + F.floor(F.col("u2") * (n_donors - 1))).otherwise(0).cast("long")
+    return rows.select("hap", "j", *keys, "switched", step.alias("step"), (F.col("first") | (F.col("switched") == 1)).cast("int").alias("tract"))
+
+
+def block_offsets(haplotypes: DataFrame, markers: DataFrame, n_donors: int, rate: float, seed: int) -> DataFrame:
+    """hap, block, steps, tracts: the sums over all earlier blocks.
+
+    With them a block's paths need that block's draws only, so the blocks of a
+    long chromosome run apart, and a resumed build makes what is missing."""
+    draws = _draws(haplotypes, map_steps(markers), n_donors, rate, seed)
+    sums = draws.groupBy("hap", "block").agg(F.sum("step").alias("s"), F.sum("tract").alias("t"))
+    before = W.partitionBy("hap").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    return sums.select("hap", "block", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("steps"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("tracts"))
+
+
+def block_paths(haplotypes: DataFrame, steps: DataFrame, offsets: DataFrame, n_donors: int, rate: float, seed: int) -> DataFrame:
+    """donor_paths of the blocks in ``steps`` (map_steps of the whole map, then
+    filtered) and ``offsets``."""
+    rows = _draws(haplotypes, steps, n_donors, rate, seed).join(offsets, ["hap", "block"])
+    along = W.partitionBy("hap", "block").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
+    return rows.select(
+        "hap",
+        "j",
+        "switched",
+        F.pmod(F.col("steps") + F.sum("step").over(along), F.lit(n_donors)).cast("int").alias("donor"),
+        (F.col("tracts") + F.sum("tract").over(along) - 1).cast("int").alias("segment"),
+    )
 
 
 def donor_paths(haplotypes: DataFrame, markers: DataFrame, n_donors: int, rate: float, seed: int) -> DataFrame:
     """hap, j, switched, donor, segment for each haplotype and marker.
 
-    The result has as many rows as the panel has alleles; each haplotype's
-    prefix sums run in one window partition of as many rows as markers.
+    The result has as many rows as the panel has alleles.  Where the markers
+    name their block, prefix sums run within (haplotype, block) on top of the
+    blocks' own; else one window partition a haplotype holds all markers.
     """
     require(n_donors >= 1, "at least one donor is needed")
-    steps = map_steps(markers).select("j", "delta")
-    rows = with_uniforms(haplotypes.select("hap").join(steps), F.col("hap"), F.col("j"), seed, u1=1, u2=2, u3=3)
-    first = F.min("j").over(W.partitionBy("hap"))
-    chance = -F.expm1(-F.lit(float(rate)) * F.col("delta"))
-    switched = ((F.col("j") > first) & (F.col("u1") < chance) & F.lit(n_donors > 1)).cast("int")
-    rows = rows.withColumn("first", F.col("j") == first).withColumn("switched", switched)
-    step = F.when(F.col("first"), F.floor(F.col("u3") * n_donors)).when(F.col("switched") == 1, 1 + F.floor(F.col("u2") * (n_donors - 1))).otherwise(0).cast("long")
+    if "block" in markers.columns:
+        return block_paths(haplotypes, map_steps(markers), block_offsets(haplotypes, markers, n_donors, rate, seed), n_donors, rate, seed)
     along = W.partitionBy("hap").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("step", step).select("hap", "j", "switched", F.pmod(F.sum("step").over(along), F.lit(n_donors)).cast("int").alias("donor"), F.sum("switched").over(along).cast("int").alias("segment"))
+    return _draws(haplotypes, map_steps(markers), n_donors, rate, seed).select("hap", "j", "switched", F.pmod(F.sum("step").over(along), F.lit(n_donors)).cast("int").alias("donor"), (F.sum("tract").over(along) - 1).cast("int").alias("segment"))
 
 
 def segments(paths: DataFrame, markers: DataFrame, mode: str = "closed") -> DataFrame:

@@ -144,6 +144,17 @@ def test_a_block_is_a_partition_of_the_same_function(spark):
     whole = mosaic.donor_paths(haps, m, 3, 25.0, 5)
     halves = mosaic.donor_paths(haps.where("hap < 9"), m, 3, 25.0, 5).union(mosaic.donor_paths(haps.where("hap >= 9"), m, 3, 25.0, 5))
     assert whole.exceptAll(halves).isEmpty()
+    cut = m.withColumn("block", F.when(F.col("j") < 2, 1).otherwise(2))
+    assert whole.exceptAll(mosaic.donor_paths(haps, cut, 3, 25.0, 5)).isEmpty()
+    one = mosaic.block_paths(haps, mosaic.map_steps(cut).where("block = 2"), mosaic.block_offsets(haps, cut, 3, 25.0, 5), 3, 25.0, 5)
+    assert one.exceptAll(whole.where("j >= 2")).isEmpty() and one.count() == 60
+
+
+def test_a_chromosome_begins_a_new_tract(spark):
+    haps, m = mosaic_inputs(spark, 50, [0, 0.1, 0, 0.1])
+    m = m.withColumn("chr", F.when(F.col("j") < 2, "1").otherwise("2"))
+    p = mosaic.donor_paths(haps, m, 5, 0.0, 5)
+    assert {r.segment for r in p.where("j >= 2").collect()} == {1} and p.agg(F.sum("switched")).first()[0] == 0
 
 
 def test_mosaic_inputs_are_checked(spark):
