@@ -9,6 +9,7 @@ SVM and the language with most wins (then the largest sum of margins) is taken.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -24,9 +25,11 @@ from .common import mix64, sums_by_text, tuned, word_table
 
 BUCKETS = 1 << 16
 #: Labelled rows of each language that the models are fitted on.
-TRAIN_ROWS = 800
+TRAIN_ROWS = 500
 #: n-grams that the models have weights for.
-GRAMS = 6000
+GRAMS = 5000
+#: Labelled texts whose n-grams a task lays out together.
+TOGETHER = 32
 #: Languages by family; any other language is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "fy", "lb", "yi"),
@@ -66,14 +69,15 @@ def word_ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], np.bincount(owners, minlength=len(framed))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> tuple[np.ndarray, float]:
-    """A linear SVM by dual coordinate descent; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+def _svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> np.ndarray:
+    """A linear SVM by dual coordinate descent; y is -1 or 1, 0 leaves a row
+    out.  The last column of x is constant."""
+    rows = np.flatnonzero(y)
     alpha, w, norm = np.zeros(len(x)), np.zeros(x.shape[1], x.dtype), np.einsum("ij,ij->i", x, x).astype(np.float64)
     rng = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
-        for i in rng.permutation(len(x)):
+        for i in rng.permutation(rows):
             step = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / norm[i], 0), c) - alpha[i]
             if step:
                 alpha[i] += step
@@ -81,7 +85,7 @@ def _svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> tup
                 moved = max(moved, abs(step))
         if moved < 1e-3 * c:
             break
-    return w[:-1], float(w[-1])
+    return w.astype(np.float64)
 
 
 @dataclass
@@ -96,18 +100,16 @@ class LanguageModel:
 
     @classmethod
     def fit(cls, x: np.ndarray, langs: list[str]) -> LanguageModel:
-        """x: mean n-gram vectors by row, scaled by ``fit``'s caller."""
-        langs_ = np.array(langs)
+        """x: mean n-gram vectors by row, and a last column of ones."""
         names = sorted(set(langs))
-        families = sorted({FAMILY_OF.get(n, n) for n in names})
+        family = [FAMILY_OF.get(n, n) for n in langs]
+        families = sorted(set(family))
         members = [[n for n in names if FAMILY_OF.get(n, n) == f] for f in families]
-        fam = np.array([FAMILY_OF.get(n, n) for n in langs])
         pairs = [(k, a, b) for k, m in enumerate(members) for a, b in combinations(m, 2)]
-        columns = [_svm(x, np.where(fam == f, 1.0, -1.0)) if len(families) > 1 else (np.zeros(x.shape[1]), 0.0) for f in families]
-        for _, a, b in pairs:
-            rows = (langs_ == a) | (langs_ == b)
-            columns.append(_svm(x[rows], np.where(langs_[rows] == a, 1.0, -1.0)))
-        return cls(families, members, pairs, np.column_stack([w for w, _ in columns]), np.array([b for _, b in columns]))
+        sides = [np.where(np.array(family) == f, 1.0, -1.0) if len(families) > 1 else np.zeros(len(x)) for f in families]
+        sides += [np.array([1.0 if n == a else -1.0 if n == b else 0.0 for n in langs]) for _, a, b in pairs]
+        w = np.column_stack([_svm(x, y) for y in sides])
+        return cls(families, members, pairs, w[:-1], w[-1])
 
     def choose(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language and score in 0..1 from the margins of each text."""
@@ -135,15 +137,15 @@ class LanguageModel:
         return lang, chance
 
 
-def _vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """n-grams of all texts end to end, their counts by text, and letters seen."""
+def _vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams of all texts end to end, and their counts by text."""
     words, codes, offsets = word_table(texts)
     grams, counts = word_ngrams(words)
     starts = np.cumsum(counts) - counts
     n = counts[codes]
     before = np.cumsum(n) - n
     take = np.repeat(starts[codes] - before, n) + np.arange(int(n.sum()))
-    return grams[take], sums_by_text(n, offsets), offsets
+    return grams[take], sums_by_text(n, offsets)
 
 
 def sample_labelled(docs: DataFrame, label: str, per_label: int, where: Column) -> DataFrame:
@@ -169,18 +171,19 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
     chosen = sample_labelled(docs.select("doc_id", "text", "lang"), "lang", per_lang, where).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            grams, sizes, _ = _vectors(b.column(0))
-            ends = np.cumsum(sizes)
-            found = [np.unique(grams[e - s : e], return_counts=True) for s, e in zip(sizes, ends)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32()))], names=["lang", "at", "n"])
+        for whole in batches:
+            for b in (whole.slice(k, TOGETHER) for k in range(0, whole.num_rows, TOGETHER)):
+                grams, sizes = _vectors(b.column(0))
+                ends = np.cumsum(sizes)
+                found = [np.unique(grams[e - s : e], return_counts=True) for s, e in zip(sizes, ends)]
+                yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array([f[k].astype(np.int32) for f in found], pa.list_(pa.int32())) for k in (0, 1))], names=["lang", "at", "n"])
 
     got = chosen.mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow().combine_chunks()
     langs = got.column("lang").to_pylist()
     at, n = (got.column(c).combine_chunks() for c in ("at", "n"))
     ends, at, n = at.offsets.to_numpy(), at.values.to_numpy(), n.values.to_numpy()
     # rows come in any order; the fit must not depend on it
-    keys = [(langs[i], int(j - i0), at[i0:j].tobytes(), n[i0:j].tobytes(), i) for i, (i0, j) in enumerate(zip(ends[:-1], ends[1:])) if j > i0]
+    keys = [(langs[i], int(j - i0), zlib.crc32(at[i0:j]), zlib.crc32(n[i0:j]), i) for i, (i0, j) in enumerate(zip(ends[:-1], ends[1:])) if j > i0]
     order = [k[-1] for k in sorted(keys)]
     if not order:
         return None
@@ -189,18 +192,21 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
     used = np.argsort(-df, kind="stable")[: min(GRAMS, int((df > 0).sum()))]
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
-    x = np.zeros((len(order), len(used)), np.float32)
+    x = np.zeros((len(order), len(used) + 1), np.float32)
     for i, r in enumerate(order):
         where_, count = place[at[ends[r] : ends[r + 1]]], n[ends[r] : ends[r + 1]].astype(np.float32)
         x[i, where_[where_ >= 0]] = count[where_ >= 0] / count.sum()
+    langs = [langs[r] for r in order]
+    del got, at, n
+    pa.default_memory_pool().release_unused()
     scale = (1.0 / (np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)) + 1e-3)).astype(np.float32)
     x *= scale
     again = np.float32(1.0 / np.sqrt(np.einsum("ij,ij->", x, x) / len(x)))
     x *= again
-    scale = scale * again
-    model = LanguageModel.fit(x, [langs[r] for r in order])
+    x[:, -1] = 1
+    model = LanguageModel.fit(x, langs)
     full = np.zeros((BUCKETS, model.weights.shape[1]))
-    full[used] = model.weights * scale[:, None]
+    full[used] = model.weights * (scale * again)[:-1, None]
     model.weights = full
     return model
 
