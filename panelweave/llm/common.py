@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,16 @@ def remove(spark: SparkSession, *tables: DataFrame | str) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, handing Arrow's unused memory back after each: a worker's
+    memory follows the batch at hand, not the largest one so far."""
+    pool = pa.default_memory_pool()
+    for b in batches:
+        yield b
+        del b
+        pool.release_unused()
+
+
 def crc_text(c: Column | str) -> Column:
     """crc32 of a value's decimal text, as the folds are defined."""
     return F.crc32(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import mix64, sums_by_text, tuned, word_table
+from .common import frugal, mix64, sums_by_text, tuned, word_table
 
 BUCKETS = 1 << 16
 #: Labelled rows of each language that the models are fitted on.
@@ -171,7 +171,7 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
     chosen = sample_labelled(docs.select("doc_id", "text", "lang"), "lang", per_lang, where).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in frugal(batches):
             for b in (whole.slice(k, TOGETHER) for k in range(0, whole.num_rows, TOGETHER)):
                 grams, sizes = _vectors(b.column(0))
                 ends = np.cumsum(sizes)
@@ -229,7 +229,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     shared = tuned(docs.sparkSession).sparkContext.broadcast(model)  # 65,536 weights a model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in frugal(batches):
             lang, score = _guess(shared.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
@@ -242,7 +242,7 @@ def label(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in frugal(batches):
             lang, _ = _guess(shared.value, b.column(at))
             yield b.append_column("lang_pred", pa.array(lang, pa.string()))
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import powers, ragged_take, tuned
+from .common import frugal, powers, ragged_take, tuned
 
 BLANK = "▁"
 CACHE_WORDS = 200_000
@@ -164,7 +164,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PieceTable(model_file)
-        for b in batches:
+        for b in frugal(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids, counts = table.encode(texts)
             ends = np.concatenate([[0], np.cumsum(counts)])

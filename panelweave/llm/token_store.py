@@ -21,16 +21,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ragged_take, tuned, word_table
+from .common import frugal, ragged_take, tuned, word_table
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
-#: Words a worker remembers with their ids; emptied when full.
-CACHE_WORDS = 400_000
+#: Words of a generation of the cache; a worker holds two generations.
+CACHE_WORDS = 120_000
 
 STORED = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 
@@ -61,11 +62,20 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _whole(self, word: str) -> bytes:
+    def _get(self, word: str) -> bytes | None:
+        """Ids of a known word; one of the older generation joins the new one."""
         ids = self.known.get(word)
+        if ids is None and (ids := self.older.get(word)) is not None:
+            self.known[word] = ids
+        return ids
+
+    def _whole(self, word: str) -> bytes:
+        ids = self._get(word)
         if ids is None:
             ids = self.known[word] = array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         return ids
@@ -75,7 +85,7 @@ class WordEncoder:
         if not core.isalpha():
             return self._whole(word)
         low = core.lower()
-        ids = self.known.get(low)
+        ids = self._get(low)
         if ids is None:
             piece = low
             if not core.isascii():
@@ -85,12 +95,38 @@ class WordEncoder:
             ids = self.known[low] = array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
         return ids if len(core) == len(word) else ids + self._whole(word[len(core) :])
 
+    def _ids(self, words: pa.Array) -> list[bytes]:
+        """Ids of distinct words.  ASCII words of letters are stripped and
+        lower-cased by Arrow and looked up once for all their spellings."""
+        low = pc.ascii_lower(words)
+        core = pc.ascii_rtrim(low, TAIL)
+        plain = pc.and_(pc.string_is_ascii(words), pc.ascii_is_alpha(core)).to_numpy(zero_copy_only=False)
+        out = np.empty(len(words), object)
+        coded = core.filter(pa.array(plain)).dictionary_encode()
+        known = []
+        for w in coded.dictionary.to_pylist():
+            ids = self._get(w)
+            if ids is None:
+                ids = self.known[w] = array("i", [t.id for t in self.model.tokenize(w)]).tobytes()
+            known.append(ids)
+        ids = np.empty(len(known), object)
+        ids[:] = known
+        out[plain] = ids[coded.indices.to_numpy()]
+        size = pc.binary_length(core).to_numpy(zero_copy_only=False)
+        tailed = np.flatnonzero(plain & (pc.binary_length(low).to_numpy(zero_copy_only=False) > size))
+        for k, n, w in zip(tailed.tolist(), size[tailed].tolist(), words.take(pa.array(tailed)).to_pylist()):
+            out[k] += self._whole(w[n:])
+        other = np.flatnonzero(~plain)
+        for k, w in zip(other.tolist(), words.take(pa.array(other)).to_pylist()):
+            out[k] = self._word(w)
+        return out.tolist()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
         words, codes, offsets = word_table(texts)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        each = list(map(self._word, words.to_pylist()))
+            self.older, self.known = self.known, {}
+        each = self._ids(words)
         store = np.frombuffer(b"".join(each), "<i4")
         lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
         starts = np.cumsum(lengths) - lengths
@@ -115,7 +151,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at, part = _encoder(tokenizer_path), 0, TaskContext.get().partitionId()
-        for b in batches:
+        for b in frugal(batches):
             ids, counts = encoder.encode(b.column(1))
             n = len(counts)
             if not n:
@@ -175,7 +211,7 @@ def with_crc(tokens: DataFrame) -> DataFrame:
     """Replace token_ids by the crc32 of the ids as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in frugal(batches):
             lists = b.column(3)
             ends = lists.offsets.to_numpy()
             raw = memoryview(np.ascontiguousarray(lists.values.to_numpy(), "<u4").view(np.uint8))

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, powers, tuned, word_table
+from .common import frugal, mix64, powers, tuned, word_table
 from .langid import sample_labelled
 
 #: Labelled rows of each class that the scorer is fitted on.
@@ -65,7 +65,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(N**3)
-        for b in batches:
+        for b in frugal(batches):
             words, codes, _ = word_table(b.column(0))
             if not len(codes):
                 continue
@@ -337,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
-        for b in batches:
+        for b in frugal(batches):
             words, text, word = restorer.words(b.column(0))
             grams, owner = word_features(words)
             order = np.argsort(owner, kind="stable")
@@ -365,7 +365,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         restorer = Restorer(model.chars)
-        for b in batches:
+        for b in frugal(batches):
             margin = model.margins(restorer, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-2 * np.clip(margin, -20, 20))))], names=["doc_id", "score"])
 
