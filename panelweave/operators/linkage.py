@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import distance_bin, squared_correlation
 from ..functions.columns import DISTANCE_BINS
+from .genotype import wide_markers
+from .tiles import window_r2
 
 WINDOW = 1_000_000
 
@@ -42,6 +44,18 @@ def pair_r2(calls: DataFrame, pairs: DataFrame) -> DataFrame:
     return sums.select("j1", "j2", "dist", squared_correlation(*(F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))).alias("r2"))
 
 
+def window_ld(calls: DataFrame, markers: DataFrame, window: int = WINDOW) -> DataFrame:
+    """j1, j2, dist, r2 of all pairs within the window, for panels of any size:
+    tiles of neighbouring markers meet as matrices, and only pairs come out.
+    ``pair_r2`` is the relational form, for chosen pairs."""
+    return window_r2(wide_markers(calls), markers, window)
+
+
+def correlations(calls: DataFrame, markers: DataFrame, window: int = WINDOW) -> DataFrame:
+    """j1, j2, dist and the signed correlation r; 0 where a side does not vary."""
+    return window_r2(wide_markers(calls), markers, window, signed=True).withColumnRenamed("r2", "r")
+
+
 def by_distance(r2: DataFrame) -> DataFrame:
     """bin, pairs, mean_r2, median_r2 of all six bins; an empty bin has 0 pairs and nulls."""
     bins = r2.sparkSession.createDataFrame([(b,) for b in DISTANCE_BINS], "bin string")

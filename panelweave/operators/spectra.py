@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import require
 from .genotype import wide_markers
 
-MAX_SAMPLES = 4000
+MAX_SAMPLES = 2000
 COMPONENTS = 10
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import agreement, gates, genotype, integrity, kinship, linkage, spectra
+from ..operators import agreement, gates, genotype, integrity, kinship, linkage, spectra, tiles, validation
 from ..sources.text import parse_gt
 from .views import BIN, KING, MAP, PANEL, R2, markers, panel
 
@@ -118,6 +118,23 @@ def ld_pairs_window(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(linkage.pair_r2(panel(spark, sf), linkage.marker_pairs(markers(spark), 40_000)))
 
 
+@query(f"with {PANEL}, {R2} select j1, j2, dist, round(r2, 8) as r2 from r2 where dist <= 100000")
+def ld_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs within 100 kb, by tiles of 16 neighbouring markers."""
+    return rounded(tiles.window_r2(genotype.wide_markers(panel(spark, sf)), markers(spark), 100_000, 16))
+
+
+@query(f"with {PANEL}, {R2} select j1, j2, dist, round(coalesce((n * xy - x * y) / nullif(sqrt((n * xx - x * x) * (n * yy - y * y)), 0e0), 0e0), 7) as r from s join r2 using (j1, j2)")
+def marker_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(linkage.correlations(panel(spark, sf), markers(spark)), 7)
+
+
+@query(f"with {PANEL}, {KING} select i1, i2, round(kinship, 8) as kinship from king where i1 < 300 and i2 < 300")
+def king_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Kinship among the first three hundred samples, by tiles of samples."""
+    return rounded(kinship.king_pairs(panel(spark, sf).where("i < 300"), 64, "tiles"))
+
+
 @query(f"""with {PANEL}, {R2}, bins as (select unnest(['0-10kb', '10-50kb', '50-100kb', '100-500kb', '500kb-1Mb', '>1Mb']) as bin), b as (select {BIN} as bin, r2 from r2)
 select bins.bin, count(b.r2) as pairs, round(avg(b.r2), 8) as mean_r2, round(median(b.r2), 8) as median_r2 from bins left join b on bins.bin = b.bin group by 1""")
 def ld_by_distance(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,3 +288,20 @@ def block_assembly(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("block").agg(F.count("*").alias("calls"), F.min("bp").alias("from_bp"), F.max("bp").alias("to_bp"), F.sum("d").alias("dosage"))
 
 
+
+
+@query()
+def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric vector of populations 5 and 6 against populations 0 and 1."""
+    g = panel(spark, sf)
+    ref = g.where("label < 2")
+    return rounded(validation.dataset_metrics(g.where("label between 5 and 6"), markers(spark), genotype.marker_stats(ref).select("j", "maf"), ref), 6)
+
+
+@query()
+def validation_gates(spark: SparkSession, sf: str) -> DataFrame:
+    """The thirteen gates on populations 5 to 9 as a synthetic panel."""
+    g = panel(spark, sf)
+    syn, ref = g.where("label >= 5").select("i", "j", "d"), g.where("label < 5").select("i", "j", "d")
+    n = syn.select("i").distinct().count()
+    return validation.validate_panel("all", syn, ref, markers(spark), genotype.marker_stats(ref).select("j", "maf"), n, 64, 11, 3, 2, 100).gates

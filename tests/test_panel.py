@@ -48,8 +48,8 @@ def test_king_by_hand_and_across_words(spark):
             hh = ((g[a] == 1) & (g[b] == 1)).sum()
             ibs0 = (abs(g[a] - g[b]) == 2).sum()
             want[a, b] = (hh - 2 * ibs0) / ((g[a] == 1).sum() + (g[b] == 1).sum())
-    for tile in (512, 3):
-        got = {(r.i1, r.i2): r.kinship for r in kinship.king_pairs(calls_of(spark, g), tile).collect()}
+    for tile, form in ((512, "join"), (3, "join"), (3, "tiles"), (512, "tiles"), (4, "auto")):
+        got = {(r.i1, r.i2): r.kinship for r in kinship.king_pairs(calls_of(spark, g), tile, form).collect()}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
@@ -97,6 +97,25 @@ def test_distance_bins_and_the_inclusive_window(spark):
     assert scores[2] == 0 and scores[0] > 1
 
 
+def test_tiles_agree_with_the_relational_form(spark):
+    from panelweave.operators import tiles
+
+    rng = np.random.default_rng(8)
+    g = rng.integers(0, 3, (40, 25)).astype(object)
+    g[rng.random(g.shape) < 0.1] = None
+    g[:, 3] = 2
+    df = calls_of(spark, g)
+    rows = [(j, int(b), "1" if j < 14 else "2") for j, b in enumerate(np.concatenate([rng.permutation(14), rng.permutation(11)]) * 1000)]
+    m = spark.createDataFrame(rows, "j int, bp long, chr string")
+    for markers in (m, m.drop("chr")):
+        want = {(r.j1, r.j2): (r.dist, round(r.r2, 9)) for r in linkage.pair_r2(df, linkage.marker_pairs(markers, 5000)).collect()}
+        for tile in (4, 100):
+            got = tiles.window_r2(genotype.wide_markers(df), markers, 5000, tile).collect()
+            assert {(r.j1, r.j2): (r.dist, round(r.r2, 9)) for r in got} == want and len(got) == len(want)
+    r = {(x.j1, x.j2): x.r for x in linkage.correlations(calls_of(spark, [[0, 2, 1], [1, 1, 1], [2, 0, 1]]), m.where("j < 3"), 10**9).collect()}
+    assert {k: round(v, 9) for k, v in r.items()} == {(0, 1): -1.0, (0, 2): 0.0, (1, 2): 0.0}
+
+
 def test_markers_out_of_order_still_pair(spark):
     m = spark.createDataFrame([(5, 10), (2, 1_500_000), (1, 700_000)], "j int, bp long")
     assert {(r.j1, r.j2) for r in linkage.marker_pairs(m).collect()} == {(1, 5), (1, 2)}
@@ -279,3 +298,21 @@ def test_swapped_alleles_are_equal(spark):
     b = spark.createDataFrame([(0, 2, 1), (1, 0, 0), (3, 1, 1)], "i int, a1 int, a2 int")
     row = integrity.pair_equivalence(a, b, "i").first()
     assert (row.differences, row.compared) == (2, 4)
+
+
+def test_metric_vector_of_a_panel_against_itself(spark, small):
+    from panelweave.operators import validation
+
+    df = calls_of(spark, small)
+    m = spark.createDataFrame([(j, 5_000 * j) for j in range(12)], "j int, bp long")
+    maf = genotype.marker_stats(df).select("j", "maf")
+    row = validation.dataset_metrics(df, m, maf, df).first()
+    assert abs(row.maf_correlation_with_full_reference - 1) < 1e-9 and row.max_maf_absolute_difference == 0
+    assert row.monomorphic_markers == 1 and row.genotype_missingness == 0 and row.pca_centroid_rms_z < 1e-9
+    assert sum(row[f"pairs_{n}"] for n in validation.BIN_NAMES.values()) == 66
+    assert row.kinship_pairs == 435
+    v = validation.validate_panel("x", df, df, m, maf, 30, 12, 3, 2, 2, 30)
+    got = {r.gate: r["pass"] for r in v.gates.collect()}
+    assert len(got) == 13 and all(got.values()), got
+    bad = validation.validate_panel("x", df.where("i > 0"), df, m, maf, 30, 12, 3, 1, 1, 25)
+    assert not {r.gate: r["pass"] for r in bad.gates.collect()}["hard_calls_and_dimensions"]

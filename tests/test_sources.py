@@ -190,3 +190,22 @@ def test_stream_accumulates_blocks_once(spark, panel, tmp_path):
     want = genotype.marker_stats(calls).select("j", "n_calls", "n_missing", F.round("maf", 9), F.round("heterozygosity", 9))
     got = acc.stats().select("j", "n_calls", "n_missing", F.round("maf", 9), F.round("heterozygosity", 9))
     assert got.exceptAll(want).isEmpty() and got.count() == 11
+
+
+def test_fetch_checks_and_unpacks(tmp_path):
+    import zipfile
+
+    from panelweave.sources import fetch
+
+    with zipfile.ZipFile(tmp_path / "inner.zip", "w") as z:
+        z.writestr("a.txt", "x")
+    with zipfile.ZipFile(tmp_path / "outer.zip", "w") as z:
+        z.write(tmp_path / "inner.zip", "d/inner.zip")
+    url, size = f"file://{tmp_path}/outer.zip", os.path.getsize(tmp_path / "outer.zip")
+    digest = sinks.sha256_file(f"{tmp_path}/outer.zip")
+    got = fetch.fetch(url, f"{tmp_path}/got.zip", size, digest.upper())
+    with pytest.raises(PanelError, match="pinned"):
+        fetch.fetch(url, f"{tmp_path}/bad.zip", size + 1, digest, attempts=2, wait=0)
+    assert not os.path.exists(f"{tmp_path}/bad.zip") and not os.path.exists(f"{tmp_path}/bad.zip.part")
+    files = fetch.unpack(got, f"{tmp_path}/out")
+    assert [os.path.basename(f) for f in files] == ["a.txt"] and open(files[0]).read() == "x"
