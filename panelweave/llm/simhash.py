@@ -27,6 +27,8 @@ from .components import components
 FAN = 8
 #: Searches that descend together: bounds the memory of a very large group.
 BLOCK = 4096
+#: Words of a group that one task takes without dealing them again.
+SPLIT = 200_000
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -185,18 +187,31 @@ def _links(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
         yield out
 
 
-def near_links(distinct: DataFrame, limit: int = 2) -> DataFrame:
+def near_links(distinct: DataFrame, limit: int = 2, split: int = SPLIT) -> DataFrame:
     """(fp, rep) of distinct fingerprints to links (a, b) between reps.
 
     Exact for ``limit`` up to 2: every pair within the limit is connected by
-    the links returned, though not every such pair is itself a link.  A task
-    holds one group (distinct words that share 32 given bits) at a time.
+    the links returned, though not every such pair is itself a link.  A group
+    holds distinct words that share 32 given bits.  One of more than ``split``
+    words is dealt again by thirds of the other 32 bits: words at most two bits
+    apart agree in one of them.  So a task holds ``split`` words of a group, or
+    at most the 2**22 that share 42 bits, whatever the corpus.
     """
     if limit > 2:
         raise ValueError("two of four blocks agree only for limits up to 2")
     codes = F.array(*(F.struct(F.lit(k).alias("pair"), _front(F.col("fp"), p).alias("code")) for k, p in enumerate(combinations(range(4), 2))))
     rows = distinct.select("rep", F.explode(codes).alias("c")).select("rep", "c.pair", "c.code")
-    rows = rows.withColumn("key", F.shiftrightunsigned("code", 32)).withColumn("rank", gray_rank(F.col("code")))
+    rows = rows.withColumn("key", F.shiftrightunsigned("code", 32))
+    full = written(rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > split).select("pair", "key"), "full-groups")
+    if not full.isEmpty():
+        low = F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
+        thirds = F.array(*(F.struct(F.lit(k + 1).alias("third"), F.shiftright(low, at).bitwiseAND(F.lit((1 << size) - 1)).alias("part")) for k, (at, size) in enumerate(((0, 11), (11, 11), (22, 10)))))
+        hot = rows.join(full, ["pair", "key"], "left_semi").select("rep", "pair", "code", "key", F.explode(thirds).alias("t"))
+        # the third joins the pair's number, its bits the key
+        hot = hot.select("rep", (F.col("pair") * 4 + F.col("t.third")).alias("pair"), "code", F.shiftleft("key", 11).bitwiseOR(F.col("t.part")).alias("key"))
+        rows = rows.join(full, ["pair", "key"], "left_anti").select("rep", (F.col("pair") * 4).alias("pair"), "code", "key").unionByName(hot)
+    # Gray order of the whole code; groups are made contiguous before it counts
+    rows = rows.withColumn("rank", gray_rank(F.col("code")))
     dealt = rows.repartition("pair", "key").sortWithinPartitions("pair", "key", "rank").drop("rank")
     return dealt.mapInArrow(lambda batches: _links(batches, limit), "a long, b long")
 

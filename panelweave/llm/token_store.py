@@ -38,6 +38,8 @@ STORED = "doc_id long, part int, local_start long, n_tokens long, token_ids arra
 
 #: Punctuation that may end a word of letters; it is a piece of its own.
 TAIL = ".,;:!?"
+#: Words whose letters have one lower case and one composed form.
+LATIN = "^[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]+[.,;:!?]*$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -96,24 +98,25 @@ class WordEncoder:
         return ids if len(core) == len(word) else ids + self._whole(word[len(core) :])
 
     def _ids(self, words: pa.Array) -> list[bytes]:
-        """Ids of distinct words.  ASCII words of letters are stripped and
+        """Ids of distinct words.  Words of Latin letters are stripped and
         lower-cased by Arrow and looked up once for all their spellings."""
-        low = pc.ascii_lower(words)
-        core = pc.ascii_rtrim(low, TAIL)
-        plain = pc.and_(pc.string_is_ascii(words), pc.ascii_is_alpha(core)).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(words, LATIN).to_numpy(zero_copy_only=False)
+        low = pc.utf8_lower(words)
+        core = pc.utf8_rtrim(low, TAIL)
         out = np.empty(len(words), object)
         coded = core.filter(pa.array(plain)).dictionary_encode()
         known = []
         for w in coded.dictionary.to_pylist():
             ids = self._get(w)
             if ids is None:
-                ids = self.known[w] = array("i", [t.id for t in self.model.tokenize(w)]).tobytes()
+                piece = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
+                ids = self.known[w] = array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
             known.append(ids)
         ids = np.empty(len(known), object)
         ids[:] = known
         out[plain] = ids[coded.indices.to_numpy()]
-        size = pc.binary_length(core).to_numpy(zero_copy_only=False)
-        tailed = np.flatnonzero(plain & (pc.binary_length(low).to_numpy(zero_copy_only=False) > size))
+        size = pc.utf8_length(core).to_numpy(zero_copy_only=False)
+        tailed = np.flatnonzero(plain & (pc.utf8_length(low).to_numpy(zero_copy_only=False) > size))
         for k, n, w in zip(tailed.tolist(), size[tailed].tolist(), words.take(pa.array(tailed)).to_pylist()):
             out[k] += self._whole(w[n:])
         other = np.flatnonzero(~plain)

@@ -81,6 +81,9 @@ def test_links_connect_what_brute_force_connects(spark):
     got = {r.node: r.component for r in components.components(links).collect()}
     want = brute_groups(list(range(len(prints))), prints)
     assert {k: got.get(k, k) for k in want} == want
+    # groups that are dealt again give the same components
+    again = {r.node: r.component for r in components.components(simhash.near_links(df, split=2)).collect()}
+    assert {k: again.get(k, k) for k in want} == want
     with pytest.raises(ValueError):
         simhash.near_links(df, 3)
 
