@@ -71,6 +71,19 @@ def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool.release_unused()
 
 
+def merged(batches: Iterator[pa.RecordBatch], rows: int = 3000, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they pass ``rows`` rows or ``size`` bytes: more
+    texts share the work on their distinct words, within the same bound."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(h.num_rows for h in held) >= rows or sum(h.nbytes for h in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and (t := pa.Table.from_batches(held)).num_rows:
+        yield t.combine_chunks().to_batches()[0]
+
+
 def crc_text(c: Column | str) -> Column:
     """crc32 of a value's decimal text, as the folds are defined."""
     return F.crc32(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"))

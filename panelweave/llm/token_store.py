@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frugal, ragged_take, tuned, word_table
+from .common import frugal, merged, ragged_take, tuned, word_table
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
@@ -36,10 +36,12 @@ CACHE_WORDS = 120_000
 STORED = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 
 
-#: Punctuation that may end a word of letters; it is a piece of its own.
-TAIL = ".,;:!?"
-#: Words whose letters have one lower case and one composed form.
-LATIN = "^[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]+[.,;:!?]*$"
+#: Signs around a word of letters, a piece of their own on either side.  The
+#: apostrophe is none: it may begin an ending.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words, with signs or without, whose letters have one lower case and one
+#: composed form.
+LATIN = r"^[!-&(-/:-@\[-`{-~]*[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]+[!-&(-/:-@\[-`{-~]*$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,10 +56,9 @@ class WordEncoder:
     """Encodes texts with a tokenizer that never merges across white space.
 
     Such a tokenizer's ids for a text are those of its words, end to end, so
-    each distinct word is given to the library once.  A word of letters, maybe
-    with a tail of punctuation, is one piece (and its tail another) after lower
-    casing and goes to the library's model directly; any other word goes
-    through the whole tokenizer.
+    each distinct word is given to the library once.  A word of letters is one
+    piece after lower casing and goes to the library's model directly, as do
+    the signs around it; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -66,6 +67,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -83,42 +85,53 @@ class WordEncoder:
         return ids
 
     def _word(self, word: str) -> bytes:
-        core = word.rstrip(TAIL)
-        if not core.isalpha():
+        if not word.isalpha():
             return self._whole(word)
-        low = core.lower()
+        low = word.lower()
         ids = self._get(low)
         if ids is None:
-            piece = low
-            if not core.isascii():
-                if not (low.isalpha() and unicodedata.is_normalized("NFC", core)) or "\u03a3" in core:
-                    return self._whole(word)
-                piece = low.encode().decode("latin-1").translate(self.letters)
-            ids = self.known[low] = array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
-        return ids if len(core) == len(word) else ids + self._whole(word[len(core) :])
+            if not (low.isalpha() and unicodedata.is_normalized("NFC", word)) or "\u03a3" in word:
+                return self._whole(word)
+            ids = self.known[low] = self._piece(low)
+        return ids
+
+    def _piece(self, low: str) -> bytes:
+        piece = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+        return array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _ids(self, words: pa.Array) -> list[bytes]:
         """Ids of distinct words.  Words of Latin letters are stripped and
         lower-cased by Arrow and looked up once for all their spellings."""
-        plain = pc.match_substring_regex(words, LATIN).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(words, LATIN)
+        for special in self.special:  # one id wherever it stands
+            plain = pc.and_not(plain, pc.match_substring(words, special))
+        plain = plain.to_numpy(zero_copy_only=False)
         low = pc.utf8_lower(words)
-        core = pc.utf8_rtrim(low, TAIL)
+        core = pc.ascii_trim(low, SIGNS)
         out = np.empty(len(words), object)
         coded = core.filter(pa.array(plain)).dictionary_encode()
-        known = []
+        known, new, old = [], self.known, self.older
         for w in coded.dictionary.to_pylist():
-            ids = self._get(w)
+            ids = new.get(w)
             if ids is None:
-                piece = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
-                ids = self.known[w] = array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
+                ids = old.get(w)
+                new[w] = ids = self._piece(w) if ids is None else ids
             known.append(ids)
         ids = np.empty(len(known), object)
         ids[:] = known
         out[plain] = ids[coded.indices.to_numpy()]
-        size = pc.utf8_length(core).to_numpy(zero_copy_only=False)
-        tailed = np.flatnonzero(plain & (pc.utf8_length(low).to_numpy(zero_copy_only=False) > size))
-        for k, n, w in zip(tailed.tolist(), size[tailed].tolist(), words.take(pa.array(tailed)).to_pylist()):
-            out[k] += self._whole(w[n:])
+        length = lambda x: pc.binary_length(x).to_numpy(zero_copy_only=False)
+        whole, size = length(low), length(core)
+        first = whole - length(pc.ascii_ltrim(low, SIGNS))
+        signed = np.flatnonzero(plain & (whole > size))
+        signs: dict[str, bytes] = {"": b""}
+        # signs are ASCII, so places counted from either end hold in characters
+        for k, i, n, w in zip(signed.tolist(), first[signed].tolist(), (whole - size - first)[signed].tolist(), low.take(pa.array(signed)).to_pylist()):
+            head, tail = w[:i], w[len(w) - n :]
+            for x in (head, tail):
+                if x not in signs:
+                    signs[x] = self._whole(x)
+            out[k] = signs[head] + out[k] + signs[tail]
         other = np.flatnonzero(~plain)
         for k, w in zip(other.tolist(), words.take(pa.array(other)).to_pylist()):
             out[k] = self._word(w)
@@ -154,7 +167,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at, part = _encoder(tokenizer_path), 0, TaskContext.get().partitionId()
-        for b in frugal(batches):
+        for b in frugal(merged(batches)):
             ids, counts = encoder.encode(b.column(1))
             n = len(counts)
             if not n:

@@ -26,7 +26,7 @@ def tokenizer():
 def test_words_encode_like_whole_texts(tokenizer):
     rng = random.Random(5)
     spans = [(32, 0x250), (32, 0x3000), (0x300, 0x400), (32, 127)]
-    texts = ["".join(chr(rng.randrange(*rng.choice(spans))) for _ in range(200)) for _ in range(300)] + ["ΟΔΟΣ. σας! İI ǅ ﬁ é. É?"]
+    texts = ["".join(chr(rng.randrange(*rng.choice(spans))) for _ in range(200)) for _ in range(300)] + ["ΟΔΟΣ. σας! İI ǅ ﬁ é. É?", "<|startoftext|> x<|endoftext|> <|endoftext|>. <|EndOfText|> <|endoftext", "(a) 'b' c's \"d\" e** --f -g- h's' 's. 'sx i|j <k> l_m ß. ẞ Ŀ ŉ ĸ"]
     ids, counts = token_store.WordEncoder(FILE).encode(pa.array(texts))
     ends = np.cumsum(counts)
     for t, n, e in zip(texts, counts, ends):
