@@ -11,7 +11,9 @@ byte pieces.  Of equal sums the longer last piece wins, as in the library.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, powers, ragged_take, tuned
+from .common import frugal, merged, powers, ragged_take, tuned
 
 BLANK = "▁"
-CACHE_WORDS = 200_000
+#: Words of a generation of the cache; a worker holds two generations.
+CACHE_WORDS = 120_000
 #: Words of one length that are solved together, bounds the matrices.
 TOGETHER = 20_000
 UNKNOWN_PENALTY = 10.0
@@ -58,6 +61,7 @@ class PieceTable:
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -120,11 +124,14 @@ class PieceTable:
         coded = pa.array(words, pa.large_string()).dictionary_encode()
         distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         by_size: dict[int, list[str]] = {}
         for w in distinct:
             if w not in self.known:
-                by_size.setdefault(len(w), []).append(w)
+                if w in self.older:
+                    self.known[w] = self.older[w]
+                else:
+                    by_size.setdefault(len(w), []).append(w)
         for size, some in by_size.items():
             step = max(1, min(TOGETHER, 2_000_000 // size))
             for at in range(0, len(some), step):
@@ -147,6 +154,12 @@ class PieceTable:
         return [b.decode("utf-8", "replace").replace(BLANK, " ")[1:] for b in joined.to_pylist()]
 
 
+@lru_cache(maxsize=2)
+def _table(model_file: str) -> PieceTable:
+    """One a worker process: what a task has learned helps the next one."""
+    return PieceTable(model_file)
+
+
 ENCODED = "doc_id long, piece_ids array<int>, n_pieces long, ids_crc32 long, round_trip boolean"
 
 
@@ -158,13 +171,11 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     the format uses for the blank, decodes with blanks there (round_trip false).
     Only doc_id and text are read; rows keep their number.
     """
-    import zlib
-
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(model_file)
-        for b in frugal(batches):
+        table = _table(model_file)
+        for b in frugal(merged(batches)):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids, counts = table.encode(texts)
             ends = np.concatenate([[0], np.cumsum(counts)])
