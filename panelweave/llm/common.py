@@ -71,7 +71,7 @@ def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool.release_unused()
 
 
-def merged(batches: Iterator[pa.RecordBatch], rows: int = 3000, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def merged(batches: Iterator[pa.RecordBatch], rows: int = 2000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches joined until they pass ``rows`` rows or ``size`` bytes: more
     texts share the work on their distinct words, within the same bound."""
     held: list[pa.RecordBatch] = []
