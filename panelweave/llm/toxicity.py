@@ -27,6 +27,12 @@ TRAIN_ROWS = 1500
 ROUNDS = 120
 #: Boosting ends when no rule explains more.
 LEAST_EDGE = 0.03
+#: Expected number of n-grams that join the rules by chance.
+CHANCE = 0.01
+#: Weight of clean rows against toxic ones where the cut is chosen.
+CLEAN_WEIGHT = 6
+#: Share of toxic texts that must hold such an n-gram.
+COMMON = 0.05
 #: Characters decoded together; longer tokens are decoded in pieces.
 WINDOW = 48
 CACHE_WORDS = 200_000
@@ -40,10 +46,10 @@ SYMBOL = {c: k for k, c in enumerate(dict.fromkeys(LETTERS), 2)}
 N = 64
 
 # channel costs in nats
-COST_SIGN, COST_DROP_SEPARATOR, COST_DROP_REPEAT, COST_KEEP_REPEAT, COST_DROP_DOUBLE = 0.5, 0.3, 0.2, 3.0, 5.0
+COST_SIGN, COST_DROP_SEPARATOR, COST_DROP_REPEAT, COST_KEEP_REPEAT, COST_DROP_DOUBLE, COST_DROP_STRETCH = 0.5, 0.3, 0.2, 3.0, 5.0, 1.5
 
 EMAIL = r"\pL@[\w.-]+\.\pL|[/=\\]"
-DISGUISED = r"^[@$!|(]\pL|\pL[0-9@$!|+€£*#(]+\pL|\pL[0-9@$!]$|^[0-9]+\pL|^[\pL0-9@$!]([._\-*~'][\pL0-9@$!]){2,}"
+DISGUISED = r"^[0-9@$!|(+€£*#]+\pL|\pL[0-9@$!|+€£*#(]+\pL|\pL[@$!]$|\pL[@$!]?[0-9]{1,4}[.,;!?]*$|^[\pL0-9@$!]([._\-*~'][\pL0-9@$!]){2,}"
 TRIM = ".,;:?\"()[]{}<>…"
 
 
@@ -95,20 +101,26 @@ def log_model(counts: np.ndarray) -> np.ndarray:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each character of a lower-case token what it may stand for."""
+    """For each character of a lower-case token what it may stand for.
+
+    A double letter is mostly meant; in a token that stretches others as well
+    it is dropped more readily.  A sign that comes again and again separates.
+    """
     out, run = [], 0
+    stretched = sum(a == b for a, b in zip(token, token[1:])) >= 3
     for k, c in enumerate(token):
         run = run + 1 if k and token[k - 1] == c else 1
         if c.isalpha():
             if run == 1:
                 out.append([(c, 0.0)])
             elif run == 2 and token[k + 1 : k + 2] != c:
-                out.append([(c, 0.0), ("", COST_DROP_DOUBLE)])
+                out.append([(c, 0.0), ("", COST_DROP_STRETCH if stretched else COST_DROP_DOUBLE)])
             else:
                 out.append([(c, COST_KEEP_REPEAT), ("", COST_DROP_REPEAT)])
             continue
-        options = [(x, COST_SIGN) for x in LEET.get(c, "")]
-        if c in SEPARATORS:
+        separates = c in SEPARATORS and (c not in LEET or token.count(c) >= 3)
+        options = [] if separates else [(x, COST_SIGN) for x in LEET.get(c, "")]
+        if separates:
             options += [("", COST_DROP_SEPARATOR), (" ", 0.0)]
         elif options and run > 1:
             options += [("", COST_DROP_REPEAT)]
@@ -165,7 +177,7 @@ class Restorer:
         text = np.repeat(np.arange(len(texts)), np.diff(offsets))
         plain = words.to_pylist()
         signs = pc.and_not(pc.match_substring_regex(words, DISGUISED), pc.match_substring_regex(words, EMAIL)).to_numpy(zero_copy_only=False)
-        suspect = signs | _thrice(words)
+        suspect = signs | _stretched(words)
         single = np.fromiter((len(w) == 1 and (w.isalpha() or w in LEET) for w in plain), bool, len(plain))
         number = {w: k for k, w in enumerate(plain)}
         extra_text, extra_word = [], []
@@ -187,17 +199,18 @@ class Restorer:
         return list(number), np.concatenate([text[~hit], np.array(extra_text, np.int64)]), np.concatenate([codes[~hit], np.array(extra_word, np.int64)])
 
 
-def _thrice(words: pa.Array) -> np.ndarray:
-    """Words in which a letter comes three times running."""
+def _stretched(words: pa.Array) -> np.ndarray:
+    """Words with a letter three times running, or three letters doubled."""
     if not len(words):
         return np.zeros(0, bool)
     ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: ends[-1]] | 32
-    same = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] >= 97) & (data[2:] <= 122)
-    at = np.flatnonzero(same)
+    at = np.flatnonzero((data[1:] == data[:-1]) & (data[1:] >= 97) & (data[1:] <= 122))
     word = np.searchsorted(ends, at, side="right") - 1
-    out = np.zeros(len(words), bool)
-    out[word[at + 2 < ends[word + 1]]] = True
+    inside = at + 1 < ends[word + 1]
+    at, word = at[inside], word[inside]
+    out = np.bincount(word, minlength=len(words)) >= 3
+    out[word[1:][(np.diff(at) == 1) & (np.diff(word) == 0)]] = True
     return out
 
 
@@ -277,12 +290,16 @@ class ToxicityModel:
         return out
 
 
-def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
+def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, sketch: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """Confidence-rated boosting of one-sided rules "holds this n-gram".
 
     rows, keys: distinct pairs; toxic: 0 or 1 of each row.  A rule needs three
     toxic rows and a hundredth of all.  Weights are not scaled up again as rows
-    are explained, so chance rules never get a say when little is left.
+    are explained, so chance rules never get a say when little is left.  Then
+    every n-gram joins that is as good as never held by other rows and by more
+    toxic ones (``COMMON``) than chance allows (``CHANCE`` over all): a word is no
+    less toxic for always coming with others.  Copies count once: rows with the
+    same ``sketch`` are one, and a few of them must not make up most.
     Returns keys and gains of the rules, and the bias.
     """
     margin, none = np.zeros(len(toxic)), (np.zeros(0, np.int64), np.zeros(0))
@@ -317,10 +334,24 @@ def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, rounds: int = R
         held = rows[by_feature[i:j]]
         margin[held] += gain
         weight[held] *= np.exp(-gain * sign[held])
-    # the cut with the fewest errors, in the middle of its gap
+    bad = np.bincount(features, weights=(w0 * toxic)[rows], minlength=count)
+    good = np.bincount(features, weights=(w0 * (1 - toxic))[rows], minlength=count)
+    held = toxic[rows] == 1
+    groups = np.unique(sketch, return_inverse=True)[1]
+    pairs, times = np.unique(features[held] * (int(groups.max()) + 1) + groups[rows[held]], return_counts=True)
+    of = pairs // (int(groups.max()) + 1)
+    distinct = np.bincount(of, minlength=count)
+    spread = np.bincount(of, weights=times, minlength=count) ** 2 / np.maximum(np.bincount(of, weights=times.astype(float) ** 2, minlength=count), 1)
+    least = max(COMMON * n_toxic, np.log(count / CHANCE) / -np.log(n_toxic / len(toxic)))
+    more = (gains == 0) & (good <= 0.02 * bad) & (distinct >= least) & (spread >= 5)
+    gains[more] = 0.5 * np.log((bad[more] + small) / (good[more] + small))
+    margin = np.bincount(rows, weights=gains[features], minlength=len(toxic))
+    # the cut with the fewest errors, close above what it leaves below; as most
+    # texts are clean, so is most of what a cut decides
     values = np.unique(margin)
-    cuts = np.concatenate([values[:1] - 1, (values[1:] + values[:-1]) / 2, values[-1:] + 1])
-    right = [(w0 * ((margin > c) == (toxic == 1))).sum() for c in cuts]
+    cuts = np.concatenate([values[:1] - 1, values[:-1] + np.minimum(np.diff(values) / 2, 1.0), values[-1:] + 1])
+    worth = w0 * np.where(toxic == 1, 1, CLEAN_WEIGHT)
+    right = [(worth * ((margin > c) == (toxic == 1))).sum() for c in cuts]
     return named[gains != 0], gains[gains != 0], -float(cuts[int(np.argmax(right))])
 
 
@@ -350,7 +381,12 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TR
         return ToxicityModel(chars, np.zeros(0, np.int64), np.zeros(0), -2.0)
     lists = got.column("at").combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return ToxicityModel(chars, *boost(np.repeat(np.arange(got.num_rows), np.diff(ends)), flat, got.column("toxic").to_numpy()))
+    # two smallest hashes of a text's n-grams: near copies mostly share both
+    some = np.flatnonzero(np.diff(ends))
+    low = [np.minimum.reduceat(k, ends[:-1][some]) if len(some) else k for k in (flat, mix64(flat.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)).view(np.int64))]
+    sketch = np.zeros(got.num_rows, np.int64)
+    sketch[some] = low[0] ^ (low[1] << 1)
+    return ToxicityModel(chars, *boost(np.repeat(np.arange(got.num_rows), np.diff(ends)), flat, got.column("toxic").to_numpy(), sketch))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
