@@ -51,3 +51,17 @@ def squared_correlation(n: Column, x: Column, y: Column, xx: Column, yy: Column,
     n, x, y, xx, yy, xy = (c.cast("double") for c in (n, x, y, xx, yy, xy))
     cov = n * xy - x * y
     return F.coalesce(F.try_divide(cov * cov, (n * xx - x * x) * (n * yy - y * y)), F.lit(0.0))
+
+
+def recode(value: Column, codes: dict[str, str]) -> Column:
+    """``value`` by a table of codes; a value that has none is an error."""
+    out = F.when(value.isNull(), F.lit(None).cast("string"))
+    for k, v in codes.items():
+        out = out.when(value == k, v)
+    return out.otherwise(F.raise_error(F.concat(F.lit("no code for "), value.cast("string"))).cast("string"))
+
+
+def key_values(**values: Column) -> Column:
+    """``k=v;k=v`` text of a row, null as NA, numbers to seven digits."""
+    parts = [F.concat(F.lit(f"{k}="), F.coalesce(v.cast("string"), F.lit("NA"))) for k, v in values.items()]
+    return F.concat_ws(";", *parts)

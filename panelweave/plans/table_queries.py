@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import finite, key_values, recode
 from ..functions.random import mix_sql
 from ..operators import integrity, ordered, phenotype, sampling
 from ..sources.text import parse_report
@@ -198,3 +199,33 @@ def record_diff(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
     actual = p.where("p_size <> 9").select(F.col("p_partkey").alias("key"), F.when(F.col("p_size") == 7, F.col("p_type")).otherwise(F.col("p_brand")).alias("value"))
     return integrity.record_diff(actual, p.select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("value")))
+
+
+@query("select o_orderkey, case o_orderstatus when 'F' then 'X' when 'O' then 'Y' when 'P' then 'Z' end as code from orders")
+def value_recode(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes by a table; a status outside it would be an error."""
+    return table(spark, sf, "orders").select("o_orderkey", recode(F.col("o_orderstatus"), {"F": "X", "O": "Y", "P": "Z"}).alias("code"))
+
+
+@query("select event_type, 'n=' || count(*) || ';missing=' || (count(*) - count(value)) || ';users=' || count(distinct user_id) as line from events group by 1")
+def trait_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary lines as key and value text."""
+    s = table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), (F.count("*") - F.count("value")).alias("m"), F.count_distinct("user_id").alias("u"))
+    return s.select("event_type", key_values(n=F.col("n"), missing=F.col("m"), users=F.col("u")).alias("line"))
+
+
+@query("with v as (select l_returnflag as f, l_tax as x from lineitem) select f, count(*) as kept, round(sum(x), 4) as total from v where isfinite(x) and x > 0 group by 1")
+def finite_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Finite values only."""
+    v = table(spark, sf, "lineitem").where(finite(F.col("l_tax")) & (F.col("l_tax") > 0))
+    return rounded(v.groupBy(F.col("l_returnflag").alias("f")).agg(F.count("*").alias("kept"), F.sum("l_tax").alias("total")), 4)
+
+
+@query("select o_custkey, sum(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows unbounded preceding) is not null as running, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as n, round(sum(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows unbounded preceding), 2) as total from orders")
+def running_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Cumulative sums within a key."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    total = F.sum("o_totalprice").over(w.rowsBetween(W.unboundedPreceding, 0))
+    return table(spark, sf, "orders").select("o_custkey", total.isNotNull().alias("running"), F.row_number().over(w).cast("long").alias("n"), F.round(total, 2).alias("total"))

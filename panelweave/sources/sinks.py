@@ -192,3 +192,19 @@ def replace_table(df: DataFrame, path: str) -> None:
         require(fs.rename(target, old), f"{path} could not be set aside")
     require(fs.rename(fresh, target), f"{path} could not be replaced")
     fs.delete(old, True)
+
+
+def session_record(spark: SparkSession) -> DataFrame:
+    """name and value of what a build ran on, for its manifest."""
+    import platform
+
+    rows = [("spark", spark.version), ("python", platform.python_version()), ("system", platform.platform()), ("ansi", str(spark.conf.get("spark.sql.ansi.enabled"))), ("time_zone", spark.conf.get("spark.sql.session.timeZone"))]
+    return spark.createDataFrame(rows, "name string, value string")
+
+
+def write_report(lines: DataFrame, path: str, order: str = "line", column: str = "value") -> None:
+    """Report lines in order, staged and renamed: readers see all or nothing."""
+    with open(f"{path}.part", "w") as file:
+        for row in lines.orderBy(order).select(column).toLocalIterator():
+            file.write(f"{row[0]}\n")
+    os.replace(f"{path}.part", path)

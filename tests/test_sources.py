@@ -209,3 +209,17 @@ def test_fetch_checks_and_unpacks(tmp_path):
     assert not os.path.exists(f"{tmp_path}/bad.zip") and not os.path.exists(f"{tmp_path}/bad.zip.part")
     files = fetch.unpack(got, f"{tmp_path}/out")
     assert [os.path.basename(f) for f in files] == ["a.txt"] and open(files[0]).read() == "x"
+
+
+def test_reports_records_and_codes(spark, tmp_path):
+    from panelweave.functions import key_values, recode
+
+    df = spark.createDataFrame([(0, "Male"), (1, None)], "line int, sex string")
+    code = recode(F.col("sex"), {"Male": "1", "Female": "2"})
+    assert [r.c for r in df.select(code.alias("c")).collect()] == ["1", None]
+    with pytest.raises(Exception, match="no code for Male"):
+        df.select(recode(F.col("sex"), {"Female": "2"}).alias("c")).collect()
+    lines = df.select("line", key_values(line=F.col("line"), sex=F.col("sex")).alias("value"))
+    sinks.write_report(lines, f"{tmp_path}/r.txt")
+    assert open(f"{tmp_path}/r.txt").read() == "line=0;sex=Male\nline=1;sex=NA\n"
+    assert sinks.session_record(spark).where("name = 'spark'").first().value == spark.version
