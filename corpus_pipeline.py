@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import exact_dedup, langid, mixing, pieces, simhash
+from panelweave.llm import exact_dedup, langid, mixing, pieces, similar
 from panelweave.llm.common import crc_text, scratch, written
 from panelweave.llm.queries import MIX, quality_domains, table, tokenizer_file
 
@@ -37,9 +37,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest doc_id stays."""
-    groups = simhash.near_groups(docs)
-    gone = written(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), "near-copies")
+    """Of each group of near duplicates (five-word shingles, Jaccard similarity
+    0.8 or more) the row with the smallest doc_id stays."""
+    groups = similar.similar_groups(docs)
+    gone = written(groups.where("node <> component").select(F.col("node").alias("doc_id")), "near-copies")
     return without(docs, gone)
 
 
