@@ -25,9 +25,7 @@ from .common import frugal, mix64, sums_by_text, tuned, word_table
 
 BUCKETS = 1 << 16
 #: Labelled rows of each language that the models are fitted on.
-TRAIN_ROWS = 500
-#: n-grams that the models have weights for.
-GRAMS = 5000
+TRAIN_ROWS = 800
 #: Labelled texts whose n-grams a task lays out together.
 TOGETHER = 32
 #: Languages by family; any other language is a family of its own.
@@ -69,23 +67,38 @@ def word_ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], np.bincount(owners, minlength=len(framed))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> np.ndarray:
-    """A linear SVM by dual coordinate descent; y is -1 or 1, 0 leaves a row
-    out.  The last column of x is constant."""
+@dataclass
+class SparseRows:
+    """Rows of distinct columns ``at`` with values ``value``, end to end."""
+
+    ends: np.ndarray  # 0, then the end of each row
+    at: np.ndarray
+    value: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+
+def _svm(x: SparseRows, y: np.ndarray, c: float = 10.0, rounds: int = 40) -> np.ndarray:
+    """Weights of a linear SVM by dual coordinate descent, and last the bias;
+    y is -1 or 1, 0 leaves a row out."""
     rows = np.flatnonzero(y)
-    alpha, w, norm = np.zeros(len(x)), np.zeros(x.shape[1], x.dtype), np.einsum("ij,ij->i", x, x).astype(np.float64)
+    alpha, w, bias = np.zeros(len(x)), np.zeros(BUCKETS, np.float32), 0.0
+    at, value = ([v[i:j] for i, j in zip(x.ends[:-1], x.ends[1:])] for v in (x.at, x.value))
+    norm = [float(v @ v) + 1 for v in value]
     rng = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(rows):
-            step = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / norm[i], 0), c) - alpha[i]
+            step = min(max(alpha[i] - (y[i] * (value[i] @ w[at[i]] + bias) - 1) / norm[i], 0), c) - alpha[i]
             if step:
                 alpha[i] += step
-                w += x.dtype.type(step * y[i]) * x[i]
+                w[at[i]] += np.float32(step * y[i]) * value[i]
+                bias += step * y[i]
                 moved = max(moved, abs(step))
         if moved < 1e-3 * c:
             break
-    return w.astype(np.float64)
+    return np.append(w.astype(np.float64), bias)
 
 
 @dataclass
@@ -99,8 +112,8 @@ class LanguageModel:
     bias: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: list[str]) -> LanguageModel:
-        """x: mean n-gram vectors by row, and a last column of ones."""
+    def fit(cls, x: SparseRows, langs: list[str]) -> LanguageModel:
+        """x: mean n-gram vectors by row."""
         names = sorted(set(langs))
         family = [FAMILY_OF.get(n, n) for n in langs]
         families = sorted(set(family))
@@ -187,27 +200,21 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
     order = [k[-1] for k in sorted(keys)]
     if not order:
         return None
-    # the n-grams that most rows have carry the models
-    df = np.bincount(at, minlength=BUCKETS)
-    used = np.argsort(-df, kind="stable")[: min(GRAMS, int((df > 0).sum()))]
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
-    x = np.zeros((len(order), len(used) + 1), np.float32)
-    for i, r in enumerate(order):
-        where_, count = place[at[ends[r] : ends[r + 1]]], n[ends[r] : ends[r + 1]].astype(np.float32)
-        x[i, where_[where_ >= 0]] = count[where_ >= 0] / count.sum()
+    # sparse rows: every n-gram of every row has a weight, however rare
+    sizes = np.diff(ends)[order]
+    new = np.concatenate([[0], np.cumsum(sizes)])
+    take = np.repeat(ends[:-1][order] - new[:-1], sizes) + np.arange(new[-1])
+    at, count = at[take], n[take]
+    value = (count / np.repeat(np.add.reduceat(count, new[:-1], dtype=np.int64), sizes)).astype(np.float32)
     langs = [langs[r] for r in order]
-    del got, at, n
+    del got, n, take, count
     pa.default_memory_pool().release_unused()
-    scale = (1.0 / (np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)) + 1e-3)).astype(np.float32)
-    x *= scale
-    again = np.float32(1.0 / np.sqrt(np.einsum("ij,ij->", x, x) / len(x)))
-    x *= again
-    x[:, -1] = 1
-    model = LanguageModel.fit(x, langs)
-    full = np.zeros((BUCKETS, model.weights.shape[1]))
-    full[used] = model.weights * (scale * again)[:-1, None]
-    model.weights = full
+    scale = (1.0 / (np.sqrt(np.bincount(at, weights=value.astype(np.float64) ** 2, minlength=BUCKETS) / len(order)) + 1e-3)).astype(np.float32)
+    value *= scale[at]
+    again = np.float32(1.0 / np.sqrt(np.sum(value.astype(np.float64) ** 2) / len(order)))
+    value *= again
+    model = LanguageModel.fit(SparseRows(new, at, value), langs)
+    model.weights *= (scale * again)[:, None]
     return model
 
 

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelweave.llm import langid
@@ -39,3 +40,21 @@ def test_held_out_accuracy_and_inputs(spark):
     out = op7_language_id(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").where("held_out")
     right, n = out.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert right / n > 0.98
+
+
+def test_languages_with_few_rows_in_their_own_scripts(spark):
+    big = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text", "lang")
+    letters = {"ka": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "hy": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրց"}
+    rows = []
+    for lang, abc in letters.items():
+        for k in range(60):
+            text = " ".join("".join(abc[(k * 7 + w * 5 + i * i * (w % 4 + 1)) % 33] for i in range(3 + (k + w) % 5)) for w in range(25))
+            rows.append((10**7 + 2 * k + (lang == "hy"), text, lang))
+    small = spark.createDataFrame(rows, big.schema)
+    model = langid.train(big.union(small), F.col("doc_id") < 10**7 + 60)
+    got = langid.predict(small.where(F.col("doc_id") >= 10**7 + 60), model).join(small, "doc_id").collect()
+    assert len(got) == 60 and all(r.lang_pred == r.lang for r in got)
+    # no n-gram is left to chance hits of buckets that other languages fill
+    for lang in letters:
+        words = pa.array(sorted({w for i, t, name in rows if name == lang and i < 10**7 + 60 for w in t.split()}))
+        assert (model.weights[langid.word_ngrams(words)[0]] != 0).any(axis=1).all()
