@@ -10,6 +10,8 @@ over the n-grams it holds, however often, so length does not matter.
 
 from __future__ import annotations
 
+import os
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +35,8 @@ CHANCE = 0.01
 CLEAN_WEIGHT = 6
 #: Share of toxic texts that must hold such an n-gram.
 COMMON = 0.05
-#: Characters decoded together; longer tokens are decoded in pieces.
+#: Steps after which what all paths share is put out, which bounds their memory;
+#: and how far around a letter its token counts as stretched.
 WINDOW = 48
 CACHE_WORDS = 200_000
 
@@ -107,18 +110,21 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     it is dropped more readily.  A sign that comes again and again separates.
     """
     out, run = [], 0
-    stretched = sum(a == b for a, b in zip(token, token[1:])) >= 3
+    doubles, times = [0], Counter(token)
+    for a, b in zip(token, token[1:]):
+        doubles.append(doubles[-1] + (a == b))
     for k, c in enumerate(token):
         run = run + 1 if k and token[k - 1] == c else 1
         if c.isalpha():
             if run == 1:
                 out.append([(c, 0.0)])
             elif run == 2 and token[k + 1 : k + 2] != c:
+                stretched = doubles[min(k + WINDOW, len(token) - 1)] - doubles[max(k - WINDOW, 0)] >= 3
                 out.append([(c, 0.0), ("", COST_DROP_STRETCH if stretched else COST_DROP_DOUBLE)])
             else:
                 out.append([(c, COST_KEEP_REPEAT), ("", COST_DROP_REPEAT)])
             continue
-        separates = c in SEPARATORS and (c not in LEET or token.count(c) >= 3)
+        separates = c in SEPARATORS and (c not in LEET or times[c] >= 3)
         options = [] if separates else [(x, COST_SIGN) for x in LEET.get(c, "")]
         if separates:
             options += [("", COST_DROP_SEPARATOR), (" ", 0.0)]
@@ -129,30 +135,46 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(token: str, model: np.ndarray) -> str:
-    """The most likely text behind a token, words separated by blanks."""
-    out = []
-    for at in range(0, len(token), WINDOW):
-        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for options in [*lattice(token[at : at + WINDOW]), [(" ", 0.0)]]:
-            new: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for (a, b), (score, path) in best.items():
-                for c, cost in options:
-                    if not c:
-                        key, value = (a, b), score - cost
-                    else:
-                        s = SYMBOL.get(c, 1) if c != " " else 0
-                        key, value = (b, s), score - cost + (model[a, b, s] if s or b else 0.0)
-                    if key not in new or value > new[key][0]:
-                        new[key] = value, (path, c) if c else path
-            best = new
-        path, chars = max(best.values(), key=lambda x: x[0])[1], []
-        while path:
-            path, c = path
-            chars.append(c)
-        out.append("".join(chars[::-1]))
+    """The most likely text behind a token, words separated by blanks.
+
+    Paths run over the whole token; every ``WINDOW`` steps the beginning that
+    all of them share is put out.
+    """
+    out: list[str] = []
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    for step, options in enumerate([*lattice(token), [(" ", 0.0)]], 1):
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (score, path) in best.items():
+            for c, cost in options:
+                if not c:
+                    key, value = (a, b), score - cost
+                else:
+                    s = SYMBOL.get(c, 1) if c != " " else 0
+                    key, value = (b, s), score - cost + (model[a, b, s] if s or b else 0.0)
+                if key not in new or value > new[key][0]:
+                    new[key] = value, (path, c) if c else path
+        best = new
+        if step % WINDOW == 0:
+            told = {key: _spelled(path) for key, (_, path) in best.items()}
+            shared = os.path.commonprefix(list(told.values()))
+            out.append(shared)
+            for key, text in told.items():
+                path = ()
+                for c in text[len(shared) :]:
+                    path = path, c
+                best[key] = best[key][0], path
+    out.append(_spelled(max(best.values(), key=lambda x: x[0])[1]))
     return " ".join("".join(out).split())
 
 
+def _spelled(path: tuple) -> str:
+    chars = []
+    while path:
+        path, c = path
+        chars.append(c)
+    return "".join(chars[::-1])
+
+
 class Restorer:
     """Restored words of a batch of texts."""
 

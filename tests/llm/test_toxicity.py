@@ -14,6 +14,32 @@ def test_restoring_disguises(spark, sf):
         assert restore(disguise) == [word], disguise
 
 
+def test_long_tokens_decode_like_uncut_paths():
+    rng = np.random.default_rng(5)
+    model = np.log(rng.dirichlet(np.ones(toxicity.N), (toxicity.N, toxicity.N)))
+    for n in (40, 96, 97, 400):
+        token = "".join(rng.choice(list("abcdefgor013-.!"), n))
+        best = {(0, 0): (0.0, "")}
+        for options in [*toxicity.lattice(token), [(" ", 0.0)]]:
+            new = {}
+            for (a, b), (score, text) in best.items():
+                for c, cost in options:
+                    s = toxicity.SYMBOL.get(c, 1) if c.strip() else 0
+                    key, value = ((b, s), score - cost + (model[a, b, s] if s or b else 0.0)) if c else ((a, b), score - cost)
+                    if key not in new or value > new[key][0]:
+                        new[key] = value, text + c
+            best = new
+        assert toxicity.decode(token, model) == " ".join(max(best.values())[1].split())
+
+
+def test_no_word_is_cut_in_long_tokens(spark):
+    words = ["loser", "scum", "book"]
+    docs = spark.createDataFrame(doc_rows([" ".join(words * 40)]), DOCS)
+    model = toxicity.log_model(toxicity.trigram_counts(docs))
+    for sep in (" ", "-", "."):
+        assert toxicity.decode(sep.join("".join(words * 20)), model).split() == words * 20
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(4)
     model = np.log(rng.dirichlet(np.ones(toxicity.N), (toxicity.N, toxicity.N)))
