@@ -42,7 +42,7 @@ CACHE_WORDS = 200_000
 
 #: What signs may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h"}
-SEPARATORS = " .-_*~'"
+SEPARATORS = " .-_*~'/=\\"
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâçîïôûùñóíúáåøæœãõìòõý"
 #: 0: word border, 1: any other letter
 SYMBOL = {c: k for k, c in enumerate(dict.fromkeys(LETTERS), 2)}
@@ -51,9 +51,10 @@ N = 64
 # channel costs in nats
 COST_SIGN, COST_DROP_SEPARATOR, COST_DROP_REPEAT, COST_KEEP_REPEAT, COST_DROP_DOUBLE, COST_DROP_STRETCH = 0.5, 0.3, 0.2, 3.0, 5.0, 1.5
 
-EMAIL = r"\pL@[\w.-]+\.\pL|[/=\\]"
-DISGUISED = r"^[0-9@$!|(+€£*#]+\pL|\pL[0-9@$!|+€£*#(]+\pL|\pL[@$!]$|\pL[@$!]?[0-9]{1,4}[.,;!?]*$|^[\pL0-9@$!]([._\-*~'][\pL0-9@$!]){2,}"
-TRIM = ".,;:?\"()[]{}<>…"
+EMAIL = r"\pL@[\w-]+(\.[\w-]+)*\.\pL{2,}"
+#: Of a trimmed token: a sign or digit that may stand for a letter, or a separator inside.
+DISGUISED = r"[0-9@$!|+(€£*#]|[^\s][._\-*~'/=\\]+[^\s]"
+TRIM = ".,;:?\"'()[]{}<>…“”„‘’‚«»‹›"
 
 
 def _symbols(text: str) -> np.ndarray:
@@ -198,7 +199,8 @@ class Restorer:
         words = words.cast(pa.large_string())
         text = np.repeat(np.arange(len(texts)), np.diff(offsets))
         plain = words.to_pylist()
-        signs = pc.and_not(pc.match_substring_regex(words, DISGUISED), pc.match_substring_regex(words, EMAIL)).to_numpy(zero_copy_only=False)
+        core = pc.utf8_rtrim(pc.utf8_trim(words, TRIM), "!" + TRIM)
+        signs = pc.and_not(pc.match_substring_regex(core, DISGUISED), pc.match_substring_regex(core, EMAIL)).to_numpy(zero_copy_only=False)
         suspect = signs | _stretched(words)
         single = np.fromiter((len(w) == 1 and (w.isalpha() or w in LEET) for w in plain), bool, len(plain))
         number = {w: k for k, w in enumerate(plain)}

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelweave.llm import toxicity
@@ -40,6 +41,22 @@ def test_no_word_is_cut_in_long_tokens(spark):
         assert toxicity.decode(sep.join("".join(words * 20)), model).split() == words * 20
 
 
+def test_every_disguise_reaches_the_lattice(spark):
+    docs = spark.createDataFrame(doc_rows(["stupid idiot ass puss " * 20 + "the cat sat on a mat with another dog " * 50]), DOCS)
+    restorer = toxicity.Restorer(toxicity.log_model(toxicity.trigram_counts(docs)))
+    for word, tokens in {
+        "ass": ["a$$", "@$$", "455", "(a$$)"],
+        "puss": ["pu$$"],
+        "idiot": ["'1diot'", '"1diot"', '"i.d.i.o.t"', "-i-d-i-o-t-", "i..d..i..o..t", "id-iot", "i/d/i/o/t", "i=d=i=o=t", "“1diot”"],
+        "stupid": ["'$tupid'", '"$tupid', "st.up.id"],
+    }.items():
+        for token in tokens:
+            words, _, at = restorer.words(pa.array([token]))
+            assert [words[k] for k in at] == [word], token
+    words, _, at = restorer.words(pa.array(["plain words, me@here.org!"]))
+    assert [words[k] for k in at] == ["plain", "words,", "me@here.org!"]
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(4)
     model = np.log(rng.dirichlet(np.ones(toxicity.N), (toxicity.N, toxicity.N)))
