@@ -160,15 +160,15 @@ def effective_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def largest_eigenvalue(spark: SparkSession, sf: str) -> DataFrame:
-    """Effective rank and largest eigenvalue of population 0, from sample space."""
-    rank, top = spectra.eigen_metrics(panel(spark, sf).where("label = 0"))
+    """Effective rank and largest eigenvalue of the panel, from sample space."""
+    rank, top = spectra.eigen_metrics(panel(spark, sf))
     return spark.createDataFrame([(round(rank, 6), round(top, 6))], "effective_rank double, largest_eigenvalue double")
 
 
 @query()
 def pca_displacement(spark: SparkSession, sf: str) -> DataFrame:
     g = panel(spark, sf)
-    return rounded(spectra.pca_displacement(g.where("label between 5 and 6"), g.where("label < 2")), 6)
+    return rounded(spectra.pca_displacement(g.where("label >= 5"), g.where("label < 5")), 6)
 
 
 _SIDES = "a as (select j, least(avg(d) / 2, 1 - avg(d) / 2) as x from g where label >= 5 group by j), b as (select j, least(avg(d) / 2, 1 - avg(d) / 2) as y from g where label < 5 group by j), ab as (select x, y from a join b using (j))"
@@ -271,8 +271,8 @@ def relatedness_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Bytes and digest of the small dimension tables' files."""
-    return integrity.file_manifest(spark, f"{sf}/region.parquet").select(F.substring_index("path", "/", -1).alias("file"), "bytes", "sha256")
+    """Bytes and digest of every file of the folder; a table's name keeps its parts apart."""
+    return integrity.file_manifest(spark, sf).select(F.regexp_extract("path", r"([^/]+\.parquet/)?[^/]+$", 0).alias("file"), "bytes", "sha256")
 
 
 @query(f"""with {PANEL}, {MAP} select cast(floor(j / 16) + 1 as int) as block, count(*) as calls, min(bp) as from_bp, max(bp) as to_bp, sum(d)::bigint as dosage from g join m using (j) group by 1""")
@@ -292,10 +292,10 @@ def block_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """The metric vector of populations 5 and 6 against populations 0 and 1."""
+    """The metric vector of populations 5 to 9 against populations 0 to 4."""
     g = panel(spark, sf)
-    ref = g.where("label < 2")
-    return rounded(validation.dataset_metrics(g.where("label between 5 and 6"), markers(spark), genotype.marker_stats(ref).select("j", "maf"), ref), 6)
+    ref = g.where("label < 5")
+    return rounded(validation.dataset_metrics(g.where("label >= 5"), markers(spark), genotype.marker_stats(ref).select("j", "maf"), ref), 6)
 
 
 @query()
@@ -304,4 +304,4 @@ def validation_gates(spark: SparkSession, sf: str) -> DataFrame:
     g = panel(spark, sf)
     syn, ref = g.where("label >= 5").select("i", "j", "d"), g.where("label < 5").select("i", "j", "d")
     n = syn.select("i").distinct().count()
-    return validation.validate_panel("all", syn, ref, markers(spark), genotype.marker_stats(ref).select("j", "maf"), n, 64, 11, 3, 2, 100).gates
+    return validation.validate_panel("all", syn, ref, markers(spark), genotype.marker_stats(ref).select("j", "maf"), n, 64, 11).gates
