@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,26 +16,35 @@ from pyspark.sql import functions as F
 #: Rows of one Arrow batch.  A batch of whole texts has to fit a Python worker
 #: several times over; texts have no length bound, so the row count is kept low.
 ARROW_ROWS = 1000
+#: Bytes of one Arrow batch, and of the rows that a worker lays out together; a
+#: longer row is a batch of its own.
+ARROW_BYTES = 4 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that whole texts travel in."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Bound the Arrow batches that whole texts travel in, by rows and bytes."""
+    for key, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(re.sub(r"\D", "", spark.conf.get(key, None) or "") or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine) a temporary folder is
-    set as checkpoint directory once and used from then on.
+    Where the session names none, a temporary folder is set as checkpoint
+    directory once and used from then on; only on one machine, as no other
+    machine could see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     now = spark.sparkContext._jsc.sc().getCheckpointDir()
     if now.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="panelweave-"))
         now = spark.sparkContext._jsc.sc().getCheckpointDir()
     return now.get().rstrip("/")
@@ -71,17 +81,47 @@ def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool.release_unused()
 
 
-def merged(batches: Iterator[pa.RecordBatch], rows: int = 2000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches joined until they pass ``rows`` rows or ``size`` bytes: more
-    texts share the work on their distinct words, within the same bound."""
-    held: list[pa.RecordBatch] = []
+def part(b: pa.RecordBatch | pa.Array, at: int, to: int) -> pa.RecordBatch | pa.Array:
+    """Rows ``at`` to ``to``, copied: some of Arrow's string kernels misread an
+    array that starts within its buffers."""
+    return b.take(pa.array(np.arange(at, to)))
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the bytes of a text column pass ``size``, so that what
+    a worker lays out follows the bound, not the batch; a longer text is alone.
+    Empty batches are left out."""
     for b in batches:
+        if not b.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield b if to - at == b.num_rows else part(b, at, to)
+            at = to
+
+
+def merged(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2000, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined, or cut by the bytes of a text column, to about ``rows``
+    rows or ``size`` bytes: more texts share the work on their distinct words,
+    within the same bound."""
+    held: list[pa.RecordBatch] = []
+    for b in slices(batches, column, size):
         held.append(b)
         if sum(h.num_rows for h in held) >= rows or sum(h.nbytes for h in held) >= size:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held = []
-    if held and (t := pa.Table.from_batches(held)).num_rows:
-        yield t.combine_chunks().to_batches()[0]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no frame has such a column."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def crc_text(c: Column | str) -> Column:
@@ -89,6 +129,11 @@ def crc_text(c: Column | str) -> Column:
     return F.crc32(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"))
 
 
+def text_key() -> Column:
+    """With doc_id, what a row of documents is known by: the hash of its text."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -102,6 +147,8 @@ def word_table(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarr
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    if texts.offset:
+        texts = part(texts, 0, len(texts))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
         texts = pc.ascii_lower(texts)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, remove, tuned, written
+from .common import ascii_lower, remove, text_key, tuned, written
 
 ENTRY = "run int, slice int, h long, sha binary, keep_id long, n long"
 
@@ -64,22 +64,25 @@ def merge_runs(runs: DataFrame, n_runs: int, fan: int = 8, largest: bool = False
     return runs
 
 
-def exact_groups(docs: DataFrame, keep: str = "min", fan: int = 8, slices: int | None = None) -> DataFrame:
+def exact_groups(docs: DataFrame, keep: str = "min", fan: int = 8, slices: int | None = None, keyed: bool = False) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``.
 
     Texts are equal when identical after lower-casing A-Z only; null counts as
     the empty text.  ``keep`` is ``min`` or ``max``: the doc_id of the row that
     stays.  A null doc_id is kept only where the group has no other.  Rows that
     repeat both doc_id and text count each in group_size and share the verdict.
-    An empty table gives an empty result.  Other columns are ignored.
+    An empty table gives an empty result.  Other columns are ignored.  ``keyed``
+    adds h, the hash of the text as it stands, which tells rows of one doc_id
+    apart.
     """
     spark = tuned(docs.sparkSession)
     largest = keep == "max"
     if slices is None:
         slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key, own = (["text_key"], [text_key().alias("text_key")]) if keyed else ([], [])
     norm = ascii_lower(F.coalesce("text", F.lit("")))
     digests = written(
-        docs.select(F.col("doc_id").cast("long"), norm.alias("t"), F.spark_partition_id().alias("run")).select("doc_id", "run", F.xxhash64("t").alias("h"), F.unhex(F.sha2("t", 256)).alias("sha")),
+        docs.select(F.col("doc_id").cast("long"), norm.alias("t"), F.spark_partition_id().alias("run"), *own).select("doc_id", "run", *key, F.xxhash64("t").alias("h"), F.unhex(F.sha2("t", 256)).alias("sha")),
         "digests",
     )
     n_runs = 1 + (digests.agg(F.max("run")).first()[0] or 0)
@@ -96,4 +99,5 @@ def exact_groups(docs: DataFrame, keep: str = "min", fan: int = 8, slices: int |
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.when(F.col("group_size").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("best"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        *(F.col(c).alias("h") for c in key),
     )

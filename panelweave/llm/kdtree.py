@@ -28,6 +28,8 @@ QUERY_BLOCK = 8192
 #: Vectors with longer components are multiplied as Python integers: products
 #: of shorter ones stay below 2**53.
 EXACT = 1 << 26
+#: Scores beyond these come back as these.
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 class KdTree:
@@ -60,7 +62,7 @@ class KdTree:
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Best possible score of each query (row) in each node."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        return _held(np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T)
 
     def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor: int) -> list[tuple[int, int]]:
         """At most k (score, -id) of scores of at least ``floor``, best first."""
@@ -77,7 +79,7 @@ class KdTree:
                         heapq.heappush(todo, (-bounds[c], c))
                 continue
             i, j = self.span[node]
-            scores = self.points[i:j] @ query
+            scores = _held(self.points[i:j] @ query)
             for r in np.flatnonzero(scores >= floor).tolist():
                 entry = (int(scores[r]), -int(self.ids[i + r]))
                 if -entry[1] == own:
@@ -91,6 +93,11 @@ class KdTree:
         return sorted(best, reverse=True)
 
 
+def _held(scores: np.ndarray) -> np.ndarray:
+    """Whole numbers cut to the range of a long; floats here never pass it."""
+    return np.clip(scores, LEAST, MOST) if scores.dtype == object else scores
+
+
 def _matrix(vectors: pa.Array, scale: float) -> np.ndarray:
     """floor(scale * x) of vectors of one length: float64 where all products
     are exact in it, else Python integers."""
@@ -135,7 +142,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024
     Components become floor(scale * x).  Vectors that are null or hold null or
     non-finite components take no part, nor rows without an id.  Vectors of
     other lengths than the query's have no product with it.  Rows that share a
-    query's id are its own; of several query rows of one id the smallest asks.  Fewer candidates than ``k``: all of them.
+    query's id are its own; of several query rows of one id the smallest asks.
+    Fewer candidates than ``k``: all of them.  A score beyond the range of a
+    long is the end of that range, and ties there go to the smaller id as well.
+    Empty tables give no rows; other columns are not read, whatever their names.
     """
     spark = tuned(vectors.sparkSession)
     # an infinite component makes the cast below infinite, never an error
@@ -170,7 +180,7 @@ def _search(rows: DataFrame, asked: pa.Table, k: int, scale: float) -> DataFrame
         floors[size] = np.full(len(ids), -np.inf, object)
         if len(ids) > k:
             for at in range(0, len(ids), 256):
-                s = m[at : at + 256] @ m.T
+                s = _held(m[at : at + 256] @ m.T)
                 for r, row in enumerate(s, at):
                     floors[size][r] = np.partition(np.delete(row, r), -k)[-k]
     shared = rows.sparkSession.sparkContext.broadcast((queries, floors))

@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import frugal, mix64, sums_by_text, tuned, word_table
+from .common import fresh, frugal, mix64, part, slices, sums_by_text, tuned, word_table
 
 BUCKETS = 1 << 16
 #: Labelled rows of each language that the models are fitted on.
 TRAIN_ROWS = 800
-#: Labelled texts whose n-grams a task lays out together.
-TOGETHER = 32
+#: Labelled texts whose n-grams a task lays out together, and their bytes.
+TOGETHER, TOGETHER_BYTES = 32, 1 << 20
+#: Bytes of distinct words, and words of a text, that are summed together.
+WORD_BYTES, WORDS = 1 << 18, 1 << 16
 #: Languages by family; any other language is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "fy", "lb", "yi"),
@@ -43,8 +45,8 @@ FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in lang
 UNKNOWN = "und"
 
 
-def word_ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of each word, end to end, and each word's count.
+def _grams(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n from 1 to 4 the buckets of all n-grams and the word of each.
 
     n-grams are runs of UTF-8 bytes of the lower-cased word between two spaces.
     Words without a letter have none.
@@ -56,15 +58,34 @@ def word_ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(framed.buffers()[2] or b"", np.uint8)[: ends[-1]].astype(np.uint64) + np.uint64(1)
     owner = np.repeat(np.arange(len(framed)), np.diff(ends))
     left = ends[1:][owner] - np.arange(len(owner)) if len(owner) else ends[:0]  # bytes from here to the word's end
-    code, grams, owners = np.zeros(len(data), np.uint64), [], []
+    code = np.zeros(len(data), np.uint64)
     for n in range(1, 5):
         code = code[: len(data) - n + 1] * np.uint64(257) + data[n - 1 :]
         fits = (left[: len(code)] >= n) & lettered[owner[: len(code)]]
-        grams.append((mix64(code[fits] + np.uint64(n << 40)) % np.uint64(BUCKETS)).astype(np.int64))
-        owners.append(owner[: len(code)][fits])
-    grams, owners = np.concatenate(grams), np.concatenate(owners)
+        yield (mix64(code[fits] + np.uint64(n << 40)) % np.uint64(BUCKETS)).astype(np.int32), owner[: len(code)][fits]
+
+
+def word_ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of each word, end to end, and each word's count."""
+    grams, owners = (np.concatenate(x) for x in zip(*_grams(words)))
     order = np.argsort(owners, kind="stable")
-    return grams[order], np.bincount(owners, minlength=len(framed))
+    return grams[order], np.bincount(owners, minlength=len(words))
+
+
+def word_sums(words: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of each model's weights over the n-grams of each word, and their
+    number; words go by runs of ``WORD_BYTES``, weights a model at a time."""
+    sums, counts = np.zeros((len(words), weights.shape[1])), np.zeros(len(words), np.int64)
+    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(words):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WORD_BYTES, side="right")))
+        for grams, owner in _grams(part(words, at, to)):
+            counts[at:to] += np.bincount(owner, minlength=to - at)
+            for m in range(weights.shape[1]):
+                sums[at:to, m] += np.bincount(owner, weights=weights[grams, m], minlength=to - at)
+        at = to
+    return sums, counts
 
 
 @dataclass
@@ -162,19 +183,23 @@ def _vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample_labelled(docs: DataFrame, label: str, per_label: int, where: Column) -> DataFrame:
-    """At most ``per_label`` rows of each label, chosen by a hash of doc_id.
+    """About ``per_label`` different rows of each label: doc_id, text, label.
 
-    The threshold comes from the labels' counts, with room to spare, so each
-    label's rows are cut by a filter and no group meets in one task.
+    Rows are chosen by a hash of doc_id and text against a threshold from the
+    labels' counts, so each label's rows are cut by a filter.  Rows that repeat
+    both count once, folded in their own task before they meet: neither a
+    doc_id nor a copied row with a third of the table passes the bound.
     """
-    rows = docs.where(where & F.col(label).isNotNull())
+    rows = docs.where(where & F.col(label).isNotNull()).select("doc_id", "text", label)
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if not counts:
         return rows.limit(0)
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(F.col(label) == F.lit(name), F.lit(min(1.0, per_label / n))).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 20)) < share * (1 << 20))
+    same = F.xxhash64("doc_id", "text", F.lit(11))
+    some = rows.where(F.pmod(same, F.lit(1 << 20)) < share * (1 << 20))
+    return some.groupBy("doc_id", label, same.alias("same")).agg(F.first("text").alias("text")).select("doc_id", "text", label)
 
 
 def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> LanguageModel | None:
@@ -184,8 +209,8 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
     chosen = sample_labelled(docs.select("doc_id", "text", "lang"), "lang", per_lang, where).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in frugal(batches):
-            for b in (whole.slice(k, TOGETHER) for k in range(0, whole.num_rows, TOGETHER)):
+        for whole in frugal(slices(batches, 0, TOGETHER_BYTES)):
+            for b in (part(whole, k, min(k + TOGETHER, whole.num_rows)) for k in range(0, whole.num_rows, TOGETHER)):
                 grams, sizes = _vectors(b.column(0))
                 ends = np.cumsum(sizes)
                 found = [np.unique(grams[e - s : e], return_counts=True) for s, e in zip(sizes, ends)]
@@ -219,14 +244,20 @@ def train(docs: DataFrame, where: Column, per_lang: int = TRAIN_ROWS) -> Languag
 
 
 def _guess(model: LanguageModel | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text: weights are summed over the n-grams of
+    each distinct word, then over the words of each text."""
     words, codes, offsets = word_table(texts)
     lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
     if model is not None and len(codes):
-        grams, counts = word_ngrams(words)
-        per_word = sums_by_text(model.weights[grams], np.concatenate([[0], np.cumsum(counts)]))
-        total, size = sums_by_text(per_word[codes], offsets), sums_by_text(counts[codes], offsets)
-        rows = np.flatnonzero(size)
-        lang[rows], score[rows] = model.choose(total[rows] / size[rows, None] + model.bias)
+        per_word, counts = word_sums(words, model.weights)
+        size = sums_by_text(counts[codes], offsets)
+        lettered = np.flatnonzero(size)
+        total = np.zeros((len(texts), model.weights.shape[1]))
+        for r in lettered.tolist():
+            mine = codes[offsets[r] : offsets[r + 1]]
+            for k in range(0, len(mine), WORDS):
+                total[r] += per_word[mine[k : k + WORDS]].sum(axis=0)
+        lang[lettered], score[lettered] = model.choose(total[lettered] / size[lettered, None] + model.bias)
     return lang, score
 
 
@@ -236,21 +267,25 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     shared = tuned(docs.sparkSession).sparkContext.broadcast(model)  # 65,536 weights a model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in frugal(batches):
+        for b in frugal(slices(batches, 1)):
             lang, score = _guess(shared.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def label(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """All columns of ``docs`` and, last, lang_pred."""
+def label(docs: DataFrame, model: LanguageModel | None, name: str | None = None) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and, last, the predicted language; and the name
+    of that column: ``name`` or lang_pred, with underscores added if ``docs``
+    has one of that name.  Null texts, empty texts and those without a letter
+    are ``und``; rows keep their number and order within a partition."""
+    name = fresh(name or "lang_pred", docs)
     shared = tuned(docs.sparkSession).sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in frugal(batches):
+        for b in frugal(slices(batches, at)):
             lang, _ = _guess(shared.value, b.column(at))
-            yield b.append_column("lang_pred", pa.array(lang, pa.string()))
+            yield b.append_column(name, pa.array(lang, pa.string()))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())])), name

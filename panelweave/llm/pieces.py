@@ -175,7 +175,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
-        for b in frugal(merged(batches)):
+        for b in frugal(merged(batches, 1)):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids, counts = table.encode(texts)
             ends = np.concatenate([[0], np.cumsum(counts)])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, tuned, written
+from .common import frugal, slices, tuned, written
 from .components import components
 
 FAN = 8
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in frugal(batches):
+        for b in frugal(slices(batches, 1)):
             fp = np.fromiter((fingerprint(shingle_hashes(t.as_py(), words, seed)) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
@@ -91,15 +91,27 @@ def _front(fp: Column, pair: tuple[int, int]) -> Column:
     return out
 
 
+def gray_order(codes: np.ndarray) -> np.ndarray:
+    """Places of codes (rows of 64-bit words, the first one leads) in Gray order."""
+    ranks, odd = [], np.zeros(len(codes), bool)
+    for k in range(codes.shape[1]):
+        rank = codes[:, k].copy()
+        for shift in (1, 2, 4, 8, 16, 32):
+            rank ^= rank >> np.uint64(shift)
+        ranks.append(np.where(odd, ~rank, rank))
+        odd = (ranks[-1] & np.uint64(1)).astype(bool)
+    return np.lexsort(ranks[::-1])
+
+
 class GrayIndex:
     """Groups of codes, each in Gray order, as a forest of masked patterns."""
 
     def __init__(self, codes: np.ndarray, groups: np.ndarray):
-        """codes: unsigned words; groups: each code's group, 0, 1, ... in order."""
-        self.codes, self.groups = codes, groups
-        full = np.full(len(codes), ONES)
+        """codes: unsigned words, or rows of several; groups: each code's group, 0, 1, ... in order."""
+        self.codes, self.groups = codes.reshape(len(codes), -1), groups
+        full = np.full(self.codes.shape, ONES)
         #: each level: pattern, mask of shared bits, first child, end of children
-        self.levels = [(codes, full, None, None)]
+        self.levels = [(self.codes, full, None, None)]
         owner = groups
         while len(owner) and len(owner) > owner[-1] + 1:
             place = np.arange(len(owner)) - np.searchsorted(owner, owner)
@@ -111,13 +123,16 @@ class GrayIndex:
             self.levels.append((both & shared, shared, starts, ends))
             owner = owner[starts]
 
-    def search(self, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places (i, j), i < j, of codes of one group that differ in at most ``limit`` bits."""
-        for at in range(0, len(self.codes), BLOCK):
-            who = np.arange(at, min(at + BLOCK, len(self.codes)))
+    def search(self, limit: int, queries: np.ndarray | None = None, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (i, j) of codes of one group that differ in at most ``limit``
+        bits: each pair once, i < j; or i from ``queries`` and any other j.
+        ``block`` places descend together."""
+        every = np.arange(len(self.codes)) if queries is None else queries
+        for at in range(0, len(every), block):
+            who = every[at : at + block]
             node = self.groups[who]  # a root for each group
             pattern, mask, _, _ = self.levels[-1]
-            gone = np.bitwise_count((self.codes[who] ^ pattern[node]) & mask[node]).astype(np.int64)
+            gone = _bits((self.codes[who] ^ pattern[node]) & mask[node])
             for level in range(len(self.levels) - 1, 0, -1):
                 _, above, starts, ends = self.levels[level]
                 pattern, mask, _, _ = self.levels[level - 1]
@@ -125,13 +140,18 @@ class GrayIndex:
                 pick = np.repeat(np.arange(len(node)), size)
                 child = np.repeat(starts[node] - (np.cumsum(size) - size), size) + np.arange(len(pick))
                 own = mask[child] & ~above[node[pick]]
-                diff = gone[pick] + np.bitwise_count((self.codes[who[pick]] ^ pattern[child]) & own)
+                diff = gone[pick] + _bits((self.codes[who[pick]] ^ pattern[child]) & own)
                 keep = diff <= limit
                 who, node, gone = who[pick[keep]], child[keep], diff[keep]
-            keep = (node > who) & (gone <= limit)
+            keep = (node > who if queries is None else node != who) & (gone <= limit)
             yield who[keep], node[keep]
 
 
+def _bits(words: np.ndarray) -> np.ndarray:
+    """Bits set in each row of words."""
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+
+
 class _Forest:
     """Union-find over what one task has seen of a group."""
 
@@ -221,16 +241,23 @@ def near_groups(docs: DataFrame, words: int = 3, limit: int = 2) -> DataFrame:
 
     Fingerprints link at ``limit`` or fewer differing bits; component_id is the
     smallest doc_id reachable.  Null and blank texts have fingerprint zero and
-    link like any other.  Rows with a null doc_id get a null component unless
-    their fingerprint reaches another row.  Other columns are ignored.
+    link like any other.  Rows with a null doc_id link like others and pass
+    links on; their component is null only where no row with a doc_id is
+    reachable.  Other columns are ignored; an empty table gives an empty result.
     """
-    prints = written(fingerprints(docs, words), "fingerprints")
-    counted = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "distinct-fingerprints")
-    linked = written(components(near_links(counted.where("rep is not null").select("fp", "rep"), limit)), "components")
+    printed = written(fingerprints(docs, words), "fingerprints")
+    # a fingerprint is its own node, so that rows without a doc_id link as well
+    counted = written(printed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "distinct-fingerprints")
+    linked = written(components(near_links(counted.select("fp", F.col("fp").alias("rep")), limit)), "components")
+    joined = counted.join(linked, counted.fp == linked.node).select("fp", "rep", "component")
+    # the smallest doc_id of each component, summed up before it is shuffled
+    least = joined.groupBy("component").agg(F.min("rep").alias("least"))
+    linked_ids = joined.join(least, "component").select("fp", "least")
     # fingerprints of a single row without a link need no answer
-    answers = counted.join(linked, counted.rep == linked.node, "left").where("n > 1 or component is not null").select("fp", F.coalesce("component", "rep").alias("component"))
-    return prints.join(answers, "fp", "left").select(
+    answers = counted.where("n > 1").join(linked_ids, "fp", "left_anti").select("fp", F.col("rep").alias("least")).unionByName(linked_ids)
+    answers = answers.withColumn("known", F.lit(True))
+    return printed.join(answers, "fp", "left").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.when(F.col("known"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )

@@ -2,14 +2,19 @@
 
 A batch of signed deltas (an insert adds a document, a delete takes one away, a
 revision takes its old count away and adds the new one) is summed by source,
-language and tokenizer version and added to the totals.  A commit writes the
-new totals and the list of applied batches to a folder of their own and then
-renames it to the next version: a batch that is already on the list changes
-nothing, and a run that dies halfway leaves the former version in force.
+language and tokenizer version and added to the totals.  The new totals are
+written to a folder of their own; the commit is the creation of a small file,
+``commits/<version>``, that must not exist yet and names that folder and the
+batch.  Of two writers of one version the second one finds the file there and
+starts again on top of it.  A batch that was committed before changes nothing,
+and a run that dies halfway leaves the former version in force.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,43 +34,77 @@ class TokenRollup:
         self._at = lambda name: hadoop.Path(f"{self.path}/{name}")
         self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _create(self, name: str, content: str) -> bool:
+        """A new file; False if there is one of that name."""
+        try:
+            out = self._fs.create(self._at(name), False)
+        except Exception:
+            if self._fs.exists(self._at(name)):
+                return False
+            raise
+        out.write(content.encode())
+        out.close()
+        return True
+
+    def _read(self, version: int) -> dict | None:
+        """What a commit names; None if its writer died before it said so."""
+        lines = self.spark.read.text(f"{self.path}/commits/{version}").collect()
+        return json.loads(lines[0][0]) if lines else None
+
+    def _latest(self) -> tuple[int, dict | None]:
+        """The last version taken, and the last commit that names its totals."""
+        v = top = self.version()
+        while v and (commit := self._read(v)) is None:
+            v -= 1
+        return top, commit if v else None
+
     def version(self) -> int:
-        """Number of committed batches."""
-        if not self._fs.exists(self._at("")):
+        """Number of versions taken."""
+        if not self._fs.exists(self._at("commits")):
             return 0
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at(""))]
-        return max([int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()], default=0)
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("commits"))]
+        return max([int(n) for n in names if n.isdigit()], default=0)
+
+    def _totals(self, commit: dict | None) -> DataFrame:
+        if commit is None:
+            return self.spark.createDataFrame([], TOTALS)
+        return self.spark.read.schema(TOTALS).parquet(f"{self.path}/{commit['totals']}")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; groups without documents are gone."""
-        v = self.version()
-        if not v:
-            return self.spark.createDataFrame([], TOTALS)
-        return self.spark.read.schema(TOTALS).parquet(f"{self.path}/v{v}/totals")
+        return self._totals(self._latest()[1])
 
     def applied(self) -> list[str]:
-        v = self.version()
-        return [] if not v else [r[0] for r in self.spark.read.schema("batch string").parquet(f"{self.path}/v{v}/batches").collect()]
+        """All committed batches, first to last."""
+        commits = [self._read(v) for v in range(1, self.version() + 1)]
+        return [c["batch"] for c in commits if c]
+
+    def _done(self, batch: str, last: dict | None) -> bool:
+        """Whether a batch was committed: it has a file of its own, made after
+        its commit, so only the last commit may still lack one."""
+        name = lambda b: f"batches/{hashlib.sha256(b.encode()).hexdigest()}"
+        if last is not None:
+            self._create(name(last["batch"]), last["batch"])
+        return self._fs.exists(self._at(name(batch)))
 
     def apply(self, batch: str, deltas: DataFrame) -> bool:
         """Add a batch (columns of ``DELTA``); False if it was applied before.
 
-        Null keys are groups like any other; null amounts count as nothing.
+        Null keys are groups like any other; null amounts count as nothing; an
+        empty batch is a batch.  Other columns are not read.
         """
-        done = self.applied()
-        if batch in done:
-            return False
-        v = self.version()
         new = deltas.select(*KEY, F.coalesce("docs", F.lit(0)).cast("long").alias("n_docs"), F.coalesce("tokens", F.lit(0)).cast("long").alias("n_tokens"))
-        totals = self.totals().unionByName(new).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
-        staged = f"staged-{v + 1}-{scratch(self.spark, '').rsplit('-', 1)[1]}"
-        totals.write.parquet(f"{self.path}/{staged}/totals")
-        self.spark.createDataFrame([(b,) for b in [*done, batch]], "batch string").coalesce(1).write.parquet(f"{self.path}/{staged}/batches")
-        # of two writers of one version the second finds the name taken
-        if self._fs.exists(self._at(f"v{v + 1}")) or not self._fs.rename(self._at(staged), self._at(f"v{v + 1}")):
-            self._fs.delete(self._at(staged), True)
-            raise RuntimeError(f"version {v + 1} of {self.path} was committed by another writer")
-        return True
+        while True:
+            version, last = self._latest()
+            if self._done(batch, last):
+                return False
+            totals = self._totals(last).unionByName(new).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+            folder = f"totals-{version + 1}-{scratch(self.spark, '').rsplit('-', 1)[1]}"
+            totals.write.parquet(f"{self.path}/{folder}")
+            if self._create(f"commits/{version + 1}", json.dumps({"batch": batch, "totals": folder})):
+                self._done(batch, {"batch": batch})
+                return True
+            self._fs.delete(self._at(folder), True)  # another writer was first
 
 
 def inserts(counts: DataFrame) -> DataFrame:

@@ -12,12 +12,14 @@ hold it.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +54,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+#: How the tokenizer has to treat texts for words to be encoded
+#: apart, in the words of its own file.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def splits_words(config: dict) -> bool:
+    """Whether a tokenizer's file says that its ids for a text are those of its words."""
+    model, special = config.get("model", {}), config.get("added_tokens") or []
+    return (
+        config.get("normalizer") == NORMALIZER
+        and config.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
+        and model.get("type") == "BPE"
+        and not (model.get("dropout") or model.get("continuing_subword_prefix") or config.get("truncation") or config.get("padding"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c.isspace() for c in t["content"]) for t in special)
+    )
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that never merges across white space.
 
     Such a tokenizer's ids for a text are those of its words, end to end, so
     each distinct word is given to the library once.  A word of letters is one
     piece after lower casing and goes to the library's model directly, as do
-    the signs around it; any other word goes through the whole tokenizer.
+    the signs around it; any other word goes through the whole tokenizer.  A
+    file that does not say so (``splits_words``) has its texts encoded whole.
     """
 
     def __init__(self, path: str):
@@ -66,6 +88,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = splits_words(json.loads(self.tokenizer.to_str()))
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
@@ -139,6 +162,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
+        if not self.by_word:
+            found = [self.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+            return np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found))
         words, codes, offsets = word_table(texts)
         if len(self.known) > CACHE_WORDS:
             self.older, self.known = self.known, {}
@@ -161,13 +187,15 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     """(doc_id, text) to the stored columns, in ascending doc_id order.
 
     Null texts count as empty; a null doc_id sorts first; repeated doc_ids are
-    stored as often as they come.  Other columns of ``docs`` are not read.
+    stored as often as they come, in any order.  Ranges are cut within a doc_id
+    that many rows share, so no doc_id is one file.  An empty table gives no
+    rows.  Other columns of ``docs`` are not read, whatever their names.
     """
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at, part = _encoder(tokenizer_path), 0, TaskContext.get().partitionId()
-        for b in frugal(merged(batches)):
+        for b in frugal(merged(batches, 1)):
             ids, counts = encoder.encode(b.column(1))
             n = len(counts)
             if not n:
@@ -189,7 +217,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
 
     # ranges before encoding: finding their bounds reads the input, which must
     # not encode it twice
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     return ordered.mapInArrow(run, STORED)
 
 

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, mix64, powers, tuned, word_table
+from .common import frugal, mix64, powers, slices, tuned, word_table
 from .langid import sample_labelled
 
 #: Labelled rows of each class that the scorer is fitted on.
@@ -75,7 +75,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(N**3)
-        for b in frugal(batches):
+        for b in frugal(slices(batches, 0)):
             words, codes, _ = word_table(b.column(0))
             if not len(codes):
                 continue
@@ -380,19 +380,24 @@ def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, sketch: np.ndar
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TRAIN_ROWS) -> ToxicityModel:
-    """Fit on about ``per_class`` labelled rows of each class (a bound on the
-    driver's memory); the character model counts all documents."""
+    """Fit on about ``per_class`` different labelled rows of each class (a bound
+    on the driver's memory); the character model counts all documents.  Rows
+    without a label of 0 or 1 are unlabelled, null texts have no words; without
+    labelled rows, or with empty tables, no rule is learned.  Other columns are
+    not read."""
     spark = tuned(docs.sparkSession)
     chars = log_model(trigram_counts(docs))
-    marks = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    marks = sample_labelled(marks, "toxic", per_class, where)
-    # the sample is bounded, so the texts need not be shuffled to meet it
-    chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
+    marks = labels.select("doc_id", F.lit(None).cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+    marks = sample_labelled(marks, "toxic", per_class, where).select("doc_id", "toxic")
+    # the sample is bounded, so the texts need not be shuffled to meet it; a
+    # doc_id of many rows is cut again by its texts
+    chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    chosen = sample_labelled(chosen, "toxic", per_class, F.lit(True)).select("text", "toxic")
     shared = spark.sparkContext.broadcast(chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
-        for b in frugal(batches):
+        for b in frugal(slices(batches, 0)):
             words, text, word = restorer.words(b.column(0))
             grams, owner = word_features(words)
             order = np.argsort(owner, kind="stable")
@@ -425,7 +430,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         restorer = Restorer(model.chars)
-        for b in frugal(batches):
+        for b in frugal(slices(batches, 1)):
             margin = model.margins(restorer, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-2 * np.clip(margin, -20, 20))))], names=["doc_id", "score"])
 

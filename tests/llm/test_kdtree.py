@@ -11,7 +11,7 @@ def brute(rows, k):
     out = set()
     for i, v in ok:
         if i % 10 == 0:
-            s = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in ok if j != i and len(w) == len(v))
+            s = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), j) for j, w in ok if j != i and len(w) == len(v))
             out |= {(i, r + 1, j, -x) for r, (x, j) in enumerate(s[:k])}
     return out
 
@@ -39,8 +39,8 @@ def test_ties_repeats_nulls_and_odd_lengths(spark):
     rows = vectors(rng, 60)
     rows += [(100 + k, rows[0][1]) for k in range(30)]  # one very common vector
     rows += [(200, None), (210, [None] * 8), (220, [float("nan")] * 8), (230, [float("inf")] * 8), (240, [1.0, 2.0]), (241, [3.0, 4.0]), (250, []), (251, []), (None, rows[1][1])]
-    rows += [(300, [1e30] * 8), (301, [-1e30] * 8)]  # products beyond 64 bits would be beyond the result's type
-    check(spark, rows[:-2])
+    rows += [(300, [1e30] * 8), (301, [-1e30] * 8), (302, [1e30] * 8), (310, [1e30] * 8)]  # products beyond 64 bits
+    check(spark, rows)
     check(spark, [(0, [1e5] * 4), (1, [2e5, 1.0, -3e5, 0.5]), (2, [1.0] * 4)])
 
 

@@ -144,3 +144,11 @@ def test_query(spark, sf, docs):
     prints = [brute_print(r.text) for r in rows]
     want = brute_groups([r.doc_id for r in rows], prints)
     assert {i: got[i].component_id for i in want} == want
+
+
+def test_rows_without_a_doc_id_pass_links_on(spark, monkeypatch):
+    prints = spark.createDataFrame([(5, 0), (None, 3), (9, 15), (None, 1 << 40), (None, 1 << 41), (None, -1)], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, words: prints)
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_groups(prints).collect()), key=str)
+    want = [(5, 0, 5), (None, 3, 5), (9, 15, 5), (None, 1 << 40, 5), (None, 1 << 41, 5), (None, 2**64 - 1, None)]
+    assert got == sorted(((i, f"{f:016x}", c) for i, f, c in want), key=str)

@@ -38,3 +38,36 @@ def test_a_dead_commit_leaves_the_former_version(spark, monkeypatch):
 
 def test_query(spark, sf):
     assert_same(op4_token_counts(spark, sf), duck(sf).sql(OP4_SQL))
+
+
+def test_two_writers_of_one_version(spark, monkeypatch):
+    a = spark.createDataFrame([("s", "en", "t1", 5)], COUNTS)
+    one = token_counts.TokenRollup(spark)
+    one.apply("base", token_counts.inserts(a))
+    two = token_counts.TokenRollup(spark, one.path)
+    create = token_counts.TokenRollup._create
+    raced = []
+
+    def late(self, name, content):
+        # the other writer commits between the look-up and the commit
+        if name == "commits/2" and self is one and not raced:
+            raced.append(two.apply("other", token_counts.inserts(a)))
+        return create(self, name, content)
+
+    monkeypatch.setattr(token_counts.TokenRollup, "_create", late)
+    assert one.apply("mine", token_counts.inserts(a)) and raced == [True]
+    assert one.applied() == ["base", "other", "mine"] and one.totals().first().n_docs == 3
+    assert not two.apply("mine", token_counts.inserts(a))
+    # both writers have the same batch: it counts once
+    raced.clear()
+    monkeypatch.setattr(token_counts.TokenRollup, "_create", lambda self, name, content: (raced.append(two.apply("same", token_counts.inserts(a))) if name == "commits/4" and self is one and not raced else None, create(self, name, content))[1])
+    assert not one.apply("same", token_counts.inserts(a)) and one.totals().first().n_docs == 4
+
+
+def test_a_writer_that_dies_while_it_commits(spark):
+    a = spark.createDataFrame([("s", "en", "t1", 5)], COUNTS)
+    r = token_counts.TokenRollup(spark)
+    r.apply("one", token_counts.inserts(a))
+    r._create("commits/2", "")
+    assert r.totals().first().n_docs == 1 and r.apply("two", token_counts.inserts(a))
+    assert r.totals().first().n_docs == 2 and r.applied() == ["one", "two"] and not r.apply("one", token_counts.inserts(a))

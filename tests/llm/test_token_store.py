@@ -79,3 +79,35 @@ def test_query(spark, sf, docs, tokenizer):
         want = ids_of(tokenizer, r.text)
         assert (rows[r.doc_id].start, rows[r.doc_id].n_tokens) == (start, len(want))
         start += len(want)
+
+
+def test_other_tokenizer_files_have_their_texts_encoded_whole():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    encoder, plain = token_store.WordEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_word and token_store.WordEncoder(FILE).by_word
+    texts = ["Two  words\n and more", None, "", "É é <|endoftext|>"]
+    ids, counts = encoder.encode(pa.array(texts))
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_one_doc_id_with_most_rows_is_dealt_out(spark, tokenizer):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(7 if k % 3 else k, f"text {k}" if k % 2 else "same") for k in range(600)]
+    path = scratch(spark, "t")
+    token_store.write_token_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, FILE, 2)
+    out = sorted((r.start, r.doc_id, r.n_tokens) for r in token_store.read_token_table(spark, path).collect())
+    assert [r[1] for r in out] == sorted(r[0] for r in rows)
+    assert all(a[0] + a[2] == b[0] for a, b in zip(out, out[1:])) and out[0][0] == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(f"{path}/ids").where("doc_id = 7").select("part").distinct().count()
+    assert parts > 1
+
+
+def test_query_crc_on_the_given_table(spark, sf, tokenizer):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op1_token_store(spark, sf).collect()
+    assert len(rows) == len(docs)
+    assert all(r.ids_crc32 == zlib.crc32(np.array(ids_of(tokenizer, docs[r.doc_id]), "<u4").tobytes()) for r in rows)

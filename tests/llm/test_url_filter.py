@@ -51,5 +51,25 @@ def test_empty_tables(spark):
     assert url_filter.temporal_list_join(one, e).first().action is None
 
 
+def test_rows_keep_their_own_verdict_and_columns_their_names(spark, monkeypatch):
+    rows = [(1, "http://good.com/", 400, 1, "a", 2, "m", 3, 4), (1, "http://bad.com/", 400, 1, "a", 2, "m", 3, 4), (None, "http://bad.com/", 700, 1, "a", 2, "m", 3, 4), (None, "http://bad.com/", 5, 1, "a", 2, "m", 3, 4)]
+    c = spark.createDataFrame(rows, "capture_id long, url string, day int, hit int, action string, row int, matched_domain string, span int, valid_from int")
+    e = spark.createDataFrame([("bad.com", 10, "block"), ("bad.com", 600, "allow")], "domain string, day int, action string")
+    for bound in (url_filter.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(url_filter, "BROADCAST_ROWS", bound)
+        out = url_filter.temporal_list_join(c, e)
+        assert out.columns == [*c.columns, "matched_domain_", "action_", "valid_from_"]
+        got = sorted(((r.capture_id, r.url, r.day, r.action_, r.valid_from_) for r in out.collect()), key=str)
+        assert got == sorted([(1, "http://good.com/", 400, None, None), (1, "http://bad.com/", 400, "block", 10), (None, "http://bad.com/", 700, "allow", 600), (None, "http://bad.com/", 5, None, None)], key=str)
+
+
+def test_one_host_with_most_captures_and_a_long_history(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", 1)
+    c = spark.range(3000).selectExpr("id as capture_id", "if(id % 3 = 0, 'http://hot.com/', concat('http://h', id, '.org')) as url", "cast(id as int) as day")
+    e = spark.range(1000).selectExpr("'hot.com' as domain", "cast(3 * id as int) as day", "if(id % 2 = 0, 'block', 'allow') as action")
+    out = url_filter.temporal_list_join(c, e).where("url = 'http://hot.com/'")
+    assert out.count() == 1000 and out.where("valid_from <> day or action <> if(day % 2 = 0, 'block', 'allow')").count() == 0
+
+
 def test_query(spark, sf):
     assert_same(op3_url_filter(spark, sf), duck(sf).sql(OP3_SQL))
