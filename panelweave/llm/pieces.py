@@ -60,6 +60,9 @@ class PieceTable:
         self.hashes, self.scores, self.ids = hashes[order], score[order], np.array(normal, np.int64)[order]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
+        #: low bits of the hashes that exist: most substrings end here
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -70,35 +73,55 @@ class PieceTable:
             h = (h * int(BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return h
 
-    def _solve(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words that all have the same length."""
+    def _solve(self, words: list[str]) -> tuple[bytes, np.ndarray]:
+        """Ids of words that all have the same length, end to end, and the
+        number of ids of each word."""
         n, size = len(words), len(words[0])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64)
         prefix = np.zeros((size + 1, n), np.uint64)
         power = powers(int(BASE), self.longest)
         best = np.full((size + 1, n), -np.inf)
         best[0] = 0
-        back, used = np.zeros((size + 1, n), np.int64), np.full((size + 1, n), -1, np.int64)
+        back, used = np.zeros((size + 1, n), np.int32), np.full((size + 1, n), -1, np.int32)
+        low = np.uint64(len(self.maybe) - 1)
         for t in range(1, size + 1):
             prefix[t] = prefix[t - 1] * BASE + points[:, t - 1] + np.uint64(1)
             for span in range(min(t, self.longest), 0, -1):
                 code = prefix[t] - prefix[t - span] * power[span]
-                at = np.minimum(np.searchsorted(self.hashes, code), len(self.hashes) - 1)
-                found = self.hashes[at] == code
-                value = np.where(found, self.scores[at], self.unknown if span == 1 else -np.inf) + best[t - span]
-                better = value > best[t]
-                best[t][better] = value[better]
-                back[t][better] = span
-                used[t][better] = np.where(found, self.ids[at], -1)[better]
-        out: list[list[int]] = [[] for _ in range(n)]
-        place, rows = np.full(n, size), np.arange(n)
+                rows = np.flatnonzero(self.maybe[(code & low).astype(np.int64)])
+                at = np.minimum(np.searchsorted(self.hashes, code[rows]), len(self.hashes) - 1)
+                found = self.hashes[at] == code[rows]
+                rows, at = rows[found], at[found]
+                covered = rows
+                value = self.scores[at] + best[t - span][rows]
+                better = value > best[t][rows]
+                rows = rows[better]
+                best[t][rows], back[t][rows], used[t][rows] = value[better], span, self.ids[at[better]]
+                if span == 1:  # a character that no piece covers
+                    alone = np.ones(n, bool)
+                    alone[covered] = False
+                    value = self.unknown + best[t - 1]
+                    rows = np.flatnonzero(alone & (value > best[t]))
+                    best[t][rows], back[t][rows], used[t][rows] = value[rows], 1, -1
+        # backpointers of all words together, last piece first
+        place, rows, steps = np.full(n, size), np.arange(n), []
         while len(rows):
             at = place[rows]
-            for r, t, k in zip(rows.tolist(), at.tolist(), used[at, rows].tolist()):
-                out[r].extend([k] if k >= 0 else self.bytes[np.frombuffer(words[r][t - 1].encode("utf-8", "replace"), np.uint8)][::-1].tolist())
+            steps.append((rows, used[at, rows], at))
             place[rows] = at - back[at, rows]
             rows = rows[place[rows] > 0]
-        return [np.array(x[::-1], "<i4") for x in out]
+        row, ids, at = (np.concatenate(x)[::-1] for x in zip(*steps))
+        order = np.argsort(row, kind="stable")
+        row, ids, at = row[order], ids[order], at[order]
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):
+            spelled = {c: self.bytes[np.frombuffer(chr(c).encode("utf-8", "replace"), np.uint8)] for c in np.unique(points[row[lost], at[lost] - 1]).tolist()}
+            each = [spelled[c] for c in points[row[lost], at[lost] - 1].tolist()]
+            long = np.ones(len(ids), np.int64)
+            long[lost] = [len(x) for x in each]
+            ids, row = np.repeat(ids, long), np.repeat(row, long)
+            ids[ids < 0] = np.concatenate(each)
+        return ids.astype("<i4").tobytes(), np.bincount(row, minlength=n)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
@@ -135,8 +158,10 @@ class PieceTable:
         for size, some in by_size.items():
             step = max(1, min(TOGETHER, 2_000_000 // size))
             for at in range(0, len(some), step):
-                for w, ids in zip(some[at : at + step], self._solve(some[at : at + step])):
-                    self.known[w] = ids.tobytes()
+                raw, sizes = self._solve(some[at : at + step])
+                ends = (4 * np.cumsum(sizes)).tolist()
+                for w, i, j in zip(some[at : at + step], [0, *ends], ends):
+                    self.known[w] = raw[i:j]
         each = [self.known[w] for w in distinct]
         store = np.frombuffer(b"".join(each), "<i4")
         lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
