@@ -37,6 +37,8 @@ COUNTS, SLICES = 1 << 20, 64
 PRINTS, LIMIT = 4, 84
 #: Rows of a block of fingerprints, shingles of a block of texts.
 WIDE, SHINGLES = 2000, 200_000
+#: Rows of small groups that are searched together, and meetings of a step.
+TOGETHER, MEET = 4000, 1 << 18
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -168,40 +170,59 @@ def dealt(rows: DataFrame, key: str, size: int) -> DataFrame:
     return rows.withColumn("lo", F.least("block", "o")).withColumn("hi", F.greatest("block", "o")).drop("top", "others", "mains", "o", "block")
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """The rows of each value of the first ``keys`` columns, by which rows are sorted."""
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 0) -> Iterator[pa.RecordBatch]:
+    """The rows of each value of the first ``keys`` columns, by which rows are
+    sorted; or of as many values as make up ``rows``."""
     held: list[pa.RecordBatch] = []
-    name = None
+    name, size = None, 0
     for b in batches:
         if not b.num_rows:
             continue
         k = np.column_stack([b.column(c).to_numpy().astype(np.int64) for c in range(keys)])
-        cuts = [0, *(1 + np.flatnonzero((k[1:] != k[:-1]).any(axis=1))).tolist(), b.num_rows]
-        for i, j in zip(cuts[:-1], cuts[1:]):
-            if held and (k[i] != name).any():
+        starts = [0] if name is None or (k[0] != name).any() else []
+        starts += (1 + np.flatnonzero((k[1:] != k[:-1]).any(axis=1))).tolist()
+        at = 0
+        for start in starts:
+            if size + start - at < max(rows, 1):
+                continue
+            if start > at:
+                held.append(part(b, at, start))
+            if held:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-            held.append(part(b, i, j))
-            name = k[i]
+            held, size, at = [], 0, start
+        held.append(part(b, at, b.num_rows))
+        size += b.num_rows - at
+        name = k[-1]
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Links between classes that may hold similar texts, from the groups
-    (token, lo, hi) of (cls, main, n, fingerprint)."""
-    for g in _grouped(batches, 3):
+    (token, lo, hi) of (cls, main, n, fingerprint), by which rows are sorted.
+    Groups are searched many at a time, each with an index of its own."""
+    for g in _grouped(batches, 3, TOGETHER):
+        key = np.column_stack([g.column(c).to_numpy().astype(np.int64) for c in range(3)])
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
         cls, main, n = (g.column(c).to_numpy(zero_copy_only=False) for c in (3, 4, 5))
         codes = np.column_stack([g.column(6 + k).to_numpy().view(np.uint64) for k in range(PRINTS)])
         order = gray_order(codes)
-        cls, main, n, codes = cls[order], main[order], n[order].astype(np.int64), codes[order]
-        index, seen, a, b = GrayIndex(codes, np.zeros(len(codes), np.int64)), _Forest(), [], []
-        for i, j in index.search(LIMIT, np.flatnonzero(~main), 64):
-            good = (cls[i] != cls[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            for x, y in np.unique(np.column_stack([cls[i[good]], cls[j[good]]]), axis=0).tolist():
-                if seen.join(x, y):
-                    a.append(x)
-                    b.append(y)
+        order = order[np.argsort(group[order], kind="stable")]
+        cls, main, n, codes, group = cls[order], main[order], n[order].astype(np.int64), codes[order], group[order]
+        index, seen, a, b = GrayIndex(codes, group), _Forest(), [], []
+        # rows that descend together meet ``MEET`` others at most
+        asked = np.flatnonzero(~main)
+        load = np.cumsum(np.bincount(group)[group[asked]])
+        at = 0
+        while at < len(asked):
+            to = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + MEET, side="right")))
+            for i, j in index.search(LIMIT, asked[at:to], to - at):
+                good = (cls[i] != cls[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                for x, y in np.unique(np.column_stack([cls[i[good]], cls[j[good]]]), axis=0).tolist():
+                    if seen.join(x, y):
+                        a.append(x)
+                        b.append(y)
+            at = to
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
