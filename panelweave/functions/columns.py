@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Left-closed distance bins: upper edges in base pairs.
+# fixed values: left-closed distance bins, their upper edges in base pairs
 DISTANCE_EDGES = (10_000, 50_000, 100_000, 500_000, 1_000_000)
 DISTANCE_BINS = ("0-10kb", "10-50kb", "50-100kb", "100-500kb", "500kb-1Mb", ">1Mb")
 

@@ -1,9 +1,11 @@
-"""Eigenvalues and principal components in sample space.
-
-A panel of n samples has an n x n Gram matrix whatever its number of markers;
-each partition adds up its markers' outer products with NumPy and one matrix a
-task is summed.  Only that matrix (n is bounded, see ``MAX_SAMPLES``) reaches
-the driver.
+"""Eigenvalues and principal components of the marker correlation matrix.
+
+A panel of n samples and m markers has the same non-zero eigenvalues in sample
+space (n x n) and in marker space (m x m).  Each partition multiplies its rows
+with NumPy, one matrix a task is summed, and the smaller of the two reaches the
+driver if its side is at most ``MAX_SIDE``.  Larger panels are iterated: each
+step multiplies the matrix by a few vectors in one pass over the samples, and
+only vectors reach the driver.
 """
 
 from __future__ import annotations
@@ -18,79 +20,156 @@ from pyspark.sql import functions as F
 from ..functions import require
 from .genotype import wide_markers
 
-MAX_SAMPLES = 2000
+#: Largest matrix on the driver, 32 MB.
+MAX_SIDE = 2048
 COMPONENTS = 10
+STEPS, CONVERGED = 500, 1e-11
+SUM = "r long, row binary"
 
 
-def _gram(markers: DataFrame, n: int, unit: bool) -> tuple[np.ndarray, int, int]:
-    """Sum over varying markers of the outer product of centred calls, scaled
-    to unit length (``unit``) or unit variance; and the numbers of varying and
-    constant markers."""
-    require(n <= MAX_SAMPLES, f"{n} samples; the Gram matrix is bounded to {MAX_SAMPLES}")
+def _added(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Rows (r, vector as bytes) of all tasks, summed by r."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, varying, constant = np.zeros((n, n)), 0, 0
+        total: dict[int, np.ndarray] = {}
         for b in batches:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n)
-            x -= x.mean(axis=1, keepdims=True)
-            size = np.sqrt((x * x).sum(axis=1) / (1 if unit else n - 1))
-            keep = size > 0
-            x = x[keep] / size[keep, None]
-            total += x.T @ x
-            varying += int(keep.sum())
-            constant += int((~keep).sum())
-        for r in range(n) if varying or constant else ():
-            yield pa.RecordBatch.from_arrays([pa.array([r]), pa.array([total[r].tolist()]), pa.array([varying if r == 0 else 0]), pa.array([constant if r == 0 else 0])], names=["r", "row", "varying", "constant"])
-
-    rows = markers.select("calls").mapInArrow(run, "r long, row array<double>, varying long, constant long")
-    counts = F.sum("varying").alias("v"), F.sum("constant").alias("c")
-    sums = rows.groupBy("r").agg(F.array(*(F.sum(F.col("row")[k]) for k in range(n))).alias("row"), *counts) if n <= 64 else rows.select("r", F.posexplode("row").alias("k", "x"), "varying", "constant").groupBy("r", "k").agg(F.sum("x").alias("x"), F.sum("varying").alias("v"), F.sum("constant").alias("c")).groupBy("r").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda s: s["x"]).alias("row"), F.max("v").alias("v"), F.max("c").alias("c"))
-    got = sums.orderBy("r").collect()
-    return np.array([g["row"] for g in got]) if got else np.zeros((n, n)), sum(g["v"] for g in got), sum(g["c"] for g in got)
+            for r, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                total[r] = total.get(r, 0) + np.frombuffer(x)
+        if total:
+            yield _rows(total)
+
+    return {r: np.frombuffer(x) for r, x in parts.repartition("r").mapInArrow(run, SUM).collect()}
+
+
+def _rows(vectors: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(vectors), pa.int64()), pa.array([np.ascontiguousarray(v, float).tobytes() for v in vectors.values()], pa.binary())], names=["r", "row"])
+
+
+def _matrix(b: pa.RecordBatch) -> np.ndarray:
+    return b.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, -1)
+
+
+def _marker_scales(calls: DataFrame) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Markers in order, their means, and the lengths of their centred calls."""
+    d = F.col("d").cast("double")
+    got = calls.groupBy("j").agg(F.avg(d).alias("mean"), F.coalesce(F.var_pop(d) * F.count(d), F.lit(0.0)).alias("square")).orderBy("j").collect()
+    return [r["j"] for r in got], np.array([r["mean"] for r in got]), np.sqrt(np.maximum([r["square"] for r in got], 0))
+
+
+def _unit(x: np.ndarray, mean: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Samples' calls, each marker centred and of unit length; constant ones 0."""
+    return np.divide(x - mean, size, out=np.zeros_like(x), where=size > 0)
+
+
+def _wide_samples(calls: DataFrame) -> DataFrame:
+    return wide_markers(calls.select(F.col("j").alias("i"), F.col("i").alias("j"), "d")).select("calls")
+
+
+def _marker_space(calls: DataFrame, mean: np.ndarray, size: np.ndarray, vectors: np.ndarray | None = None) -> np.ndarray:
+    """The correlation matrix of the markers, or its product with ``vectors``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                z = _unit(_matrix(b), mean, size)
+                part = z.T @ (z if vectors is None else z @ vectors)
+                total = part if total is None else total + part
+        if total is not None:
+            yield _rows(dict(enumerate(total)))
+
+    got = _added(_wide_samples(calls).mapInArrow(run, SUM))
+    return np.array([got[r] for r in range(len(mean))])
+
+
+def _sample_space(calls: DataFrame, n: int) -> np.ndarray:
+    """Sum over markers of the outer product of centred calls of unit length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b)
+                x -= x.mean(axis=1, keepdims=True)
+                size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+                x = np.divide(x, size, out=np.zeros_like(x), where=size > 1e-9)
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield _rows(dict(enumerate(total)))
+
+    got = _added(wide_markers(calls).select("calls").mapInArrow(run, SUM))
+    return np.array([got[r] for r in range(n)])
+
+
+def leading(calls: DataFrame, count: int, mean: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` largest eigenvalues and their vectors in marker space, by
+    subspace iteration: a pass over the samples a step."""
+    m = len(mean)
+    count = min(count, m)
+    q = np.linalg.qr(np.random.default_rng(11).normal(size=(m, min(m, count + 4))))[0]
+    before = np.zeros(q.shape[1])
+    for _ in range(STEPS):
+        y = _marker_space(calls, mean, size, q)
+        values, turn = np.linalg.eigh(q.T @ y)
+        values, turn = values[::-1], turn[:, ::-1]
+        if np.abs(values[:count] - before[:count]).max() <= CONVERGED * max(values[0], 1e-300):
+            break
+        before = values
+        q = np.linalg.qr(y @ turn)[0]
+    return values[:count], (q @ turn)[:, :count]
 
 
 def eigen_metrics(calls: DataFrame) -> tuple[float, float]:
     """(effective rank, largest eigenvalue) of the marker correlation matrix."""
     n = calls.agg(F.count_distinct("i")).first()[0]
-    gram, varying, constant = _gram(wide_markers(calls), n, unit=True)
-    values = np.linalg.eigvalsh(gram)
-    values[(values < 0) & (values > -1e-8)] = 0
-    m = varying + constant
-    return m * m / (float((values**2).sum()) + constant), max(float(values.max(initial=0)), 1.0 if constant else 0.0)
-
-
-def largest_eigenvalue_power(c: np.ndarray, steps: int = 150) -> float:
-    """Rayleigh quotient after ``steps`` power iterations; 0 if degenerate."""
-    v = np.full(len(c), 1 / np.sqrt(len(c))) if len(c) else np.zeros(0)
-    for _ in range(steps):
-        w = c @ v
-        size = np.sqrt(w @ w)
-        if not np.isfinite(size) or size == 0:
-            return 0.0
-        v = w / size
-    return float(v @ c @ v) if len(c) else 0.0
+    ids, mean, size = _marker_scales(calls)
+    m, constant = len(ids), int((size == 0).sum())
+    if min(n, m) <= MAX_SIDE:
+        values = np.linalg.eigvalsh(_marker_space(calls, mean, size) if m <= n else _sample_space(calls, n)) if m else np.zeros(0)
+        # fixed value: what counts as a rounding error of zero
+        values[(values < 0) & (values > -1e-8)] = 0
+        squares, top = float((values**2).sum()), float(values.max(initial=0))
+    else:
+        from .linkage import window_ld
+
+        # the squares of all correlations, by tiles; each pair comes once
+        place = calls.select("j").distinct().select("j", F.col("j").cast("long").alias("bp"))
+        pairs = window_ld(calls, place, int(max(ids) - min(ids))).agg(F.sum("r2")).first()[0] or 0.0
+        squares, top = 2 * pairs + m - constant, float(leading(calls, 1, mean, size)[0][0])
+    # a constant marker is correlated with itself only
+    return (m * m / (squares + constant) if m else 0.0), max(top, 1.0 if constant else 0.0)
 
 
 def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """Fit: j, centre, scale and loadings (array) of each varying marker.
 
-    Loadings come from the sample-space eigenvectors; the number of components
-    is at most ``components``, n - 1 and the number of varying markers.
+    The number of components is at most ``components``, n - 1 and the number of
+    varying markers.
     """
-    ids = [r[0] for r in calls.select("i").distinct().orderBy("i").collect()]
-    n = len(ids)
-    gram, varying, _ = _gram(wide_markers(calls), n, unit=False)
+    n = calls.agg(F.count_distinct("i")).first()[0]
+    ids, mean, size = _marker_scales(calls)
+    varying = int((size > 0).sum())
     require(varying >= 2, "a PCA needs two varying markers")
     k = min(components, n - 1, varying)
-    values, vectors = np.linalg.eigh(gram)
-    keep = [c for c in np.argsort(-values)[:k] if values[c] > 1e-9 * values.max()]
-    weights = vectors[:, keep] / np.sqrt(values[keep])
-    spark = calls.sparkSession
-    table = spark.createDataFrame([(i, w.tolist()) for i, w in zip(ids, weights)], "i int, w array<double>")
     stats = calls.groupBy("j").agg(F.avg(F.col("d").cast("double")).alias("centre"), F.stddev_samp(F.col("d").cast("double")).alias("scale")).where("scale > 0")
-    z = (F.col("d") - F.col("centre")) / F.col("scale")
-    loads = calls.join(F.broadcast(table), "i").join(stats, "j")  # a row a sample, at most MAX_SAMPLES
-    return loads.groupBy("j", "centre", "scale").agg(F.array(*(F.sum(z * F.col("w")[c]) for c in range(len(keep)))).alias("loading"))
+    if min(n, len(ids)) <= MAX_SIDE and len(ids) > n:
+        people = [r[0] for r in calls.select("i").distinct().orderBy("i").collect()]  # at most MAX_SIDE
+        values, vectors = np.linalg.eigh(_sample_space(calls, n))
+        keep = [c for c in np.argsort(-values)[:k] if values[c] > 1e-9 * values.max()]
+        # scaled calls have length sqrt(n - 1)
+        weights = vectors[:, keep] / np.sqrt(values[keep] * (n - 1))
+        table = calls.sparkSession.createDataFrame([(i, w.tolist()) for i, w in zip(people, weights)], "i int, w array<double>")
+        z = (F.col("d") - F.col("centre")) / F.col("scale")
+        loads = calls.join(F.broadcast(table), "i").join(stats, "j")
+        return loads.groupBy("j", "centre", "scale").agg(F.array(*(F.sum(z * F.col("w")[c]) for c in range(len(keep)))).alias("loading"))
+    if len(ids) <= MAX_SIDE:
+        values, vectors = np.linalg.eigh(_marker_space(calls, mean, size))
+        values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    else:
+        values, vectors = leading(calls, k, mean, size)
+    vectors = vectors[:, values > 1e-9 * values.max()]
+    table = calls.sparkSession.createDataFrame([(j, v.tolist()) for j, v in zip(ids, vectors)], "j int, loading array<double>")
+    return stats.join(table, "j").select("j", "centre", "scale", "loading")
 
 
 def project(calls: DataFrame, reference: DataFrame) -> DataFrame:
@@ -102,7 +181,7 @@ def project(calls: DataFrame, reference: DataFrame) -> DataFrame:
 
 def pca_displacement(calls: DataFrame, reference_calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """rms_z, max_abs_z, median_variance_ratio of a panel against a reference."""
-    ref = pca_reference(reference_calls, components).cache()
+    ref = pca_reference(reference_calls, components)
     side = lambda c: project(c, ref).groupBy("pc").agg(F.avg("score").alias("m"), F.stddev_samp("score").alias("s"))
     both = side(calls).withColumnsRenamed({"m": "m1", "s": "s1"}).join(side(reference_calls), "pc")
     z = (F.col("m1") - F.col("m")) / F.col("s")

@@ -7,14 +7,15 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import ratio
 from ..functions.columns import DISTANCE_BINS
-from . import agreement, gates, genotype, kinship, linkage, sampling, spectra
+from . import agreement, gates, genotype, integrity, kinship, linkage, sampling, spectra
 
-#: Column name of each distance bin.
-BIN_NAMES = dict(zip(DISTANCE_BINS, ("0_10kb", "10_50kb", "50_100kb", "100_500kb", "500kb_1mb", "over_1mb")))
+# fixed values: the column name of each distance bin
+BIN_NAMES = dict(zip(DISTANCE_BINS, ("0_10kb", "10_50kb", "50_100kb", "100_500kb", "500kb_1Mb", "over_1Mb")))
 
 
 def _beside(rows: list[DataFrame]) -> DataFrame:
@@ -97,7 +98,9 @@ def validate_panel(
     het = _beside([genotype.panel_stats(x).select(F.col("heterozygosity").alias(n)) for x, n in ((synthetic, "heterozygosity"), (reference, "reference_heterozygosity"))]).withColumn("heterozygosity_difference", F.abs(F.col("heterozygosity") - F.col("reference_heterozygosity")))
     shape = synthetic.agg(F.bool_and(F.coalesce(F.col("d").isin(0, 1, 2), F.lit(False))).alias("hard_calls"), F.count_distinct("i").alias("n_samples"), F.count_distinct("j").alias("n_markers"), (F.count("*") == n_samples * n_markers).alias("complete"))
     shape = shape.select((F.col("hard_calls") & F.col("complete")).alias("hard_calls"), "n_samples", "n_markers", F.lit(n_samples).alias("expected_samples"), F.lit(n_markers).alias("expected_markers"))
-    order = markers.select("j").subtract(synthetic.select("j").distinct()).agg((F.count("*") == 0).alias("markers_in_order"))
+    # the same markers, in the order of their positions
+    place = lambda rows, *by: rows.select("j", F.row_number().over(W.orderBy(*by)).alias("place"))
+    order = integrity.ordered_identity(place(synthetic.select("j").distinct(), "j"), place(markers, "bp", "j"), "place").select(F.col("identical").alias("markers_in_order"))
     copies = genotype.duplicated_rows(synthetic)
     summary = _beside([shape, order, maf, het, ratios, copies, king, limits]).select(F.lit(ancestry).alias("ancestry"), "*", F.lit(round_trip).alias("round_trip")).cache()
     return Validation(summary, gates.evaluate(summary), ref, syn)

@@ -65,17 +65,17 @@ def bed_size(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.select("label", genotype.bed_bytes(F.col("n"), F.col("m")).alias("bytes"))
 
 
-@query(f"with {PANEL}, f as (select i, string_agg(d::varchar, ',' order by j) as s from g where j < 4 group by i) select count(*) - count(distinct s) as duplicated from f")
+@query(f"with {PANEL}, f as (select i, string_agg(d::varchar, ',' order by j) as s from g group by i) select count(*) - count(distinct s) as duplicated from f")
 def duplicated_individuals(spark: SparkSession, sf: str) -> DataFrame:
-    """Individuals that repeat another one's calls at the panel's first four markers."""
-    return genotype.duplicated_rows(panel(spark, sf).where("j < 4"))
+    """Individuals that repeat another one's calls at all markers."""
+    return genotype.duplicated_rows(panel(spark, sf))
 
 
-@query(f"""with {PANEL}, f as (select label, j, string_agg(d::varchar, ',' order by i) as s from g where i < 100 group by label, j), c as (select label, s, count(*) as c from f group by 1, 2)
+@query(f"""with {PANEL}, f as (select label, j, string_agg(d::varchar, ',' order by i) as s from g group by label, j), c as (select label, s, count(*) as c from f group by 1, 2)
 select label, cast(sum(c * (c - 1) / 2) as bigint) as pairs from c group by label""")
 def identical_marker_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Markers with the same calls over the first hundred samples, by population."""
-    f = panel(spark, sf).where("i < 100").groupBy("label", "j").agg(F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"].cast("string"))).alias("s"))
+    """Markers with the same calls over all samples of a population."""
+    f = panel(spark, sf).groupBy("label", "j").agg(F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"].cast("string"))).alias("s"))
     c = f.groupBy("label", F.sha2("s", 256).alias("fingerprint")).agg(F.count("*").alias("c"))
     return c.groupBy("label").agg(F.sum((F.col("c") * (F.col("c") - 1) / 2).cast("long")).alias("pairs"))
 
@@ -129,27 +129,27 @@ def marker_correlations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(linkage.correlations(panel(spark, sf), markers(spark)), 7)
 
 
-@query(f"with {PANEL}, {KING} select i1, i2, round(kinship, 8) as kinship from king where i1 < 300 and i2 < 300")
+@query(f"with {PANEL}, {KING} select i1, i2, round(kinship, 8) as kinship from king")
 def king_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Kinship among the first three hundred samples, by tiles of samples."""
-    return rounded(kinship.king_pairs(panel(spark, sf).where("i < 300"), 64, "tiles"))
+    """Kinship of all pairs, by tiles of samples."""
+    return rounded(kinship.king_pairs(panel(spark, sf), 64, "tiles"))
 
 
 @query(f"""with {PANEL}, {R2}, bins as (select unnest(['0-10kb', '10-50kb', '50-100kb', '100-500kb', '500kb-1Mb', '>1Mb']) as bin), b as (select {BIN} as bin, r2 from r2)
 select bins.bin, count(b.r2) as pairs, round(avg(b.r2), 8) as mean_r2, round(median(b.r2), 8) as median_r2 from bins left join b on bins.bin = b.bin group by 1""")
 def ld_by_distance(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(linkage.by_distance(linkage.pair_r2(panel(spark, sf), linkage.all_pairs(markers(spark)))))
+    return rounded(linkage.by_distance(linkage.window_ld(panel(spark, sf), markers(spark))))
 
 
 @query(f"with {PANEL}, {R2}, {MAP}, e as (select j1 as j, r2 from r2 where dist <= 100000 union all select j2, r2 from r2 where dist <= 100000) select m.j, round(coalesce(sum(e.r2), 0e0), 8) as ld_score from m left join e on m.j = e.j group by 1")
 def ld_score(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(linkage.ld_scores(linkage.pair_r2(panel(spark, sf), linkage.marker_pairs(markers(spark), 100_000)), markers(spark)))
+    return rounded(linkage.ld_scores(linkage.window_ld(panel(spark, sf), markers(spark), 100_000), markers(spark)))
 
 
 @query(f"with {PANEL}, {R2}, {MAP}, e as (select j1 as j, r2 from r2 union all select j2, r2 from r2), t as (select m.j, coalesce(sum(e.r2), 0e0) as s from m left join e on m.j = e.j group by 1) select round(median(s), 8) as median_ld_score from t")
 def median_ld_score(spark: SparkSession, sf: str) -> DataFrame:
     m = markers(spark)
-    scores = linkage.ld_scores(linkage.pair_r2(panel(spark, sf), linkage.marker_pairs(m)), m)
+    scores = linkage.ld_scores(linkage.window_ld(panel(spark, sf), m), m)
     return rounded(scores.agg(F.median("ld_score").alias("median_ld_score")))
 
 

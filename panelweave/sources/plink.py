@@ -12,6 +12,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
@@ -22,7 +23,8 @@ from .text import with_line_number
 MAGIC = b"\x6c\x1b\x01"
 #: Dosage of each two-bit code; -1 is missing.
 DOSAGE = np.array([2, -1, 1, 0], np.int8)
-CODE = {2: 0, None: 1, 1: 2, 0: 3}
+#: Two-bit code of dosages 0 to 2, and of a missing one.
+CODES = np.array([3, 2, 0, 1], np.uint8)
 #: Bytes of a partition.
 RANGE_BYTES = 64 << 20
 FAM = ["fid", "iid", "pat", "mat", "sex", "pheno"]
@@ -132,7 +134,9 @@ def read_bed_sql(spark: SparkSession, path: str, n_samples: int) -> DataFrame:
 
 
 def bed_head_ok(spark: SparkSession, path: str) -> bool:
-    return bool(spark.read.format("binaryFile").load(path).select((F.hex(F.substring("content", 1, 3)) == "6C1B01").alias("ok")).first()["ok"])
+    """Whether a file begins like a SNP-major BED; only those bytes are read."""
+    with _open(path) as file:
+        return file.read(3) == MAGIC
 
 
 def read_fam(spark: SparkSession, path: str) -> DataFrame:
@@ -164,10 +168,13 @@ def read_calls(spark: SparkSession, prefix: str, samples: DataFrame | None = Non
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
+        lists = b.column(1)
+        # a look-up by dosage, nulls last
+        flat = CODES[pc.fill_null(lists.flatten().cast(pa.int8()), 3).to_numpy(zero_copy_only=False)]
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
         out = []
-        for calls in b.column(1):
-            x = np.array([CODE[v] for v in calls.as_py()], np.uint8)
-            x = np.concatenate([x, np.zeros(-len(x) % 4, np.uint8)]).reshape(-1, 4)
+        for i, j in zip(ends[:-1], ends[1:]):
+            x = np.concatenate([flat[i:j], np.zeros((i - j) % 4, np.uint8)]).reshape(-1, 4)
             out.append((x << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["j", "block"])
 

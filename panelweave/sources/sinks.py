@@ -58,7 +58,7 @@ def copy_exact(source: str, target: str) -> str:
     return want
 
 
-def install(files: dict[str, str], force: bool = False, fail_before_install: bool = False) -> None:
+def install(files: dict[str, str], force: bool = False) -> None:
     """Put staged files (source to target) in place, all or none.
 
     Copies are verified beside their targets before anything is renamed; what
@@ -68,9 +68,11 @@ def install(files: dict[str, str], force: bool = False, fail_before_install: boo
         there = [t for t in files.values() if os.path.exists(t)]
         require(not there, f"already there: {', '.join(there)}")
     new, old, done = {t: f"{t}.installing" for t in files.values()}, {t: f"{t}.replaced" for t in files.values()}, []
+    # a file that an earlier crash set aside may be the only copy there is
+    stale = [t for t in [*new.values(), *old.values()] if os.path.exists(t)]
+    require(not stale, f"left by an earlier run: {', '.join(stale)}")
     try:
         digests = {t: copy_exact(s, new[t]) for s, t in files.items()}
-        require(not fail_before_install, "stopped before the installation")
         for t in files.values():
             if os.path.exists(t):
                 os.replace(t, old[t])

@@ -142,7 +142,7 @@ def test_checksums_tell_line_ends_apart(spark, tmp_path):
     assert status == {"a.txt": "match_after_crlf", "b.txt": "match", "gone": "missing"}
 
 
-def test_install_is_all_or_nothing(tmp_path):
+def test_install_is_all_or_nothing(tmp_path, monkeypatch):
     s, t = tmp_path / "s", tmp_path / "t"
     s.mkdir(), t.mkdir()
     for n in "ab":
@@ -151,13 +151,21 @@ def test_install_is_all_or_nothing(tmp_path):
     files = {str(s / n): str(t / n) for n in "ab"}
     with pytest.raises(PanelError, match="already"):
         sinks.install(files)
-    with pytest.raises(PanelError, match="stopped"):
-        sinks.install(files, force=True, fail_before_install=True)
+    with monkeypatch.context() as m:  # the second copy is cut short
+        copy = sinks.shutil.copyfile
+        m.setattr(sinks.shutil, "copyfile", lambda a, b: open(b, "w").write("x") if a.endswith("b") else copy(a, b))
+        with pytest.raises(PanelError, match="differs"):
+            sinks.install(files, force=True)
     with pytest.raises(FileNotFoundError):
         sinks.install({**files, str(s / "missing"): str(t / "c")}, force=True)
     assert sorted(p.name for p in t.iterdir()) == ["a", "b"] and (t / "a").read_text() == "olda"
     sinks.install(files, force=True)
     assert (t / "b").read_text() == "newb" and sorted(p.name for p in t.iterdir()) == ["a", "b"]
+    # what a crash set aside is never renamed onto a target
+    (t / "a.replaced").write_text("older")
+    with pytest.raises(PanelError, match="earlier run"):
+        sinks.install(files, force=True)
+    assert (t / "a").read_text() == "newa" and (t / "a.replaced").read_text() == "older"
     with pytest.raises(PanelError):
         sinks.safe_remove(str(s), str(t))
 
