@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,13 +74,24 @@ def remove(spark: SparkSession, *tables: DataFrame | str) -> None:
 
 
 def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches, handing Arrow's unused memory back after each: a worker's
-    memory follows the batch at hand, not the largest one so far."""
+    """The batches, handing Arrow's unused memory back after each, and Python's
+    at the end: a worker's memory follows the batch at hand, not the largest one
+    so far, and an idle worker keeps little."""
     pool = pa.default_memory_pool()
-    for b in batches:
-        yield b
-        del b
-        pool.release_unused()
+    try:
+        for b in batches:
+            yield b
+            del b
+            pool.release_unused()
+    finally:
+        if trim := _trim():
+            trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():  # noqa: ANN202
+    """The C library's call that hands free memory back, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def part(b: pa.RecordBatch | pa.Array, at: int, to: int) -> pa.RecordBatch | pa.Array:

@@ -131,7 +131,9 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     tokens, q = (F.col("n_tokens") * F.col("repeats")).cast("double"), [F.col("p")[i] for i in k]
 
     def before(pull: np.ndarray) -> Column:
-        return F.lit(1.0) - sum((F.lit(float(pull[i])) * q[i] for i in k if i), F.lit(float(pull[0])) * q[0])
+        # the numbers are data of a plan that stays the same, not code
+        terms = F.zip_with("p", _doubles(pull.tolist()), lambda x, y: x * y)
+        return F.lit(1.0) - F.aggregate(terms, F.lit(0.0), lambda x, y: x + y)
 
     def at(pull: np.ndarray) -> Column:
         return F.least(F.lit(float(most)), F.greatest(F.lit(0.0), before(pull)))

@@ -25,7 +25,7 @@ from .common import frugal, merged, powers, ragged_take, tuned
 
 BLANK = "▁"
 #: Words of a generation of the cache; a worker holds two generations.
-CACHE_WORDS = 120_000
+CACHE_WORDS = 50_000
 #: Words of one length that are solved together, bounds the matrices.
 TOGETHER = 20_000
 UNKNOWN_PENALTY = 10.0
