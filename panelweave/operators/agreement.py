@@ -10,17 +10,17 @@ from ..functions import ratio
 KEYS = ("ancestry", "source")
 
 
-def maf_agreement(synthetic: DataFrame, reference: DataFrame) -> DataFrame:
+def maf_agreement(synthetic: DataFrame, reference: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row: correlation, mean, median and largest absolute difference, and
     the absolute difference of the means (another figure than the mean one).
 
     Both have (j, maf); markers of both sides count.  A side that does not vary
-    has no correlation (null)."""
-    both = synthetic.select("j", F.col("maf").alias("x")).join(reference.select("j", F.col("maf").alias("y")), "j")
+    has no correlation (null).  With ``by``, a row for each group of the first."""
+    both = synthetic.select(*by, "j", F.col("maf").alias("x")).join(reference.select("j", F.col("maf").alias("y")), "j")
     gap = F.abs(F.col("x") - F.col("y"))
     n, x, y = F.count("*").cast("double"), F.sum("x"), F.sum("y")
     xx, yy, xy = F.sum(F.col("x") * F.col("x")), F.sum(F.col("y") * F.col("y")), F.sum(F.col("x") * F.col("y"))
-    return both.agg(
+    return both.groupBy(*by).agg(
         F.count("*").alias("markers"),
         F.try_divide(n * xy - x * y, F.sqrt(F.greatest(n * xx - x * x, F.lit(0.0))) * F.sqrt(F.greatest(n * yy - y * y, F.lit(0.0)))).alias("correlation"),
         F.avg(gap).alias("mean_abs_difference"),

@@ -9,10 +9,11 @@ from ..functions import maf, ratio
 from ..functions.checks import hold
 
 
-def marker_stats(calls: DataFrame) -> DataFrame:
-    """One pass: j, n_calls, n_missing, maf, heterozygosity, variance, levels."""
+def marker_stats(calls: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One pass: j, n_calls, n_missing, maf, heterozygosity, variance, levels;
+    of each group of ``by`` if given."""
     d = F.col("d").cast("double")
-    return calls.groupBy("j").agg(
+    return calls.groupBy(*by, "j").agg(
         F.count("d").alias("n_calls"),
         F.count_if(F.col("d").isNull()).alias("n_missing"),
         maf(F.col("d")).alias("maf"),
@@ -22,9 +23,9 @@ def marker_stats(calls: DataFrame) -> DataFrame:
     )
 
 
-def panel_stats(calls: DataFrame) -> DataFrame:
+def panel_stats(calls: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """heterozygosity and missingness over all cells of the panel."""
-    return calls.agg(
+    return calls.groupBy(*by).agg(
         F.avg(F.when(F.col("d") == 1, 1.0).when(F.col("d").isNotNull(), 0.0)).alias("heterozygosity"),
         F.avg(F.col("d").isNull().cast("double")).alias("missingness"),
         F.count("*").alias("cells"),
@@ -53,21 +54,21 @@ def bed_bytes(n_samples: Column, n_markers: Column) -> Column:
     return (3 + n_markers * F.ceil(n_samples / 4)).cast("long")
 
 
-def fingerprints(calls: DataFrame, by: str, along: str) -> DataFrame:
+def fingerprints(calls: DataFrame, by: str, along: str, within: tuple[str, ...] = ()) -> DataFrame:
     """SHA-256 of the ordered calls of each sample or marker; null is a level."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct(along, "d"))), lambda s: F.coalesce(s["d"].cast("string"), F.lit("NA")))
-    return calls.groupBy(by).agg(F.sha2(F.concat_ws(",", ordered), 256).alias("fingerprint"))
+    return calls.groupBy(*within, by).agg(F.sha2(F.concat_ws(",", ordered), 256).alias("fingerprint"))
 
 
-def duplicated_rows(calls: DataFrame, by: str = "i", along: str = "j") -> DataFrame:
+def duplicated_rows(calls: DataFrame, by: str = "i", along: str = "j", within: tuple[str, ...] = ()) -> DataFrame:
     """duplicated: rows beyond the first of each set of identical ones."""
-    return fingerprints(calls, by, along).agg((F.count("*") - F.count_distinct("fingerprint")).alias("duplicated"))
+    return fingerprints(calls, by, along, within).groupBy(*within).agg((F.count("*") - F.count_distinct("fingerprint")).alias("duplicated"))
 
 
-def identical_pairs(calls: DataFrame, by: str = "j", along: str = "i") -> DataFrame:
+def identical_pairs(calls: DataFrame, by: str = "j", along: str = "i", within: tuple[str, ...] = ()) -> DataFrame:
     """pairs of identical columns, counted from group sizes, never listed."""
-    groups = fingerprints(calls, by, along).groupBy("fingerprint").agg(F.count("*").alias("c"))
-    return groups.agg(F.coalesce(F.sum((F.col("c") * (F.col("c") - 1) / 2).cast("long")), F.lit(0)).cast("long").alias("pairs"))
+    groups = fingerprints(calls, by, along, within).groupBy(*within, "fingerprint").agg(F.count("*").alias("c"))
+    return groups.groupBy(*within).agg(F.coalesce(F.sum((F.col("c") * (F.col("c") - 1) / 2).cast("long")), F.lit(0)).cast("long").alias("pairs"))
 
 
 def assert_hard_calls(calls: DataFrame, complete: bool = True) -> DataFrame:

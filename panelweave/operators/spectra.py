@@ -140,6 +140,40 @@ def eigen_metrics(calls: DataFrame) -> tuple[float, float]:
     return (m * m / (squares + constant) if m else 0.0), max(top, 1.0 if constant else 0.0)
 
 
+def eigen_metrics_by(calls: DataFrame, constant: dict[int, int], n_markers: int) -> dict[int, tuple[float, float]]:
+    """``eigen_metrics`` of each replicate (replicate, i, j, d) in one pass.
+
+    ``constant`` has each replicate's number of markers that do not vary.  A
+    replicate's samples are few: its matrix is in sample space, and all of them
+    reach the driver."""
+    sizes = {r["replicate"]: r["n"] for r in calls.groupBy("replicate").agg(F.count_distinct("i").alias("n")).collect()}
+    most = max(sizes.values(), default=0)
+    if most > MAX_SIDE or len(sizes) * most * most > MAX_SIDE * MAX_SIDE:
+        return {r: eigen_metrics(calls.where(F.col("replicate") == r)) for r in sizes}
+    wide = calls.groupBy("replicate", "j").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"]).alias("calls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            number = b.column(1).to_numpy()
+            for r in np.unique(number).tolist():
+                x = _matrix(b.filter(pa.array(number == r)))
+                x -= x.mean(axis=1, keepdims=True)
+                size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+                x = np.divide(x, size, out=np.zeros_like(x), where=size > 1e-9)
+                total[r] = total.get(r, 0) + x.T @ x
+        if total:
+            yield _rows({r * most + k: row for r, t in total.items() for k, row in enumerate(t)})
+
+    got = _added(wide.select("calls", "replicate").mapInArrow(run, SUM))
+    out = {}
+    for r, n in sizes.items():
+        values = np.linalg.eigvalsh(np.array([got[r * most + k] for k in range(n)]))
+        squares, still = float((values**2).sum()), constant[r]
+        out[r] = (n_markers * n_markers / (squares + still), max(float(values.max(initial=0)), 1.0 if still else 0.0))
+    return out
+
+
 def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """Fit: j, centre, scale and loadings (array) of each varying marker.
 
@@ -172,17 +206,18 @@ def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
     return stats.join(table, "j").select("j", "centre", "scale", "loading")
 
 
-def project(calls: DataFrame, reference: DataFrame) -> DataFrame:
+def project(calls: DataFrame, reference: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """i, pc, score of samples on a reference's components."""
     z = (F.col("d") - F.col("centre")) / F.col("scale")
-    terms = calls.join(reference, "j").select("i", z.alias("z"), F.posexplode("loading").alias("pc", "l"))
-    return terms.groupBy("i", "pc").agg(F.sum(F.col("z") * F.col("l")).alias("score"))
+    terms = calls.join(reference, "j").select(*by, "i", z.alias("z"), F.posexplode("loading").alias("pc", "l"))
+    return terms.groupBy(*by, "i", "pc").agg(F.sum(F.col("z") * F.col("l")).alias("score"))
 
 
-def pca_displacement(calls: DataFrame, reference_calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
-    """rms_z, max_abs_z, median_variance_ratio of a panel against a reference."""
+def pca_displacement(calls: DataFrame, reference_calls: DataFrame, components: int = COMPONENTS, by: tuple[str, ...] = ()) -> DataFrame:
+    """rms_z, max_abs_z, median_variance_ratio of a panel, or of each group of
+    ``by``, against a reference that is fitted once."""
     ref = pca_reference(reference_calls, components)
-    side = lambda c: project(c, ref).groupBy("pc").agg(F.avg("score").alias("m"), F.stddev_samp("score").alias("s"))
-    both = side(calls).withColumnsRenamed({"m": "m1", "s": "s1"}).join(side(reference_calls), "pc")
+    side = lambda c, *by: project(c, ref, by).groupBy(*by, "pc").agg(F.avg("score").alias("m"), F.stddev_samp("score").alias("s"))
+    both = side(calls, *by).withColumnsRenamed({"m": "m1", "s": "s1"}).join(side(reference_calls), "pc")
     z = (F.col("m1") - F.col("m")) / F.col("s")
-    return both.agg(F.sqrt(F.avg(z * z)).alias("rms_z"), F.max(F.abs(z)).alias("max_abs_z"), F.median(F.col("s1") * F.col("s1") / (F.col("s") * F.col("s"))).alias("median_variance_ratio"))
+    return both.groupBy(*by).agg(F.sqrt(F.avg(z * z)).alias("rms_z"), F.max(F.abs(z)).alias("max_abs_z"), F.median(F.col("s1") * F.col("s1") / (F.col("s") * F.col("s"))).alias("median_variance_ratio"))

@@ -34,6 +34,13 @@ def on_tile_pairs(rows: DataFrame, pairs: DataFrame, fold: Callable[[tuple, pd.D
     return left.unionByName(right).groupBy(*keys).applyInPandas(run, schema)
 
 
+def tile_pairs(tiles: DataFrame, per: int | None = None) -> DataFrame:
+    """t1 <= t2 of tiles (t); with ``per``, only of the same run of ``per`` tiles."""
+    run = F.floor(F.col("t") / per) if per else F.lit(0)
+    side = lambda name: tiles.select(run.alias("run"), F.col("t").alias(name))
+    return side("t1").join(side("t2"), "run").where("t1 <= t2").select("t1", "t2")
+
+
 def _planes(group: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     """Sample numbers and their words of the three planes."""
     ids, place = np.unique(group.i.to_numpy(), return_inverse=True)
@@ -45,11 +52,11 @@ def _planes(group: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     return ids, *out
 
 
-def king_counts(planes: DataFrame, tile: int = SAMPLE_TILE, part_words: int = 4096) -> DataFrame:
+def king_counts(planes: DataFrame, tile: int = SAMPLE_TILE, part_words: int = 4096, per: int | None = None) -> DataFrame:
     """i1 < i2 and hh, ibs0, den summed over all words (i, w, h, r, a)."""
     rows = planes.select("i", F.pmod("w", F.lit(part_words)).cast("int").alias("w"), "h", "r", "a", F.floor(F.col("i") / tile).cast("int").alias("t"), F.floor(F.col("w") / part_words).cast("int").alias("part"))
     tiles = planes.select(F.floor(F.col("i") / tile).cast("int").alias("t")).distinct()
-    pairs = tiles.select(F.col("t").alias("t1")).join(tiles.select(F.col("t").alias("t2")), F.col("t1") <= F.col("t2"))
+    pairs = tile_pairs(tiles, per)
 
     def fold(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("i1", "i2", "hh", "ibs0", "den")})

@@ -6,11 +6,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions import ratio
+from ..functions import distance_bin, ratio
 from ..functions.columns import DISTANCE_BINS
 from . import agreement, gates, genotype, integrity, kinship, linkage, sampling, spectra
 
@@ -23,36 +24,78 @@ def _beside(rows: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.join(b), rows)
 
 
-def dataset_metrics(calls: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame | None = None, window: int = linkage.WINDOW) -> DataFrame:
-    """One wide row of metrics of a panel (i, j, d) on markers (j, bp).
-
-    ``reference_maf`` has (j, maf).  LD is measured within ``window``; the
-    eigenvalues come from sample space; the PCA figures only with a reference.
-    """
-    calls = genotype.assert_hard_calls(calls).select("i", "j", "d").cache()
-    stats = genotype.marker_stats(calls).cache()
-    maf = agreement.maf_agreement(stats, reference_maf).select(
+def _by_replicate(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """Tables of a row a replicate, side by side.  They are computed one after
+    the other: what reaches the driver is a few figures a replicate."""
+    rows: dict[int, dict] = {}
+    schema = StructType([StructField("replicate", IntegerType())])
+    for p in parts:
+        for f in p.schema.fields:
+            if f.name != "replicate":
+                schema.add(f.name, f.dataType)
+        for r in p.collect():
+            rows.setdefault(r["replicate"], {}).update(r.asDict())
+    return spark.createDataFrame([tuple(rows[r].get(c) for c in schema.names) for r in sorted(rows)], schema)
+
+
+def metrics_by_replicate(calls: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame | None = None, window: int = linkage.WINDOW) -> DataFrame:
+    """replicate and its metrics, for panels (replicate, i, j, d) on the same
+    markers (j, bp): every statistic is one job over all replicates.
+
+    Samples are numbered from 0 within each replicate.  LD is measured within
+    ``window``; the PCA figures come only with a reference."""
+    by, spark = ("replicate",), calls.sparkSession
+    calls = genotype.assert_hard_calls(calls).select("replicate", "i", "j", "d").cache()
+    stats = genotype.marker_stats(calls, by).cache()
+    maf = agreement.maf_agreement(stats, reference_maf, by).select(
+        "replicate",
         F.col("correlation").alias("maf_correlation_with_full_reference"),
         F.col("mean_abs_difference").alias("mean_maf_absolute_difference"),
         F.col("median_abs_difference").alias("median_maf_absolute_difference"),
         F.col("max_abs_difference").alias("max_maf_absolute_difference"),
     )
-    own = stats.agg(F.avg("maf").alias("mean_maf"), F.median("maf").alias("median_maf"), F.count_if(F.col("levels") < 2).alias("monomorphic_markers"))
-    cells = genotype.panel_stats(calls).select(F.col("missingness").alias("genotype_missingness"), "heterozygosity")
-    r2 = linkage.window_ld(calls, markers, window).cache()
-    score = linkage.ld_scores(r2, markers).agg(F.median("ld_score").alias("median_ld_score"))
-    rank, top = spectra.eigen_metrics(calls)
-    eigen = calls.sparkSession.createDataFrame([(rank, top)], "effective_rank double, largest_eigenvalue double")
-    copies = _beside([genotype.duplicated_rows(calls).withColumnRenamed("duplicated", "duplicated_individuals"), genotype.identical_pairs(calls).withColumnRenamed("pairs", "identical_genotype_marker_pairs")])
-    kin = kinship.king_metrics(kinship.king_pairs(calls))
-    kin = kin.select(F.col("pairs").alias("kinship_pairs"), F.col("median").alias("kinship_median"), F.col("q95").alias("kinship_q95"), F.col("max").alias("kinship_max"), F.col("mz_pairs").alias("duplicate_MZ_pairs"), "first_degree_pairs", "second_degree_pairs")
-    bins = linkage.by_distance(r2)
-    pick = lambda c, b, name: F.max(F.when(F.col("bin") == b, F.col(c))).alias(name)
-    ld = bins.agg(*(pick(c, b, f"{c}_{n}") for b, n in BIN_NAMES.items() for c in ("pairs", "mean_r2", "median_r2")))
-    parts = [own, maf, cells, score, eigen, copies, kin, ld]
+    own = stats.groupBy("replicate").agg(F.avg("maf").alias("mean_maf"), F.median("maf").alias("median_maf"), F.count_if(F.col("levels") < 2).alias("monomorphic_markers"))
+    cells = genotype.panel_stats(calls, by).select("replicate", F.col("missingness").alias("genotype_missingness"), "heterozygosity")
+    copies = genotype.duplicated_rows(calls, within=by).withColumnRenamed("duplicated", "duplicated_individuals")
+    same = genotype.identical_pairs(calls, within=by).withColumnRenamed("pairs", "identical_genotype_marker_pairs")
+    sizes = calls.groupBy("replicate").agg(F.max("i").alias("i"), F.max("j").alias("j"), F.count_distinct("j").alias("m")).collect()
+    several = len(sizes) > 1
+    # a marker's number names its replicate as well, and a tile's sample its run
+    width, per = max((r["j"] for r in sizes), default=0) + 1, max((r["i"] for r in sizes), default=0) // kinship.TILE + 1
+    replicate = lambda c, each: F.floor(F.col(c) / each).cast("int").alias("replicate")
+    placed = calls.withColumn("j", F.col("replicate") * width + F.col("j"))
+    numbers = spark.createDataFrame([(r["replicate"],) for r in sizes], "replicate int")
+    label = [F.col("replicate").cast("string"), *(F.col(c) for c in markers.columns if c == "chr")]
+    spots = markers.join(numbers).select((F.col("replicate") * width + F.col("j")).alias("j"), "bp", F.concat_ws("-", *label).alias("chr"))
+    r2 = linkage.window_ld(placed, spots, window).cache()
+    score = linkage.ld_scores(r2, spots).select(replicate("j", width), "ld_score").groupBy("replicate").agg(F.median("ld_score").alias("median_ld_score"))
+    bins = r2.groupBy(replicate("j1", width), distance_bin(F.col("dist")).alias("bin")).agg(F.count("*").alias("pairs"), F.avg("r2").alias("mean_r2"), F.median("r2").alias("median_r2"))
+    pick = lambda c, b: F.max(F.when(F.col("bin") == b, F.col(c)))
+    named = lambda c, b, n: (F.coalesce(pick(c, b), F.lit(0).cast("long")) if c == "pairs" else pick(c, b)).alias(f"{c}_{n}")
+    ld = numbers.join(bins, "replicate", "left").groupBy("replicate").agg(*(named(c, b, n) for b, n in BIN_NAMES.items() for c in ("pairs", "mean_r2", "median_r2")))
+    people = calls.withColumn("i", F.col("replicate") * (per * kinship.TILE) + F.col("i"))
+    pairs = kinship.king_pairs(people, per=per if several else None)
+    kin = kinship.king_metrics(pairs.withColumn("replicate", replicate("i1", per * kinship.TILE)), by)
+    kin = kin.select("replicate", F.col("pairs").alias("kinship_pairs"), F.col("median").alias("kinship_median"), F.col("q95").alias("kinship_q95"), F.col("max").alias("kinship_max"), F.col("mz_pairs").alias("duplicate_MZ_pairs"), "first_degree_pairs", "second_degree_pairs")
+    if several:
+        constant = {r["replicate"]: r["monomorphic_markers"] for r in own.collect()}
+        found = spectra.eigen_metrics_by(calls, constant, sizes[0]["m"])
+    else:
+        found = {r["replicate"]: spectra.eigen_metrics(calls) for r in sizes}
+    eigen = spark.createDataFrame([(r, *x) for r, x in found.items()], "replicate int, effective_rank double, largest_eigenvalue double")
+    parts = [own, maf, cells, score, eigen, copies, same, kin, ld]
     if pca_reference_calls is not None:
-        parts.append(spectra.pca_displacement(calls, pca_reference_calls).select(F.col("rms_z").alias("pca_centroid_rms_z"), F.col("max_abs_z").alias("pca_centroid_max_abs_z"), F.col("median_variance_ratio").alias("pca_variance_ratio_median")))
-    return _beside(parts)
+        parts.append(spectra.pca_displacement(calls, pca_reference_calls, by=by).select("replicate", F.col("rms_z").alias("pca_centroid_rms_z"), F.col("max_abs_z").alias("pca_centroid_max_abs_z"), F.col("median_variance_ratio").alias("pca_variance_ratio_median")))
+    out = _by_replicate(spark, parts)
+    for kept in (r2, stats, calls):
+        kept.unpersist()
+    return out
+
+
+def dataset_metrics(calls: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame | None = None, window: int = linkage.WINDOW) -> DataFrame:
+    """One wide row of metrics of a panel (i, j, d) on markers (j, bp).
+    ``reference_maf`` has (j, maf)."""
+    return metrics_by_replicate(calls.withColumn("replicate", F.lit(0)), markers, reference_maf, pca_reference_calls, window).drop("replicate")
 
 
 @dataclass
@@ -65,11 +108,10 @@ class Validation:
 
 def subset_metrics(calls: DataFrame, subsets: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame) -> DataFrame:
     """replicate and the metrics of each subset (replicate, i) of samples."""
-    rows = []
-    for r in sorted(x[0] for x in subsets.select("replicate").distinct().collect()):
-        chosen = calls.join(subsets.where(F.col("replicate") == r).select("i"), "i", "left_semi")
-        rows.append(dataset_metrics(chosen, markers, reference_maf, pca_reference_calls).withColumn("replicate", F.lit(r)))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    # numbered within a subset, whose size is a parameter
+    place = (F.row_number().over(W.partitionBy("replicate").orderBy("i")) - 1).alias("place")
+    chosen = calls.join(subsets.select("replicate", "i", place), "i").select("replicate", F.col("place").alias("i"), "j", "d")
+    return metrics_by_replicate(chosen, markers, reference_maf, pca_reference_calls)
 
 
 def validate_panel(
@@ -86,8 +128,8 @@ def validate_panel(
     ids = lambda c: c.select("i").distinct()
     ref_sets = sampling.seeded_subsets(ids(reference), "i", subset, reference_replicates, seed)
     syn_sets = sampling.seeded_subsets(ids(synthetic), "i", subset, synthetic_replicates, seed + 1)
-    ref = subset_metrics(reference, ref_sets, markers, own_maf, reference).cache()
-    syn = subset_metrics(synthetic, syn_sets, markers, own_maf, reference).cache()
+    ref = subset_metrics(reference, ref_sets, markers, own_maf, reference)
+    syn = subset_metrics(synthetic, syn_sets, markers, own_maf, reference)
     names = {f"mean_r2_{n}": f"ld_ratio_{n}" for n in ("0_10kb", "10_50kb", "50_100kb")} | {"median_ld_score": "ld_score_ratio", "effective_rank": "effective_rank_ratio", "largest_eigenvalue": "largest_eigenvalue_ratio"}
     base = ref.agg(*(F.avg(m).alias(f"base_{m}") for m in names))
     ratios = syn.join(base).agg(*(F.array_sort(F.collect_list(F.coalesce(ratio(F.col(m), F.col(f"base_{m}")), F.lit(float("nan"))))).alias(n) for m, n in names.items()), F.array_sort(F.collect_list("pca_centroid_rms_z")).alias("pca_rms_z"))

@@ -327,3 +327,20 @@ def test_metric_vector_of_a_panel_against_itself(spark, small):
     assert len(got) == 13 and all(got.values()), got
     bad = validation.validate_panel("x", df.where("i > 0"), df, m, maf, 30, 12, 3, 1, 1, 25)
     assert not {r.gate: r["pass"] for r in bad.gates.collect()}["dimensions_hard_calls"]
+
+
+def test_replicates_together_equal_each_alone(spark, small):
+    from panelweave.operators import validation
+
+    df = calls_of(spark, small)
+    m = spark.createDataFrame([(j, 4000 * j) for j in range(12)], "j int, bp long")
+    maf = genotype.marker_stats(df).select("j", "maf")
+    some = spark.createDataFrame([(r, i) for r in range(2) for i in range(30) if (i + r) % 3], "replicate int, i int")
+    together = {r.replicate: r.asDict() for r in validation.subset_metrics(df, some, m, maf, df).collect()}
+    assert sorted(together) == [0, 1]
+    for r, got in together.items():
+        own = df.join(some.where(F.col("replicate") == r).select("i"), "i", "left_semi")
+        alone = validation.dataset_metrics(own, m, maf, df).first().asDict()
+        assert got.pop("replicate") == r and set(got) == set(alone)
+        for name, value in alone.items():
+            assert got[name] == (None if value is None else pytest.approx(value, rel=1e-9, abs=1e-12)), name
