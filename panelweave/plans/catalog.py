@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mosaic_queries, panel_queries, table_queries
+from . import file_queries, mosaic_queries, panel_queries, table_queries
 
-QUERIES = table_queries.QUERIES | panel_queries.QUERIES | mosaic_queries.QUERIES
-SQL = table_queries.SQL | panel_queries.SQL | mosaic_queries.SQL
+QUERIES = table_queries.QUERIES | panel_queries.QUERIES | mosaic_queries.QUERIES | file_queries.QUERIES
+SQL = table_queries.SQL | panel_queries.SQL | mosaic_queries.SQL | file_queries.SQL

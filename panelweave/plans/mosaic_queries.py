@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.random import mix_sql
-from ..operators import mosaic, overlap, sampling
+from ..operators import mosaic, ordered, overlap, sampling
 from .panel_queries import rounded
 from .views import PANEL, panel
 
@@ -50,6 +52,20 @@ def mosaic_donor_path(spark: SparkSession, sf: str) -> DataFrame:
     return _paths(spark)
 
 
+@query(f"with {PATHS} select hap, j, switched, cast(donor as int) as donor, cast(segment as int) as segment from paths")
+def mosaic_block_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The same paths, each block of 16 markers on top of the sums before it."""
+    haps, placed = spark.range(HAPS).select(F.col("id").cast("int").alias("hap")), ordered.blocks(_markers(spark), [], ["j"], 16)
+    steps, offsets = mosaic.map_steps(placed.select("j", "morgan", "block")), mosaic.block_offsets(haps, placed, DONORS, RATE, SEED)
+    parts = [mosaic.block_paths(haps, steps.where(F.col("block") == b), offsets.where(F.col("block") == b), DONORS, RATE, SEED) for b in range(1, 5)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"with {PATHS}, s as (select donor, lag(donor) over (partition by hap order by segment) as p from segs) select count_if(p = donor)::bigint as repeats from s")
+def successive_donors(spark: SparkSession, sf: str) -> DataFrame:
+    return ordered.successive_differ(_paths(spark))
+
+
 @query(f"with {PATHS} select hap, cast(segment as int) as segment, cast(donor as int) as donor, start_j, end_j, markers, round(m1 - m0, 8) as morgan, b1 - b0 as bp from segs")
 def mosaic_segments(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(mosaic.segments(_paths(spark), _markers(spark)))
@@ -122,3 +138,11 @@ def copy_rate_selection(spark: SparkSession, sf: str) -> DataFrame:
 def segments_to_donors(spark: SparkSession, sf: str) -> DataFrame:
     """Segments unfolded to cells again."""
     return mosaic.segments_to_donors(_segs(spark), HAPS, 64)
+
+
+_OF = ("mean_overlap", "max_overlap", "longest_morgan", "longest_bp")
+
+
+@query(f"with t as ({SQL['sampled_overlap']}) select count(*) as pairs, " + ", ".join(f"round(avg({c}), 6) as mean_of_{c}, round(median({c}), 6) as median_of_{c}, round(quantile_cont({c}, 0.995), 6) as q995_of_{c}" for c in _OF) + " from t")
+def sampled_overlap_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(overlap.sampled_summary(sampled_overlap(spark, sf)), 6)

@@ -6,12 +6,32 @@ is dosage 0, one above 0.1 dosage 2, else 1.  Markers lie 4 kb apart.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import require
+
 MARKERS = 64
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that driver and executors share: below
+    ``spark.checkpoint.dir``; a temporary one only where there is one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        require(spark.sparkContext.master.startswith("local"), "set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.gettempdir()
+    base = "/" + base[5:].lstrip("/") if base.startswith("file:") else base
+    require("://" not in base, "single files are written to a mounted folder")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    os.makedirs(path)
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -108,7 +108,9 @@ class BedSource(DataSource):
 
 def read_bed(spark: SparkSession, path: str, n_samples: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """j and calls (in sample order) of each marker, by byte ranges.  Filters on
-    j reach the reader where ``spark.sql.python.filterPushdown.enabled`` is set."""
+    j reach the reader: Spark refuses a reader that takes them unless the
+    session allows it, so it is allowed here."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(BedSource)
     return spark.read.format("plink_bed").option("samples", n_samples).option("range_bytes", range_bytes).load(path)
 

@@ -42,6 +42,21 @@ def vcf_lines(markers: DataFrame, alleles: DataFrame, names: list[str]) -> DataF
     return head.unionByName(body)
 
 
+def write_triangle(pairs: DataFrame, path: str, n: int) -> None:
+    """A float32 lower triangle without diagonal from (i1 < i2, value) of all
+    pairs of ``n`` samples: the driver streams a row of the triangle at a time."""
+    import numpy as np
+
+    rows = pairs.groupBy("i2").agg(F.sort_array(F.collect_list(F.struct("i1", F.col("value").cast("double").alias("value")))).alias("row")).select("i2", F.col("row.value").alias("row"))
+    with open(path, "wb") as file:
+        at = 0
+        for r in rows.repartitionByRange("i2").sortWithinPartitions("i2").toLocalIterator():
+            at += 1
+            require(r["i2"] == at == len(r["row"]), f"row {at} of the triangle is not complete")
+            np.asarray(r["row"], "<f4").tofile(file)
+    require(at == max(n - 1, 0), f"the triangle has {at} rows for {n} samples")
+
+
 def sha256_file(path: str) -> str:
     digest = hashlib.sha256()
     with open(path, "rb") as file:

@@ -1,12 +1,15 @@
 """Marker statistics that grow as blocks of calls arrive.
 
 A file stream of Parquet blocks (i, j, d) feeds additive counters of each
-marker; a micro-batch that is replayed after a failure is found in the list of
-committed batches and changes nothing.
+marker; a micro-batch that is replayed after a failure finds its marker file and
+changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,13 +32,14 @@ class MarkerAccumulator:
         if not self._fs.exists(self._at("")):
             return []
         names = [s.getPath().getName() for s in self._fs.listStatus(self._at(""))]
-        return sorted(int(n[6:]) for n in names if n.startswith("batch-") and n[6:].isdigit())
+        return sorted(int(n[10:]) for n in names if n.startswith("committed-") and n[10:].isdigit())
 
     def state(self) -> DataFrame:
         done = self.batches()
         if not done:
             return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.path}/batch-{done[-1]}")
+        version = self.spark.read.text(self._at(f"committed-{done[-1]}").toString()).first()[0]
+        return self.spark.read.schema(STATE).parquet(f"{self.path}/{version}")
 
     def add(self, calls: DataFrame, batch: int) -> bool:
         """Add a batch; False if it was committed before."""
@@ -43,10 +47,19 @@ class MarkerAccumulator:
             return False
         new = calls.groupBy("j").agg(F.count("d").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("total"), F.count_if(F.col("d") == 1).alias("het"), F.count_if(F.col("d").isNull()).alias("missing"))
         both = self.state().unionByName(new).groupBy("j").agg(*(F.sum(c).alias(c) for c in ("n", "total", "het", "missing")))
-        staged = f"staged-{batch}"
-        self._fs.delete(self._at(staged), True)
-        both.write.parquet(f"{self.path}/{staged}")
-        return bool(self._fs.rename(self._at(staged), self._at(f"batch-{batch}")))
+        version = f"version-{batch}-{uuid.uuid4().hex}"
+        both.write.parquet(f"{self.path}/{version}")
+        # a marker that is there already is never written again: of two writers one commits
+        try:
+            marker = self._fs.create(self._at(f"committed-{batch}"), False)
+        except Py4JJavaError:
+            if batch not in self.batches():
+                raise
+            self._fs.delete(self._at(version), True)
+            return False
+        marker.write(bytearray(version.encode()))
+        marker.close()
+        return True
 
     def stats(self) -> DataFrame:
         """j, n_calls, n_missing, maf, heterozygosity so far."""
