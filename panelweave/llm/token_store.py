@@ -33,7 +33,7 @@ from .common import frugal, merged, ragged_take, tuned, word_table
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 #: Words of a generation of the cache; a worker holds two generations.
-CACHE_WORDS = 120_000
+CACHE_WORDS = 300_000
 
 STORED = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 
