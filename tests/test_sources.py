@@ -198,7 +198,7 @@ def test_stream_accumulates_blocks_once(spark, panel, tmp_path):
     # a second writer that has not seen the commit of the first
     late = MarkerAccumulator(spark, f"{tmp_path}/state")
     seen, before = late.batches, acc.batches()
-    answers = iter([[], before])
+    answers = iter([[], [], before])
     late.batches = lambda: next(answers)
     assert late.add(calls, before[-1]) is False
     assert seen() == before
