@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import exact_dedup, kdtree, langid, mixing, pieces, simhash, token_counts, token_store, toxicity, url_filter
 from .common import crc_text, scratch, written
 from .fim_queries import OP12_SQL, op12_fill_in_middle
+from .lm_queries import op11_lm_scoring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -166,5 +167,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)), "rate")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_toxicity, op3_url_filter, op4_token_counts, op5_exact_dedup, op6_simhash, op7_language_id, op8_sentencepiece, op9_kdtree, op10_mixing, op12_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_toxicity, op3_url_filter, op4_token_counts, op5_exact_dedup, op6_simhash, op7_language_id, op8_sentencepiece, op9_kdtree, op10_mixing, op11_lm_scoring, op12_fill_in_middle)}
 SQL = {"op3_url_filter": OP3_SQL, "op4_token_counts": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op9_kdtree": OP9_SQL, "op12_fill_in_middle": OP12_SQL}
