@@ -54,21 +54,54 @@ def bed_bytes(n_samples: Column, n_markers: Column) -> Column:
     return (3 + n_markers * F.ceil(n_samples / 4)).cast("long")
 
 
+def fingerprint_parts(calls: DataFrame, by: str, along: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """Four sums of each sample or marker: additive fingerprints of its calls.
+
+    A call at a place counts as two 64-bit hashes of (place, call), in halves of
+    32 bits, and the sums over all places are the fingerprint (up to 2^31 places
+    are exact).  The order of places does not matter, null is a call like any
+    other, and the sums of blocks of places add up: ``add_parts``."""
+    call = F.coalesce(F.col("d").cast("int"), F.lit(-1))
+    rows = calls.select(*within, by, *(F.xxhash64(F.lit(k), F.col(along), call).alias(f"h{k}") for k in (0, 1)))
+    halves = [half(F.col(f"h{k}")) for k in (0, 1) for half in (lambda h: F.shiftrightunsigned(h, 32), lambda h: h.bitwiseAND(F.lit((1 << 32) - 1)))]
+    return rows.groupBy(*within, by).agg(F.count("*").alias("places"), *(F.sum(h).alias(f"f{k}") for k, h in enumerate(halves)))
+
+
+def add_parts(parts: DataFrame, by: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """The parts of whole rows from those of disjoint blocks of places."""
+    return parts.groupBy(*within, by).agg(*(F.sum(c).alias(c) for c in ("places", "f0", "f1", "f2", "f3")))
+
+
 def fingerprints(calls: DataFrame, by: str, along: str, within: tuple[str, ...] = ()) -> DataFrame:
-    """SHA-256 of the ordered calls of each sample or marker; null is a level."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(along, "d"))), lambda s: F.coalesce(s["d"].cast("string"), F.lit("NA")))
-    return calls.groupBy(*within, by).agg(F.sha2(F.concat_ws(",", ordered), 256).alias("fingerprint"))
+    """One text of ``fingerprint_parts``."""
+    text = F.concat_ws("-", *(F.lower(F.hex(c)) for c in ("places", "f0", "f1", "f2", "f3")))
+    return fingerprint_parts(calls, by, along, within).select(*within, by, text.alias("fingerprint"))
+
+
+def first_of_identical(calls: DataFrame, by: str, along: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """``by``, first (the smallest one with the same calls) and size of its set.
+
+    Sets of equal fingerprints are compared call by call with their first one;
+    a set that fails (no pair of 256-bit fingerprints is known to) is an error."""
+    prints = fingerprints(calls, by, along, within)
+    sets = prints.groupBy(*within, "fingerprint").agg(F.min(by).alias("first"), F.count("*").alias("size"))
+    found = prints.join(sets, [*within, "fingerprint"]).select(*within, by, "first", "size")
+    copies = calls.join(found.where(f"{by} <> first").select(*within, by, "first"), [*within, by])
+    firsts = calls.join(sets.where("size > 1").select(*within, F.col("first").alias(by)), [*within, by], "left_semi").select(*within, F.col(by).alias("first"), along, F.col("d").alias("same"))
+    wrong = copies.join(firsts, [*within, "first", along], "left").groupBy(*within, by).agg(F.count_if(~F.col("d").eqNullSafe(F.col("same"))).alias("wrong"))
+    ok = F.when(F.coalesce("wrong", F.lit(0)) > 0, F.raise_error(F.lit("equal fingerprints of different calls"))).otherwise(F.col("first"))
+    return found.join(wrong, [*within, by], "left").select(*within, by, ok.cast(prints.schema[by].dataType).alias("first"), "size")
 
 
 def duplicated_rows(calls: DataFrame, by: str = "i", along: str = "j", within: tuple[str, ...] = ()) -> DataFrame:
     """duplicated: rows beyond the first of each set of identical ones."""
-    return fingerprints(calls, by, along, within).groupBy(*within).agg((F.count("*") - F.count_distinct("fingerprint")).alias("duplicated"))
+    return first_of_identical(calls, by, along, within).groupBy(*within).agg(F.count_if(F.col("first") != F.col(by)).alias("duplicated"))
 
 
 def identical_pairs(calls: DataFrame, by: str = "j", along: str = "i", within: tuple[str, ...] = ()) -> DataFrame:
-    """pairs of identical columns, counted from group sizes, never listed."""
-    groups = fingerprints(calls, by, along, within).groupBy(*within, "fingerprint").agg(F.count("*").alias("c"))
-    return groups.groupBy(*within).agg(F.coalesce(F.sum((F.col("c") * (F.col("c") - 1) / 2).cast("long")), F.lit(0)).cast("long").alias("pairs"))
+    """pairs of identical columns, counted from the sizes of sets, never listed."""
+    sets = first_of_identical(calls, by, along, within).where(F.col("first") == F.col(by))
+    return sets.groupBy(*within).agg(F.coalesce(F.sum((F.col("size") * (F.col("size") - 1) / 2).cast("long")), F.lit(0)).cast("long").alias("pairs"))
 
 
 def assert_hard_calls(calls: DataFrame, complete: bool = True) -> DataFrame:

@@ -75,9 +75,7 @@ def duplicated_individuals(spark: SparkSession, sf: str) -> DataFrame:
 select label, cast(sum(c * (c - 1) / 2) as bigint) as pairs from c group by label""")
 def identical_marker_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Markers with the same calls over all samples of a population."""
-    f = panel(spark, sf).groupBy("label", "j").agg(F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"].cast("string"))).alias("s"))
-    c = f.groupBy("label", F.sha2("s", 256).alias("fingerprint")).agg(F.count("*").alias("c"))
-    return c.groupBy("label").agg(F.sum((F.col("c") * (F.col("c") - 1) / 2).cast("long")).alias("pairs"))
+    return genotype.identical_pairs(panel(spark, sf), within=("label",))
 
 
 @query(f"with {PANEL}, r as (select i, j, case when (i * 7 + j) % 11 = 0 then null else d end as d from g) select count_if(r.d is not null and r.d is distinct from least(g.d + case when (g.i + g.j) % 101 = 0 then 1 else 0 end, 2))::bigint as changed from r join g using (i, j)")
