@@ -1,4 +1,7 @@
-"""Operators on ordered rows: interpolation, steps, blocks, runs."""
+"""Operators on ordered rows: interpolation, steps, blocks, runs.
+
+Without a key (``by=[]``) the rows are one long order: see ``scans``.
+"""
 
 from __future__ import annotations
 
@@ -6,36 +9,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import scans
+
 
-def interpolate(queries: DataFrame, knots: DataFrame, by: list[str], x: str = "x", y: str = "y", out: str = "y", buckets: int = 1024) -> DataFrame:
+def interpolate(queries: DataFrame, knots: DataFrame, by: list[str], x: str = "x", y: str = "y", out: str = "y", buckets: int | None = None) -> DataFrame:
     """Add ``out``: linear between the knots around ``x``, clamped at the ends.
 
     Knots of one x are averaged; rows without x or without a curve get null.
-    Each curve (``by``, such as the chromosome) is cut into ``buckets`` equal
-    stretches; a span between two knots goes to each stretch that it touches,
-    so queries meet their span by an equi-join, however many there are.
+    Knots and queries of each curve (``by``, such as the chromosome) go through
+    one sorted stream, dealt by ranges, and each query takes the last knot at or
+    before it with it: neither long curves nor wide gaps are unfolded.  ``buckets``
+    is the number of ranges.
     """
-    groups = by or ["__all"]
-    one = lambda df: df if by else df.withColumn("__all", F.lit(1))
-    k = one(knots).where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*groups, F.col(x).alias("__x0")).agg(F.avg(y).alias("__y0"))
-    ends = k.groupBy(*groups).agg(F.min("__x0").alias("__lo"), F.max("__x0").alias("__hi"))
-    after = W.partitionBy(*groups).orderBy("__x0")
-    spans = k.withColumns({"__x1": F.lead("__x0").over(after), "__y1": F.lead("__y0").over(after)}).join(ends, groups)
-    wide = F.col("__hi") - F.col("__lo")
-    stretch = lambda c: F.when(wide > 0, F.floor((c - F.col("__lo")).cast("double") / wide.cast("double") * (buckets - 1))).otherwise(0).cast("int")
-    spans = spans.withColumn("__b", F.explode(F.sequence(stretch(F.col("__x0")), stretch(F.coalesce("__x1", "__x0"))))).drop("__lo", "__hi")
-    asked = one(queries).join(ends, groups, "left").withColumn("__x", F.least(F.greatest(F.col(x), F.col("__lo")), F.col("__hi")))
-    asked = asked.withColumn("__x", F.when(F.col(x).isNotNull(), F.col("__x"))).withColumn("__b", stretch(F.col("__x")))
-    left, right = asked.alias("q"), spans.alias("s")
-    same = [F.col(f"q.{g}") == F.col(f"s.{g}") for g in [*groups, "__b"]]
-    met = left.join(right, [*same, F.col("__x0") <= F.col("__x"), F.col("__x1").isNull() | (F.col("__x") < F.col("__x1"))], "left")
-    share = (F.col("__x") - F.col("__x0")).cast("double") / (F.col("__x1") - F.col("__x0")).cast("double")
-    value = F.when(F.col("__x1").isNull(), F.col("__y0")).otherwise(F.col("__y0") + share * (F.col("__y1") - F.col("__y0")))
-    return met.select(*(F.col(f"q.`{c}`") for c in queries.columns), value.alias(out))
+    k = knots.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(x).cast("double").alias("__x")).agg(F.avg(y).alias("__y0"))
+    first = k.groupBy(*by).agg(F.min_by("__y0", "__x").alias("__start"))
+    # the knot after each: the one before it in falling order
+    turned = scans.previous(k.withColumn("__down", -F.col("__x")), [*by, "__down"], buckets, __x1="__x", __y1="__y0", **{f"__by_{c}": c for c in by})
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    k = turned.select(*by, "__x", "__y0", *(F.when(same, F.col(c)).alias(c) for c in ("__x1", "__y1")))
+    asked = queries.withColumns({"__x": F.col(x).cast("double"), "__id": F.monotonically_increasing_id()})
+    met = scans.as_of(asked, k, by, "__x", ["__y0", "__x1", "__y1"], "__id", "__knot", buckets)
+    # one row a curve; a curve is a chromosome, and more of them shuffle
+    met = met.join(first, by, "left") if by else met.join(F.broadcast(first))
+    knot = lambda c: F.col(f"__knot.{c}")
+    share = (F.col("__x") - knot("__x")) / (knot("__x1") - knot("__x"))
+    value = F.when(F.col("__knot").isNull(), F.col("__start")).when(knot("__x1").isNull(), knot("__y0")).otherwise(knot("__y0") + share * (knot("__y1") - knot("__y0")))
+    return met.select(*queries.columns, F.when(F.col("__x").isNotNull(), value).alias(out))
 
 
 def steps(df: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Add step: the change of ``value`` from the row before, 0 at the first."""
+    if not by:
+        return scans.steps(df, [order], value)
     return df.withColumn("step", F.coalesce(F.col(value) - F.lag(value).over(W.partitionBy(*by).orderBy(order)), F.lit(0)))
 
 
@@ -46,6 +53,8 @@ def is_monotone(df: DataFrame, by: list[str], order: str, value: str) -> DataFra
 
 def blocks(df: DataFrame, by: list[str], order: list[str], size: int) -> DataFrame:
     """Add block: 1-based number of each run of ``size`` rows."""
+    if not by:
+        return scans.blocks(df, order, size).withColumn("block", F.col("block").cast("int"))
     n = F.row_number().over(W.partitionBy(*by).orderBy(*order))
     return df.withColumn("block", F.ceil(n / size).cast("int"))
 
@@ -54,6 +63,8 @@ def runs(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFram
     """by, value, run, start, size of each maximal run of equal values.
 
     ``start`` is the 1-based place of the run's first row within its group."""
+    if not by:
+        return scans.runs(df, order, value)
     place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
     island = place - F.row_number().over(W.partitionBy(*by, value).orderBy(*order))
     rows = df.select(*by, value, place.alias("place"), island.alias("island"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobs import common, panel_qc, text_manifest
 
-from .views import shared_folder
+from ..functions.shared import shared_folder
 
 
 def job1_panel_qc(spark: SparkSession, sf: str) -> DataFrame:

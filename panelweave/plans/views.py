@@ -18,15 +18,6 @@ from ..functions import require
 MARKERS = 64
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a new temporary folder only where there is one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        require(spark.sparkContext.master.startswith("local"), "set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="panelweave-")
-    return base.rstrip("/")
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for files that driver and executors share: below
     ``spark.checkpoint.dir``; a temporary one only where there is one machine."""
