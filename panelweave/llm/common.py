@@ -147,6 +147,16 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def drawn(hash_: Column) -> Column:
+    """A hash as a draw from 0 to 2^62 - 1."""
+    return hash_.bitwiseAND(F.lit((1 << 62) - 1))
+
+
+def threshold(share: float) -> int:
+    """Draws below it are that share of all, however small."""
+    return (1 << 62) if share >= 1 else int(share * (1 << 62))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

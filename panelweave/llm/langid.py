@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import fresh, frugal, mix64, part, slices, sums_by_text, tuned, word_table
+from .common import drawn, fresh, frugal, mix64, part, slices, sums_by_text, threshold, tuned, word_table
 
 BUCKETS = 1 << 16
 #: Labelled rows of each language that the models are fitted on.
 TRAIN_ROWS = 800
+#: Bytes of labelled texts, of all languages together, that they are fitted on.
+TRAIN_BYTES = 96 << 20
 #: Labelled texts whose n-grams a task lays out together, and their bytes.
 TOGETHER, TOGETHER_BYTES = 32, 1 << 20
 #: Bytes of distinct words, and words of a text, that are summed together.
@@ -182,23 +184,25 @@ def _vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return grams[take], sums_by_text(n, offsets)
 
 
-def sample_labelled(docs: DataFrame, label: str, per_label: int, where: Column) -> DataFrame:
-    """About ``per_label`` different rows of each label: doc_id, text, label.
+def sample_labelled(docs: DataFrame, label: str, per_label: int, where: Column, most_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """About ``per_label`` different rows of each label, and of all labels about
+    ``most_bytes`` of text (a longer text counts once): doc_id, text, label.
 
     Rows are chosen by a hash of doc_id and text against a threshold from the
-    labels' counts, so each label's rows are cut by a filter.  Rows that repeat
-    both count once, folded in their own task before they meet: neither a
-    doc_id nor a copied row with a third of the table passes the bound.
+    labels' counts and bytes, so each label's rows are cut by a filter.  Rows
+    that repeat both count once, folded in their own task before they meet:
+    neither a doc_id nor a copied row with a third of the table passes the bound.
     """
     rows = docs.where(where & F.col(label).isNotNull()).select("doc_id", "text", label)
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    counts = {r[0]: (r[1], r[2] or 0) for r in rows.groupBy(label).agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).collect()}
     if not counts:
         return rows.limit(0)
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col(label) == F.lit(name), F.lit(min(1.0, per_label / n))).otherwise(share)
+    most = F.lit(0).cast("long")
+    for name, (n, size) in counts.items():
+        share = min(1.0, per_label / n, most_bytes / len(counts) / max(1, size))
+        most = F.when(F.col(label) == F.lit(name), F.lit(threshold(share))).otherwise(most)
     same = F.xxhash64("doc_id", "text", F.lit(11))
-    some = rows.where(F.pmod(same, F.lit(1 << 20)) < share * (1 << 20))
+    some = rows.where(drawn(same) < most)
     return some.groupBy("doc_id", label, same.alias("same")).agg(F.first("text").alias("text")).select("doc_id", "text", label)
 
 

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, written
+from .common import drawn, text_key, threshold, written
 
 BUCKETS = 4096
 #: Labelled documents of each domain that the classifier is fitted on.
@@ -39,6 +39,8 @@ RIDGE = 1e-11
 STALL = 8
 #: Highest rate: how often a document may be repeated.
 MOST = 64.0
+#: Repeats of a row that are numbered together.
+CHUNK = 1 << 16
 #: That weight where the targets are out of reach.
 LEAST = 1e-3
 
@@ -75,21 +77,21 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, per_domain: int = TR
     sizes = {r[0]: r[1] for r in labelled.groupBy("domain").count().collect()}
     domains = sorted(sizes) or ["all"]
 
-    def share(of: dict[str, int]) -> Column:
-        out = F.lit(0.0)
+    def most(of: dict[str, int]) -> Column:
+        out = F.lit(0).cast("long")
         for d in of:
-            out = F.when(F.col("domain") == d, F.lit(min(1.0, per_domain / of[d]))).otherwise(out)
-        return out * (1 << 20)
+            out = F.when(F.col("domain") == d, F.lit(threshold(per_domain / of[d]))).otherwise(out)
+        return out
 
     every = sum(sizes.values())
     weights, prior = [[0.0] * BUCKETS for _ in domains], [0.0] * len(domains)
     if len(domains) > 1:
-        marks = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share(sizes))
+        marks = labelled.where(drawn(F.xxhash64("doc_id", F.lit(5))) < most(sizes))
         # the sample is bounded, so the texts need not be shuffled to meet it;
         # rows of a doc_id that has many are cut once more, by their texts
         train = docs.join(F.broadcast(marks), "doc_id")
         rows = {r[0]: r[1] for r in train.groupBy("domain").count().collect()}
-        train = train.where(F.pmod(F.xxhash64("doc_id", "h", F.lit(7)), F.lit(1 << 20)) < share(rows))
+        train = train.where(drawn(F.xxhash64("doc_id", "h", F.lit(7))) < most(rows))
         train = train.groupBy("doc_id", "domain", "h").agg(F.first("text").alias("text"))
         seen = {d: [0.0] * BUCKETS for d in domains}
         # at most BUCKETS rows a domain
@@ -194,15 +196,16 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     return at(pull), dict(zip(domains, has.tolist()))
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, anchor_rate: float = 1.0) -> tuple[DataFrame, list[str]]:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, anchor_rate: float = 1.0, most: float = MOST) -> tuple[DataFrame, list[str]]:
     """doc_id, h, n_tokens, repeats, p, rate for target ``weights`` (shares by
     domain), and the domains; see ``domain_posteriors`` for the rows.
 
     The token budget is the largest that repeats the ``anchor`` domain
     ``anchor_rate`` times.  Weights of domains without labelled rows are left
     out and the rest is scaled; without the anchor among the domains the budget
-    is the corpus.  Domains without a weight get none of the tokens.  Null and
-    empty texts have the rate of the prior.
+    is the corpus.  Domains without a weight get none of the tokens.  No document
+    is taken more than ``most`` times.  Null and empty texts have the rate of the
+    prior.
     """
     members, domains = domain_posteriors(docs, labelled)
     members = written(members, "posteriors")
@@ -212,10 +215,18 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor:
         return members.withColumn("rate", F.lit(1.0)), domains
     has = members.agg(*(F.coalesce(F.sum(F.col("n_tokens") * F.col("repeats") * F.col("p")[k]), F.lit(0.0)) for k in range(len(domains)))).first()
     budget = has[domains.index(anchor)] * anchor_rate / (known[anchor] / scale) if known.get(anchor) else sum(has)
-    rate, _ = fit_rates(members, domains, {d: budget * w / scale for d, w in known.items()})
+    rate, _ = fit_rates(members, domains, {d: budget * w / scale for d, w in known.items()}, most=most)
     return members.withColumn("rate", rate), domains
 
 
+def each_row(rates: DataFrame) -> DataFrame:
+    """``rates`` with a row for each of a row's ``repeats``: numbered by chunks,
+    so that no array holds more than ``CHUNK`` of them however often a row repeats."""
+    chunks = rates.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("repeats") - 1) / CHUNK))))
+    size = F.least(F.lit(CHUNK).cast("long"), F.col("repeats") - F.col("chunk") * CHUNK)
+    return chunks.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("chunk", "row")
+
+
 def copies(rate: Column, *key: Column) -> Column:
     """How often a document is taken: its rate, rounded at random by a hash of its key."""
     u = F.pmod(F.xxhash64(*key, F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))

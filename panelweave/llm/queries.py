@@ -163,7 +163,7 @@ def quality_domains(labels: DataFrame) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates, domains = mixing.mix(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")), MIX, "q1t0", 1.1)
-    rows = rates.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "repeats")))  # a row a document
+    rows = mixing.each_row(rates)  # a row a document
     return rows.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)), "rate")
 
 

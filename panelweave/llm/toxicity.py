@@ -26,6 +26,9 @@ from .langid import sample_labelled
 
 #: Labelled rows of each class that the scorer is fitted on.
 TRAIN_ROWS = 1500
+#: Bytes of labelled texts, of both classes together, whose n-grams reach the
+#: driver: ten times as many bytes at most.
+TRAIN_BYTES = 24 << 20
 ROUNDS = 120
 #: Boosting ends when no rule explains more.
 LEAST_EDGE = 0.03
@@ -380,8 +383,9 @@ def boost(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, sketch: np.ndar
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TRAIN_ROWS) -> ToxicityModel:
-    """Fit on about ``per_class`` different labelled rows of each class (a bound
-    on the driver's memory); the character model counts all documents.  Rows
+    """Fit on about ``per_class`` different labelled rows of each class and about
+    ``TRAIN_BYTES`` of their texts (bounds on the driver's memory); the character
+    model counts all documents.  Rows
     without a label of 0 or 1 are unlabelled, null texts have no words; without
     labelled rows, or with empty tables, no rule is learned.  Other columns are
     not read."""
@@ -392,7 +396,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, per_class: int = TR
     # the sample is bounded, so the texts need not be shuffled to meet it; a
     # doc_id of many rows is cut again by its texts
     chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
-    chosen = sample_labelled(chosen, "toxic", per_class, F.lit(True)).select("text", "toxic")
+    chosen = sample_labelled(chosen, "toxic", per_class, F.lit(True), TRAIN_BYTES).select("text", "toxic")
     shared = spark.sparkContext.broadcast(chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
