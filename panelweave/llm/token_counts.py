@@ -2,18 +2,19 @@
 
 A batch of signed deltas (an insert adds a document, a delete takes one away, a
 revision takes its old count away and adds the new one) is summed by source,
-language and tokenizer version and added to the totals.  The new totals are
-written to a folder of their own; the commit is the creation of a small file,
-``commits/<version>``, that must not exist yet and names that folder and the
-batch.  Of two writers of one version the second one finds the file there and
-starts again on top of it.  A batch that was committed before changes nothing,
-and a run that dies halfway leaves the former version in force.
+language and tokenizer version and written to a folder of its own; Spark's own
+success mark commits it.  Totals are the sum over the committed batches, so
+writers of different batches do not meet: none has to see the totals of another,
+no order is needed, and a writer that dies leaves a folder without a mark that
+nobody reads.  A batch that was committed before changes nothing.  ``compact``
+writes the totals of all batches so far with their names; as that is true
+whatever happens beside it, any complete one may stand for its batches.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
+import uuid
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
 class TokenRollup:
-    """Additive totals of one folder, one version a committed batch."""
+    """Additive totals of one folder: ``batches/<name>/<attempt>`` and ``compacted/<id>``."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or scratch(spark, "token-rollup")
@@ -34,77 +35,84 @@ class TokenRollup:
         self._at = lambda name: hadoop.Path(f"{self.path}/{name}")
         self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _create(self, name: str, content: str) -> bool:
-        """A new file; False if there is one of that name."""
-        try:
-            out = self._fs.create(self._at(name), False)
-        except Exception:
-            if self._fs.exists(self._at(name)):
-                return False
-            raise
-        out.write(content.encode())
-        out.close()
-        return True
-
-    def _read(self, version: int) -> dict | None:
-        """What a commit names; None if its writer died before it said so."""
-        lines = self.spark.read.text(f"{self.path}/commits/{version}").collect()
-        return json.loads(lines[0][0]) if lines else None
-
-    def _latest(self) -> tuple[int, dict | None]:
-        """The last version taken, and the last commit that names its totals."""
-        v = top = self.version()
-        while v and (commit := self._read(v)) is None:
-            v -= 1
-        return top, commit if v else None
-
-    def version(self) -> int:
-        """Number of versions taken."""
-        if not self._fs.exists(self._at("commits")):
-            return 0
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("commits"))]
-        return max([int(n) for n in names if n.isdigit()], default=0)
-
-    def _totals(self, commit: dict | None) -> DataFrame:
-        if commit is None:
-            return self.spark.createDataFrame([], TOTALS)
-        return self.spark.read.schema(TOTALS).parquet(f"{self.path}/{commit['totals']}")
-
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens; groups without documents are gone."""
-        return self._totals(self._latest()[1])
+    def _names(self, folder: str) -> list[str]:
+        if not self._fs.exists(self._at(folder)):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._at(folder))]
+
+    def _attempts(self, name: str) -> list[tuple[int, str]]:
+        """Committed attempts of a batch, first to last."""
+        out = []
+        for attempt in self._names(f"batches/{name}"):
+            mark = self._at(f"batches/{name}/{attempt}/_SUCCESS")
+            if self._fs.exists(mark):
+                out.append((self._fs.getFileStatus(mark).getModificationTime(), attempt))
+        return sorted(out)
+
+    def _committed(self) -> dict[str, tuple[int, str]]:
+        """The attempt that counts, of each batch that has one: the first."""
+        first = {name: self._attempts(name) for name in self._names("batches")}
+        return {name: a[0] for name, a in first.items() if a}
 
     def applied(self) -> list[str]:
         """All committed batches, first to last."""
-        commits = [self._read(v) for v in range(1, self.version() + 1)]
-        return [c["batch"] for c in commits if c]
+        return [unquote(n) for n, _ in sorted(self._committed().items(), key=lambda x: x[1])]
 
-    def _done(self, batch: str, last: dict | None) -> bool:
-        """Whether a batch was committed: it has a file of its own, made after
-        its commit, so only the last commit may still lack one."""
-        name = lambda b: f"batches/{hashlib.sha256(b.encode()).hexdigest()}"
-        if last is not None:
-            self._create(name(last["batch"]), last["batch"])
-        return self._fs.exists(self._at(name(batch)))
+    def version(self) -> int:
+        """Number of committed batches."""
+        return len(self._committed())
 
     def apply(self, batch: str, deltas: DataFrame) -> bool:
         """Add a batch (columns of ``DELTA``); False if it was applied before.
 
         Null keys are groups like any other; null amounts count as nothing; an
-        empty batch is a batch.  Other columns are not read.
+        empty batch is a batch.  Other columns are not read.  Of two writers of
+        one batch, who bring the same deltas, one commits.
         """
+        name = quote(batch, safe="")
+        if not 0 < len(name) <= 200:
+            raise ValueError("a batch has a name of at most 200 letters")
+        if self._attempts(name):
+            return False
+        attempt = uuid.uuid4().hex
         new = deltas.select(*KEY, F.coalesce("docs", F.lit(0)).cast("long").alias("n_docs"), F.coalesce("tokens", F.lit(0)).cast("long").alias("n_tokens"))
-        while True:
-            version, last = self._latest()
-            if self._done(batch, last):
-                return False
-            totals = self._totals(last).unionByName(new).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
-            folder = f"totals-{version + 1}-{scratch(self.spark, '').rsplit('-', 1)[1]}"
-            totals.write.parquet(f"{self.path}/{folder}")
-            if self._create(f"commits/{version + 1}", json.dumps({"batch": batch, "totals": folder})):
-                self._done(batch, {"batch": batch})
-                return True
-            self._fs.delete(self._at(folder), True)  # another writer was first
+        new.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.path}/batches/{name}/{attempt}")
+        if self._attempts(name)[0][1] == attempt:
+            return True
+        self._fs.delete(self._at(f"batches/{name}/{attempt}"), True)
+        return False
+
+    def _compacted(self) -> tuple[str | None, set[str]]:
+        """The compacted totals that cover most batches, and those batches."""
+        best, names = None, set()
+        for one in self._names("compacted"):
+            if self._fs.exists(self._at(f"compacted/{one}/names/_SUCCESS")):
+                has = {r[0] for r in self.spark.read.schema("name string").parquet(f"{self.path}/compacted/{one}/names").collect()}
+                if len(has) > len(names):
+                    best, names = one, has
+        return best, names
+
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens; groups without documents are gone."""
+        best, names = self._compacted()
+        paths = [f"{self.path}/batches/{n}/{a}" for n, (_, a) in sorted(self._committed().items()) if n not in names]
+        parts = [self.spark.read.schema(TOTALS).parquet(*paths)] if paths else []
+        parts += [self.spark.read.schema(TOTALS).parquet(f"{self.path}/compacted/{best}/totals")] if best else []
+        if not parts:
+            return self.spark.createDataFrame([], TOTALS)
+        every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return every.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+
+    def compact(self) -> None:
+        """Write the totals so far under one roof; older ones stay as they are."""
+        names = sorted(self._committed())
+        if not names:
+            return
+        one = f"{self.path}/compacted/{uuid.uuid4().hex}"
+        paths = [f"{self.path}/batches/{n}/{a}" for n, (_, a) in self._committed().items() if n in set(names)]
+        every = self.spark.read.schema(TOTALS).parquet(*paths)
+        every.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{one}/totals")
+        self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.parquet(f"{one}/names")
 
 
 def inserts(counts: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import frugal, merged, ragged_take, tuned, word_table
 
@@ -221,6 +222,20 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     return ordered.mapInArrow(run, STORED)
 
 
+def count_tokens(docs: DataFrame, tokenizer_path: str, name: str = "n") -> DataFrame:
+    """Other columns of ``docs`` in place of ``text``, and its number of ids."""
+    tuned(docs.sparkSession)
+    rest = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer_path)
+        for b in frugal(merged(batches, len(rest))):
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(encoder.encode(b.column(len(rest)))[1], pa.int64())], names=[*rest, name])
+
+    kept = docs.select(*rest, "text")
+    return kept.mapInArrow(run, StructType([*kept.schema.fields[:-1], StructField(name, LongType())]))
+
+
 def write_token_table(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write ``docs`` in the file format, with its manifest."""
     spark = docs.sparkSession

@@ -1,8 +1,11 @@
+import re
+from collections import defaultdict
+
 import pytest
+from tokenizers import Tokenizer
 
 from panelweave.llm import token_counts
-from panelweave.llm.queries import OP4_SQL, op4_token_counts
-from tests.oracle import assert_same, duck
+from panelweave.llm.queries import op4_token_counts, tokenizer_file
 
 COUNTS = "source string, lang string, tokenizer string, n long"
 
@@ -36,38 +39,97 @@ def test_a_dead_commit_leaves_the_former_version(spark, monkeypatch):
     assert token_counts.TokenRollup(spark, r.path).apply("two", token_counts.inserts(a)) and r.totals().first().n_tokens == 10
 
 
-def test_query(spark, sf):
-    assert_same(op4_token_counts(spark, sf), duck(sf).sql(OP4_SQL))
+def counted(tokenizer, text):
+    return len(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-def test_two_writers_of_one_version(spark, monkeypatch):
-    a = spark.createDataFrame([("s", "en", "t1", 5)], COUNTS)
-    one = token_counts.TokenRollup(spark)
-    one.apply("base", token_counts.inserts(a))
-    two = token_counts.TokenRollup(spark, one.path)
-    create = token_counts.TokenRollup._create
-    raced = []
-
-    def late(self, name, content):
-        # the other writer commits between the look-up and the commit
-        if name == "commits/2" and self is one and not raced:
-            raced.append(two.apply("other", token_counts.inserts(a)))
-        return create(self, name, content)
-
-    monkeypatch.setattr(token_counts.TokenRollup, "_create", late)
-    assert one.apply("mine", token_counts.inserts(a)) and raced == [True]
-    assert one.applied() == ["base", "other", "mine"] and one.totals().first().n_docs == 3
-    assert not two.apply("mine", token_counts.inserts(a))
-    # both writers have the same batch: it counts once
-    raced.clear()
-    monkeypatch.setattr(token_counts.TokenRollup, "_create", lambda self, name, content: (raced.append(two.apply("same", token_counts.inserts(a))) if name == "commits/4" and self is one and not raced else None, create(self, name, content))[1])
-    assert not one.apply("same", token_counts.inserts(a)) and one.totals().first().n_docs == 4
-
-
-def test_a_writer_that_dies_while_it_commits(spark):
-    a = spark.createDataFrame([("s", "en", "t1", 5)], COUNTS)
+def test_query_counts_ids_of_the_tokenizer(spark, sf):
+    tokenizer = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    low = {r[0] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 0").collect()}
+    want = defaultdict(lambda: [0, 0])
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        if r.doc_id in low:
+            continue
+        text = re.sub("[ \t]{2,}", " ", r.text or "")
+        for version, n in (("word_bpe_49k", counted(tokenizer, text)), ("bytes", len(text.encode()))):
+            sums = want[r.source, r.lang, version]
+            sums[0] += 1
+            sums[1] += n
+    got = {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in op4_token_counts(spark, sf).collect()}
+    assert got == dict(want)
+
+
+def one(spark, tokens, docs=1):
+    return spark.createDataFrame([("s", "en", "t1", docs, tokens)], token_counts.DELTA)
+
+
+def totals(r):
+    return [(x.n_docs, x.n_tokens) for x in r.totals().collect()]
+
+
+def test_a_second_writer_at_any_moment_loses_nothing(spark, monkeypatch):
+    # between every two steps of one writer another one commits a batch of its own
+    first = token_counts.TokenRollup(spark)
+    other, raced = token_counts.TokenRollup(spark, first.path), []
+    look = token_counts.TokenRollup._attempts
+
+    def late(self, name):
+        if self is first and name == "A" and len(raced) < 4:
+            raced.append(None)
+            assert other.apply(f"B{len(raced)}", one(spark, 1000))
+        return look(self, name)
+
+    monkeypatch.setattr(token_counts.TokenRollup, "_attempts", late)
+    assert first.apply("A", one(spark, 1))
+    monkeypatch.undo()
+    n = len(raced)
+    assert n >= 2 and totals(first) == totals(other) == [(n + 1, 1000 * n + 1)]
+    assert not other.apply("A", one(spark, 1)) and sorted(first.applied()) == ["A", *(f"B{k + 1}" for k in range(n))]
+
+
+def test_two_writers_of_one_batch(spark, monkeypatch):
+    first = token_counts.TokenRollup(spark)
+    other, raced = token_counts.TokenRollup(spark, first.path), []
+    look = token_counts.TokenRollup._attempts
+
+    def late(self, name):
+        if self is first and not raced:
+            found = look(self, name)  # nothing yet
+            raced.append(other.apply("A", one(spark, 5)))
+            return found
+        return look(self, name)
+
+    monkeypatch.setattr(token_counts.TokenRollup, "_attempts", late)
+    assert not first.apply("A", one(spark, 5)) and raced == [True]
+    assert totals(first) == [(1, 5)] and first.version() == 1
+
+
+def test_a_dead_writer_is_not_waited_for(spark):
     r = token_counts.TokenRollup(spark)
-    r.apply("one", token_counts.inserts(a))
-    r._create("commits/2", "")
-    assert r.totals().first().n_docs == 1 and r.apply("two", token_counts.inserts(a))
-    assert r.totals().first().n_docs == 2 and r.applied() == ["one", "two"] and not r.apply("one", token_counts.inserts(a))
+    r.apply("one", one(spark, 5))
+    # files without a mark, as a writer leaves them that died before its commit
+    one(spark, 77).selectExpr("source", "lang", "tokenizer", "docs as n_docs", "tokens as n_tokens").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{r.path}/batches/two/dead")
+    assert totals(r) == [(1, 5)] and r.applied() == ["one"]
+    assert r.apply("two", one(spark, 2)) and totals(r) == [(2, 7)]
+
+
+def test_compaction_changes_nothing(spark):
+    r = token_counts.TokenRollup(spark)
+    r.compact()
+    for k in range(3):
+        r.apply(f"b/{k} %", one(spark, 10**k))
+    r.compact()
+    assert totals(r) == [(3, 111)]
+    r.apply("more", one(spark, 5))
+    assert totals(r) == [(4, 116)] and not r.apply("b/1 %", one(spark, 10))
+    r.compact()
+    assert totals(r) == [(4, 116)] and r.applied() == ["b/0 %", "b/1 %", "b/2 %", "more"]
+    with pytest.raises(ValueError):
+        r.apply("x" * 300, one(spark, 1))
+
+
+def test_very_large_amounts_and_clashing_columns(spark):
+    r = token_counts.TokenRollup(spark)
+    rows = [("s", "en", "t1", 1, 2**61, 9, 9, "x"), ("s", "en", "t1", None, -(2**61) + 3, 9, 9, "x")]
+    r.apply("a", spark.createDataFrame(rows, token_counts.DELTA + ", n_docs long, n_tokens long, batch string"))
+    assert totals(r) == [(1, 3)]
