@@ -3,9 +3,11 @@
 Dated entries (domain, day, action) of a blocklist become validity intervals:
 an entry holds from its day until the domain's next entry.  A capture is looked
 up under its host and every parent domain; of the entries in force on the day
-of the fetch the one of the longest domain decides.  Intervals are cut where a
-span of ``SPAN`` days ends, and both sides meet by domain and span, so a capture
-meets one span's entries however long the history of its domain.
+of the fetch the one of the longest domain decides.  Captures and intervals go
+through one stream sorted by domain and day, dealt by ranges of it: each capture
+takes the last interval that began, so neither the length of a history nor the
+width of a gap costs anything, and a domain with a third of all captures is
+spread over many ranges.
 """
 
 from __future__ import annotations
@@ -14,13 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import scans
 from .common import fresh, written
 
-SPAN = 64
-#: Intervals that may be broadcast; a longer list is joined by a salted shuffle.
-BROADCAST_ROWS = 100_000
-SALTS = 16
-
 
 def url_host(url: Column) -> Column:
     """Lower-case host of an absolute URL, without user, port and final dot; '' if there is none."""
@@ -46,34 +44,24 @@ def validity(entries: DataFrame) -> DataFrame:
     return day.select("domain", "action", F.col("day").alias("valid_from"), F.lead("day").over(W.partitionBy("domain").orderBy("day")).alias("valid_to"))
 
 
-def temporal_list_join(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def temporal_list_join(captures: DataFrame, entries: DataFrame, ranges: int | None = None) -> DataFrame:
     """Add matched_domain, action, valid_from to captures (url, day, ...).
 
     Every row of ``captures`` comes back once, with its own verdict, whether or
     not others share its id; null ids are no matter.  A capture without host,
     day or entry in force has nulls there.  Columns of ``captures`` keep their
     names; an added column whose name is taken gets underscores.  Empty tables
-    give no rows, or no matches.  A host with a third of all captures meets its
-    few intervals in a broadcast or under ``SALTS`` salts; a domain has at most
-    one entry a day, so its window is bounded by the days listed.
+    give no rows, or no matches.  Any day that fits a long is a day.  A domain
+    has at most one entry a day, so its window is bounded by the days listed.
+    ``ranges`` is the number of ranges, by default that of shuffle partitions.
     """
     row, added = fresh("row", captures), [fresh(c, captures) for c in ("matched_domain", "action", "valid_from")]
     # numbered once, in a written table: a lost task cannot number rows anew
     rows = written(captures.withColumn(row, F.monotonically_increasing_id()), "captures")
     asked = rows.select(F.col(row).alias("r"), F.col("day").cast("long").alias("at"), F.explode(domain_suffixes(url_host(F.col("url")))).alias("domain")).where("at is not null")
-    asked = asked.withColumn("span", F.floor(F.col("at") / SPAN))
-    ends = rows.agg(F.max(F.col("day").cast("long")).alias("last"))
-    known = validity(entries).join(F.broadcast(ends))  # one row
-    until = F.least(F.coalesce(F.col("valid_to") - 1, F.col("last")), F.col("last"))
-    known = known.where(F.col("valid_from") <= until).withColumn("span", F.explode(F.sequence(F.floor(F.col("valid_from") / SPAN), F.floor(until / SPAN)))).drop("last")
-    known = written(known, "intervals")
-    keys = ["domain", "span"]
-    if known.count() <= BROADCAST_ROWS:
-        joined = asked.join(F.broadcast(known), keys)
-    else:
-        salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = asked.withColumn("salt", F.pmod(F.xxhash64("r"), F.lit(SALTS))).join(salted, [*keys, "salt"])
-    hits = joined.where("valid_from <= at and (valid_to is null or at < valid_to)")
+    known = validity(entries).select("domain", F.col("valid_from").cast("long").alias("at"), "action", "valid_from", "valid_to")
+    met = scans.as_of(asked, known, ["domain"], "at", ["action", "valid_from", "valid_to"], "r", "entry", ranges)
+    hits = met.where("entry is not null and (entry.valid_to is null or at < entry.valid_to)").select("r", "domain", "entry.action", "entry.valid_from")
     # a row has few hits at most: one for each of its domains
     best = hits.groupBy("r").agg(F.max_by(F.struct("domain", "action", "valid_from"), F.length("domain")).alias("hit"))
     best = best.select(F.col("r").alias(row), *(F.col(f"hit.{c}").alias(a) for c, a in zip(("domain", "action", "valid_from"), added)))
