@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
+from . import selection
 
 KEYS = ("ancestry", "source")
 
@@ -39,7 +40,8 @@ def replicate_ratio(synthetic: DataFrame, reference: DataFrame) -> DataFrame:
 
 def tail_limits(reference: DataFrame, q: float = 0.975) -> DataFrame:
     """metric and limit: a quantile of the reference replicates."""
-    return reference.groupBy("metric").agg(F.percentile("value", F.lit(q)).alias("limit"))
+    rows = selection.keyed(reference, "value", ("metric",))
+    return reference.select("metric").distinct().join(selection.quantiles(rows, (q,), ("metric",)), "metric", "left").select("metric", F.col("q")[0].alias("limit"))
 
 
 def metric_distribution(candidate: DataFrame, reference: DataFrame) -> DataFrame:
