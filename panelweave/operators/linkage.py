@@ -70,8 +70,9 @@ def ld_scores(r2: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def effective_rank(calls: DataFrame, markers: DataFrame) -> DataFrame:
-    """M squared over the sum of all squared correlations, diagonal included."""
+    """M squared over the sum of all squared correlations, diagonal included;
+    a number a pair of tiles leaves its task."""
     m = markers.agg(F.count("*").alias("m"))
     everything = markers.agg(F.max("bp") - F.min("bp")).first()[0] or 0
-    s = window_ld(calls, markers, everything).agg(F.coalesce(F.sum("r2"), F.lit(0.0)).alias("s"))
+    s = window_r2(wide_markers(calls), markers, everything, summed=True).agg(F.coalesce(F.sum("r2"), F.lit(0.0)).alias("s"))
     return m.join(s).select((F.col("m").cast("double") * F.col("m") / (F.col("m") + 2 * F.col("s"))).alias("effective_rank"))

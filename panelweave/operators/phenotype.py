@@ -59,12 +59,8 @@ def traits_long(wide: DataFrame, ids: list[str]) -> DataFrame:
     return text.unpivot(ids, [F.col(f"`{c}`") for c in traits], "trait", "value")
 
 
-def trait_statistics(long: DataFrame, *by: str) -> DataFrame:
-    """total, nonmissing, missing, mean, sd, minimum, maximum of ``value`` by
-    group; sd is null for a single value."""
-    x = F.col("value")
-    x = lenient_number(x) if dict(long.dtypes)["value"] == "string" else x.cast("double")
-    return long.select(*by, x.alias("x")).groupBy(*by).agg(
+def _statistics() -> list[Column]:
+    return [
         F.count("*").alias("total"),
         F.count("x").alias("nonmissing"),
         (F.count("*") - F.count("x")).alias("missing"),
@@ -72,13 +68,27 @@ def trait_statistics(long: DataFrame, *by: str) -> DataFrame:
         F.stddev_samp("x").alias("sd"),
         F.min("x").alias("minimum"),
         F.max("x").alias("maximum"),
-    )
+    ]
+
+
+def _numbers(long: DataFrame, *by: str) -> DataFrame:
+    x = F.col("value")
+    x = lenient_number(x) if dict(long.dtypes)["value"] == "string" else x.cast("double")
+    return long.select(*by, x.alias("x"))
+
+
+def trait_statistics(long: DataFrame, *by: str) -> DataFrame:
+    """total, nonmissing, missing, mean, sd, minimum, maximum of ``value`` by
+    group; sd is null for a single value."""
+    return _numbers(long, *by).groupBy(*by).agg(*_statistics())
 
 
 def statistics_by_population(long: DataFrame, population: str, label: str = "all") -> DataFrame:
-    """Trait statistics of each population and, under ``label``, of all."""
-    each = trait_statistics(long, "trait", population)
-    return each.unionByName(trait_statistics(long, "trait").withColumn(population, F.lit(label)))
+    """Trait statistics of each population and, under ``label``, of all: one
+    scan and one aggregate over both grouping sets."""
+    sets = _numbers(long, "trait", population).groupingSets([["trait", population], ["trait"]], "trait", population)
+    out = sets.agg(*_statistics(), F.grouping(population).alias("__all"))
+    return out.withColumn(population, F.when(F.col("__all") == 1, F.lit(label)).otherwise(F.col(population))).drop("__all")
 
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:

@@ -79,13 +79,14 @@ def king_counts(planes: DataFrame, tile: int = SAMPLE_TILE, part_words: int = 40
     return counts.groupBy("i1", "i2").agg(*(F.sum(c).alias(c) for c in ("hh", "ibs0", "den")))
 
 
-def window_r2(wide: DataFrame, markers: DataFrame, window: int, tile: int = MARKER_TILE, signed: bool = False) -> DataFrame:
+def window_r2(wide: DataFrame, markers: DataFrame, window: int, tile: int = MARKER_TILE, signed: bool = False, summed: bool = False) -> DataFrame:
     """j1 < j2, dist, r2 (or r with its sign) of markers at most ``window`` apart.
 
     ``wide`` has a marker's calls in one array (j, calls), ``markers`` j, bp
     and perhaps chr.  Tiles are runs of neighbouring markers; two tiles meet if
     their nearest markers are within the window.  A pair counts the samples
-    that have both calls; a marker that does not vary gives 0.
+    that have both calls; a marker that does not vary gives 0.  ``summed`` gives
+    one row a tile pair instead: pairs and the sum of their r2.
     """
     by = ["chr"] if "chr" in markers.columns else []
     place = F.row_number().over(W.partitionBy(*by).orderBy("bp", "j")) - 1
@@ -101,6 +102,8 @@ def window_r2(wide: DataFrame, markers: DataFrame, window: int, tile: int = MARK
 
     def fold(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
+            if summed:
+                return pd.DataFrame({"pairs": np.zeros(0, np.int64), "r2": np.zeros(0)})
             return pd.DataFrame({"j1": np.zeros(0, np.int32), "j2": np.zeros(0, np.int32), "dist": np.zeros(0, np.int64), "r2": np.zeros(0)})
 
         def side(g: pd.DataFrame) -> tuple[np.ndarray, ...]:
@@ -120,7 +123,9 @@ def window_r2(wide: DataFrame, markers: DataFrame, window: int, tile: int = MARK
         # within one tile each pair once; between tiles by number
         keep = dist <= window
         keep &= (j1[:, None] < j2[None, :]) if key[0] == key[1] else (j1[:, None] != j2[None, :])
+        if summed:
+            return pd.DataFrame({"pairs": [int(keep.sum())], "r2": [float(r[keep].sum())]})
         p, q = np.nonzero(keep)
         return pd.DataFrame({"j1": np.minimum(j1[p], j2[q]), "j2": np.maximum(j1[p], j2[q]), "dist": dist[p, q], "r2": r[p, q]})
 
-    return on_tile_pairs(rows, pairs, fold, "j1 int, j2 int, dist long, r2 double")
+    return on_tile_pairs(rows, pairs, fold, "pairs long, r2 double" if summed else "j1 int, j2 int, dist long, r2 double")

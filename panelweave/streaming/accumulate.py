@@ -1,65 +1,40 @@
 """Marker statistics that grow as blocks of calls arrive.
 
 A file stream of Parquet blocks (i, j, d) feeds additive counters of each
-marker; a micro-batch that is replayed after a failure finds its marker file and
-changes nothing.
+marker, a folder a micro-batch: one that is replayed after a failure, or written
+by two at once, counts once, and batches may come in any order.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .batches import BatchSums
+
 CALLS = "i int, j int, d tinyint"
 STATE = "j int, n long, total long, het long, missing long"
+#: Batches after which the counters are compacted.
+EVERY = 100
 
 
-class MarkerAccumulator:
-    """Counters under ``path``: one version a committed batch."""
+class MarkerAccumulator(BatchSums):
+    """Counters under ``path``."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        self._at = lambda name: hadoop.Path(f"{path}/{name}")
-        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+        super().__init__(spark, path, STATE, ["j"])
 
     def batches(self) -> list[int]:
         """Ids of the committed batches, in order."""
-        if not self._fs.exists(self._at("")):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at(""))]
-        return sorted(int(n[10:]) for n in names if n.startswith("committed-") and n[10:].isdigit())
-
-    def state(self) -> DataFrame:
-        done = self.batches()
-        if not done:
-            return self.spark.createDataFrame([], STATE)
-        version = self.spark.read.text(self._at(f"committed-{done[-1]}").toString()).first()[0]
-        return self.spark.read.schema(STATE).parquet(f"{self.path}/{version}")
+        return sorted(map(int, self.applied()))
 
     def add(self, calls: DataFrame, batch: int) -> bool:
         """Add a batch; False if it was committed before."""
-        if batch in self.batches():
-            return False
-        new = calls.groupBy("j").agg(F.count("d").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("total"), F.count_if(F.col("d") == 1).alias("het"), F.count_if(F.col("d").isNull()).alias("missing"))
-        both = self.state().unionByName(new).groupBy("j").agg(*(F.sum(c).alias(c) for c in ("n", "total", "het", "missing")))
-        version = f"version-{batch}-{uuid.uuid4().hex}"
-        both.write.parquet(f"{self.path}/{version}")
-        # a marker that is there already is never written again: of two writers one commits
-        try:
-            marker = self._fs.create(self._at(f"committed-{batch}"), False)
-        except Py4JJavaError:
-            if batch not in self.batches():
-                raise
-            self._fs.delete(self._at(version), True)
-            return False
-        marker.write(bytearray(version.encode()))
-        marker.close()
-        return True
+        added = self.add_batch(str(batch), calls.select("j", F.col("d").isNotNull().cast("long").alias("n"), F.coalesce(F.col("d").cast("long"), F.lit(0)).alias("total"), F.coalesce((F.col("d") == 1).cast("long"), F.lit(0)).alias("het"), F.col("d").isNull().cast("long").alias("missing")))
+        if added and batch % EVERY == EVERY - 1:
+            self.compact()
+        return added
 
     def stats(self) -> DataFrame:
         """j, n_calls, n_missing, maf, heterozygosity so far."""

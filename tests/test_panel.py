@@ -344,3 +344,34 @@ def test_replicates_together_equal_each_alone(spark, small):
         assert got.pop("replicate") == r and set(got) == set(alone)
         for name, value in alone.items():
             assert got[name] == (None if value is None else pytest.approx(value, rel=1e-9, abs=1e-12)), name
+
+
+def test_statistics_of_populations_and_of_all_are_one_aggregate(spark):
+    rows = [("t", "a", "1"), ("t", "a", "3"), ("t", None, "8"), ("u", "a", "x")]
+    out = phenotype.statistics_by_population(spark.createDataFrame(rows, "trait string, population string, value string"), "population")
+    got = {(r.trait, r.population): (r.total, r.nonmissing, r["mean"]) for r in out.collect()}
+    # a population without a name is a group beside all
+    assert got == {("t", "a"): (2, 2, 2.0), ("t", None): (1, 1, 8.0), ("t", "all"): (3, 3, 4.0), ("u", "a"): (1, 0, None), ("u", "all"): (1, 0, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Union" not in plan and plan.count("Aggregate") == 1
+
+
+def test_additive_fingerprints_of_blocks_add_up(spark):
+    rng = np.random.default_rng(8)
+    calls = rng.integers(0, 3, (20, 30)).tolist()
+    calls[7] = list(calls[3])
+    df = calls_of(spark, calls)
+    whole = genotype.fingerprint_parts(df, "i", "j")
+    blocks = genotype.fingerprint_parts(df.where("j % 3 = 1"), "i", "j").unionByName(genotype.fingerprint_parts(df.where("j % 3 <> 1").orderBy(F.desc("j")), "i", "j"))
+    key = lambda d: {tuple(r) for r in d.collect()}
+    assert key(genotype.add_parts(blocks, "i")) == key(whole.select("i", "places", "f0", "f1", "f2", "f3"))
+    first = {r.i: (r["first"], r.size) for r in genotype.first_of_identical(df, "i", "j").collect()}
+    assert {i: v for i, v in first.items() if v[1] > 1} == {3: (3, 2), 7: (3, 2)}
+    assert "collect_list" not in genotype.identical_pairs(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_fingerprints_of_different_calls_are_an_error(spark, monkeypatch):
+    df = calls_of(spark, [[0, 1, 2], [0, 1, 2], [2, 1, 0]])
+    monkeypatch.setattr(genotype, "fingerprints", lambda calls, by, along, within=(): calls.select(by).distinct().withColumn("fingerprint", F.lit("same")))
+    with pytest.raises(Exception, match="equal fingerprints of different calls"):
+        genotype.duplicated_rows(df).collect()
