@@ -13,12 +13,10 @@ whatever happens beside it, any complete one may stand for its batches.
 
 from __future__ import annotations
 
-import uuid
-from urllib.parse import quote, unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..streaming.batches import BatchSums
 from .common import scratch
 
 KEY = ["source", "lang", "tokenizer"]
@@ -26,37 +24,11 @@ TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
-class TokenRollup:
-    """Additive totals of one folder: ``batches/<name>/<attempt>`` and ``compacted/<id>``."""
+class TokenRollup(BatchSums):
+    """Additive totals of one folder."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path or scratch(spark, "token-rollup")
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        self._at = lambda name: hadoop.Path(f"{self.path}/{name}")
-        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        if not self._fs.exists(self._at(folder)):
-            return []
-        return [s.getPath().getName() for s in self._fs.listStatus(self._at(folder))]
-
-    def _attempts(self, name: str) -> list[tuple[int, str]]:
-        """Committed attempts of a batch, first to last."""
-        out = []
-        for attempt in self._names(f"batches/{name}"):
-            mark = self._at(f"batches/{name}/{attempt}/_SUCCESS")
-            if self._fs.exists(mark):
-                out.append((self._fs.getFileStatus(mark).getModificationTime(), attempt))
-        return sorted(out)
-
-    def _committed(self) -> dict[str, tuple[int, str]]:
-        """The attempt that counts, of each batch that has one: the first."""
-        first = {name: self._attempts(name) for name in self._names("batches")}
-        return {name: a[0] for name, a in first.items() if a}
-
-    def applied(self) -> list[str]:
-        """All committed batches, first to last."""
-        return [unquote(n) for n, _ in sorted(self._committed().items(), key=lambda x: x[1])]
+        super().__init__(spark, path or scratch(spark, "token-rollup"), TOTALS, KEY)
 
     def version(self) -> int:
         """Number of committed batches."""
@@ -66,53 +38,14 @@ class TokenRollup:
         """Add a batch (columns of ``DELTA``); False if it was applied before.
 
         Null keys are groups like any other; null amounts count as nothing; an
-        empty batch is a batch.  Other columns are not read.  Of two writers of
-        one batch, who bring the same deltas, one commits.
+        empty batch is a batch.  Other columns are not read.
         """
-        name = quote(batch, safe="")
-        if not 0 < len(name) <= 200:
-            raise ValueError("a batch has a name of at most 200 letters")
-        if self._attempts(name):
-            return False
-        attempt = uuid.uuid4().hex
-        new = deltas.select(*KEY, F.coalesce("docs", F.lit(0)).cast("long").alias("n_docs"), F.coalesce("tokens", F.lit(0)).cast("long").alias("n_tokens"))
-        new.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.path}/batches/{name}/{attempt}")
-        if self._attempts(name)[0][1] == attempt:
-            return True
-        self._fs.delete(self._at(f"batches/{name}/{attempt}"), True)
-        return False
-
-    def _compacted(self) -> tuple[str | None, set[str]]:
-        """The compacted totals that cover most batches, and those batches."""
-        best, names = None, set()
-        for one in self._names("compacted"):
-            if self._fs.exists(self._at(f"compacted/{one}/names/_SUCCESS")):
-                has = {r[0] for r in self.spark.read.schema("name string").parquet(f"{self.path}/compacted/{one}/names").collect()}
-                if len(has) > len(names):
-                    best, names = one, has
-        return best, names
+        amount = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+        return self.add_batch(batch, deltas.select(*KEY, amount("docs").alias("n_docs"), amount("tokens").alias("n_tokens")))
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; groups without documents are gone."""
-        best, names = self._compacted()
-        paths = [f"{self.path}/batches/{n}/{a}" for n, (_, a) in sorted(self._committed().items()) if n not in names]
-        parts = [self.spark.read.schema(TOTALS).parquet(*paths)] if paths else []
-        parts += [self.spark.read.schema(TOTALS).parquet(f"{self.path}/compacted/{best}/totals")] if best else []
-        if not parts:
-            return self.spark.createDataFrame([], TOTALS)
-        every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return every.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
-
-    def compact(self) -> None:
-        """Write the totals so far under one roof; older ones stay as they are."""
-        names = sorted(self._committed())
-        if not names:
-            return
-        one = f"{self.path}/compacted/{uuid.uuid4().hex}"
-        paths = [f"{self.path}/batches/{n}/{a}" for n, (_, a) in self._committed().items() if n in set(names)]
-        every = self.spark.read.schema(TOTALS).parquet(*paths)
-        every.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{one}/totals")
-        self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.parquet(f"{one}/names")
+        return self.state().where("n_docs <> 0 or n_tokens <> 0")
 
 
 def inserts(counts: DataFrame) -> DataFrame:
