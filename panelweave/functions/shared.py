@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def open_input(path: str) -> Any:
+    """A file to read from, by a path with or without a scheme, in a task."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import require
+from ..functions.shared import open_input
 
 
 def ordered_identity(a: DataFrame, b: DataFrame, idx: str) -> DataFrame:
@@ -24,17 +31,64 @@ def record_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return e.join(a, "key", "left").where(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
-def file_manifest(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
-    """path (below the folder), bytes, sha256 of each file's raw bytes."""
+#: Bytes that a task holds of a file that it digests.
+BUFFER = 1 << 20
+
+
+def _paths(spark: SparkSession, path: str, pattern: str, recursive: bool) -> DataFrame:
+    """Paths of the files below a folder, empty ones too: the listing, not what they hold."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return files.select(F.regexp_replace("path", r"^\w+:/*", "/").alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string")
+
+
+def digests(files: DataFrame, path: str = "path", crlf: bool = False, md5: bool = False) -> DataFrame:
+    """Columns of ``files``, bytes and digests of each file, streamed by the tasks.
+
+    Each task takes paths and reads every file of its own in buffers of
+    ``BUFFER`` bytes, whatever its size.  sha256 is of the raw bytes;
+    crlf_sha256 of what the file would be with CRLF line ends; md5 if asked for.
+    """
+    names = ["sha256", *(["crlf_sha256"] if crlf else []), *(["md5"] if md5 else [])]
+    schema = StructType([*files.schema.fields, StructField("bytes", LongType()), *(StructField(n, StringType()) for n in names)])
+    at = files.columns.index(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [file_digests(p, crlf, md5) for p in b.column(at).to_pylist()]
+            for k, n in enumerate(["bytes", *names]):
+                b = b.append_column(n, pa.array([f[k] for f in found]))
+            yield b
+
+    # a path a row: large files are dealt to as many tasks as there are
+    return files.repartition(max(1, min(1000, files.count())), path).mapInArrow(run, schema)
+
+
+def file_digests(path: str, crlf: bool = False, md5: bool = False) -> list:
+    """Bytes and digests of one file."""
+    sums = [hashlib.sha256(), *([hashlib.sha256()] if crlf else []), *([hashlib.md5(usedforsecurity=False)] if md5 else [])]
+    was, size = b"", 0
+    with open_input(path) as file:
+        while part := file.read(BUFFER):
+            size += len(part)
+            sums[0].update(part)
+            if crlf:
+                # a line end that has its CR keeps it, also where a buffer ends between the two
+                text = part[1:] if was == b"\r" and part[:1] == b"\n" else part
+                sums[1].update((b"\n" if text is not part else b"") + text.replace(b"\r\n", b"\n").replace(b"\n", b"\r\n"))
+                was = part[-1:]
+            if md5:
+                sums[-1].update(part)
+    return [size, *(s.hexdigest() for s in sums)]
+
+
+def file_manifest(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True, md5: bool = False) -> DataFrame:
+    """path, bytes, sha256 of each file's raw bytes (and md5 if asked for)."""
+    return digests(_paths(spark, path, pattern, recursive), md5=md5).withColumn("path", F.regexp_replace("path", r"^\w+:/*", "/"))
 
 
 def with_crlf_digest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """As file_manifest, with the digest that the file would have with CRLF line ends."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    crlf = F.regexp_replace(F.regexp_replace(F.hex("content"), "((?:..)*?)0A", "$10D0A"), "0D0D0A", "0D0A")
-    return files.select(F.regexp_replace("path", r"^\w+:/*", "/").alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.sha2(F.unhex(crlf), 256).alias("crlf_sha256"))
+    return digests(_paths(spark, path, pattern, True), crlf=True).withColumn("path", F.regexp_replace("path", r"^\w+:/*", "/"))
 
 
 def compare_manifest(found: DataFrame, recorded: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """PLINK1 filesets: .bed, .bim and .fam.
 
-A BED file is cut at byte ranges of whole markers; a filter on ``j`` skips the
-ranges outside it.  The dosage counts the allele of BIM column 5: code 00 is 2,
+A BED file is cut at byte ranges of whole markers; a filter on ``j``, or a list of
+markers, leaves only the ranges that hold them, and of a list of samples only
+their bytes are unpacked.  The dosage counts the allele of BIM column 5: code 00 is 2,
 01 missing, 10 is 1 and 11 is 0.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from ..functions import require
+from ..functions.shared import open_input as _open
 from .text import with_line_number
 
 MAGIC = b"\x6c\x1b\x01"
@@ -25,26 +27,30 @@ MAGIC = b"\x6c\x1b\x01"
 DOSAGE = np.array([2, -1, 1, 0], np.int8)
 #: Two-bit code of dosages 0 to 2, and of a missing one.
 CODES = np.array([3, 2, 0, 1], np.uint8)
-#: Bytes of a partition.
-RANGE_BYTES = 64 << 20
+#: Bytes of a partition; bytes between two wanted markers that are read over
+#: rather than sought past.
+RANGE_BYTES, GAP_BYTES = 64 << 20, 4096
+#: Ids of a list that goes to the reader; a longer one is met by a semi-join.
+LISTED = 1 << 20
 FAM = ["fid", "iid", "pat", "mat", "sex", "pheno"]
 BIM = ["chr", "id", "cm", "pos", "a1", "a2"]
 
 
-def _open(path: str) -> Any:
-    from pyarrow import fs
+def runs_text(ids: list[int]) -> str:
+    """Sorted distinct ids as runs: ``0-3,7-7`` is 0 to 3 and 7."""
+    x = np.unique(np.asarray(ids, np.int64))
+    cut = np.flatnonzero(np.diff(x) != 1)
+    return ",".join(f"{a}-{b}" for a, b in zip(x[np.append(0, cut + 1)], x[np.append(cut, len(x) - 1)])) if len(x) else ""
 
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file(path)
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
 
+def runs_ids(text: str) -> np.ndarray:
+    ends = [tuple(map(int, r.split("-"))) for r in text.split(",") if r]
+    return np.concatenate([np.arange(r[0], r[-1] + 1) for r in ends]) if ends else np.zeros(0, np.int64)
 
-class _Range(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+
+class _Ranges(InputPartition):
+    def __init__(self, runs: list[tuple[int, int]]):
+        self.runs = runs
 
 
 class _BedReader(DataSourceReader):
@@ -52,7 +58,14 @@ class _BedReader(DataSourceReader):
         self.path, self.n = options["path"], int(options["samples"])
         self.width = -(-self.n // 4)
         self.low, self.high, self.only = 0, None, None
+        if "keep_markers" in options:
+            self.only = set(runs_ids(options["keep_markers"]).tolist())
+        self.lanes = None
+        if "keep_samples" in options:
+            lanes = runs_ids(options["keep_samples"])
+            self.lanes = lanes[(lanes >= 0) & (lanes < self.n)]
         self.step = max(1, int(options.get("range_bytes", RANGE_BYTES)) // max(1, self.width))
+        self.gap = min(int(options.get("gap_bytes", GAP_BYTES)) // max(1, self.width), self.step - 1)
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -65,31 +78,52 @@ class _BedReader(DataSourceReader):
                 elif isinstance(f, (LessThan, LessThanOrEqual)):
                     top = f.value + isinstance(f, LessThanOrEqual)
                     self.high = top if self.high is None else min(self.high, top)
-            yield f  # ranges are coarse; Spark filters the rows
+            yield f  # Spark filters the rows as well
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Ranges]:
         with _open(self.path) as file:
             head, size = file.read(3), file.size()
         require(head == MAGIC, f"{self.path} is not a SNP-major BED file")
         require((size - 3) % max(1, self.width) == 0, f"{self.path} does not hold whole markers of {self.n} samples")
         n = (size - 3) // self.width if self.width else 0
         low, high = self.low, n if self.high is None else min(n, self.high)
-        if self.only is not None:
-            wanted = [j for j in self.only if low <= j < high]
-            low, high = (min(wanted), max(wanted) + 1) if wanted else (0, 0)
-        return [_Range(a, min(a + self.step, high)) for a in range(low, high, self.step)]
-
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+        if self.only is None:
+            return [_Ranges([(a, min(a + self.step, high))]) for a in range(low, high, self.step)]
+        wanted = np.array(sorted(j for j in self.only if j is not None and low <= j < high), np.int64)
+        if not len(wanted):
+            return []
+        cut = np.flatnonzero(np.diff(wanted) > 1 + self.gap)
+        out, held = [], 0
+        for a, b in zip(wanted[np.append(0, cut + 1)].tolist(), (wanted[np.append(cut, len(wanted) - 1)] + 1).tolist()):
+            for first in range(a, b, self.step):
+                last = min(first + self.step, b)
+                if not out or held + last - first > self.step:
+                    out.append(_Ranges([]))
+                    held = 0
+                out[-1].runs.append((first, last))
+                held += last - first
+        return out
+
+    def read(self, partition: _Ranges) -> Iterator[pa.RecordBatch]:
+        only = None if self.only is None else np.array(sorted(j for j in self.only if j is not None), np.int64)
+        lanes = np.arange(self.n) if self.lanes is None else self.lanes
+        byte, shift = lanes // 4, (lanes % 4 * 2).astype(np.uint8)
+        rows = max(1, (4 << 20) // max(1, self.n))
         with _open(self.path) as file:
-            rows = max(1, (4 << 20) // max(1, self.n))
-            file.seek(3 + partition.first * self.width)
-            for a in range(partition.first, partition.last, rows):
-                m = min(rows, partition.last - a)
-                raw = np.frombuffer(file.read(m * self.width), np.uint8).reshape(m, self.width)
-                codes = (raw[:, :, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3
-                calls = DOSAGE[codes.reshape(m, -1)[:, : self.n]].ravel()
-                values = pa.array(calls, mask=calls < 0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + m, dtype=np.int32)), pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * self.n), values)], names=["j", "calls"])
+            for first, last in partition.runs:
+                file.seek(3 + first * self.width)
+                for a in range(first, last, rows):
+                    m = min(rows, last - a)
+                    raw, j = np.frombuffer(file.read(m * self.width), np.uint8).reshape(m, self.width), np.arange(a, a + m)
+                    if only is not None:
+                        here = np.isin(j, only)
+                        raw, j = raw[here], j[here]
+                    calls = DOSAGE[(raw[:, byte] >> shift) & 3].ravel()
+                    lists = lambda values: pa.ListArray.from_arrays(pa.array(np.arange(len(j) + 1, dtype=np.int32) * len(lanes)), values)  # noqa: B023, E731
+                    columns = {"j": pa.array(j.astype(np.int32)), "calls": lists(pa.array(calls, mask=calls < 0))}
+                    if self.lanes is not None:
+                        columns["samples"] = lists(pa.array(np.tile(lanes, len(j)).astype(np.int32)))
+                    yield pa.RecordBatch.from_pydict(columns)
 
 
 class BedSource(DataSource):
@@ -100,19 +134,24 @@ class BedSource(DataSource):
         return "plink_bed"
 
     def schema(self) -> str:
-        return "j int, calls array<tinyint>"
+        return "j int, calls array<tinyint>" + (", samples array<int>" if "keep_samples" in self.options else "")
 
     def reader(self, schema: Any) -> _BedReader:
         return _BedReader(dict(self.options))
 
 
-def read_bed(spark: SparkSession, path: str, n_samples: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """j and calls (in sample order) of each marker, by byte ranges.  Filters on
-    j reach the reader: Spark refuses a reader that takes them unless the
-    session allows it, so it is allowed here."""
+def read_bed(spark: SparkSession, path: str, n_samples: int, range_bytes: int = RANGE_BYTES, samples: list[int] | None = None, markers: list[int] | None = None) -> DataFrame:
+    """j and calls (in sample order) of each marker, by byte ranges; with a list
+    of ``samples`` only theirs, and who they are.  Filters on j reach the reader:
+    Spark refuses a reader that takes them unless the session allows it, so it
+    is allowed here."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(BedSource)
-    return spark.read.format("plink_bed").option("samples", n_samples).option("range_bytes", range_bytes).load(path)
+    source = spark.read.format("plink_bed").option("samples", n_samples).option("range_bytes", range_bytes)
+    for name, ids in (("keep_samples", samples), ("keep_markers", markers)):
+        if ids is not None:
+            source = source.option(name, runs_text(ids))
+    return source.load(path)
 
 
 def decode_block(block: Column, n: int) -> Column:
@@ -156,12 +195,23 @@ def read_bim(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumns({"cm": F.col("cm").try_cast("double"), "pos": F.col("pos").try_cast("long")})
 
 
+def _listed(df: DataFrame | None, key: str) -> list[int] | None:
+    """The ids of a list that is short enough for the reader."""
+    if df is None:
+        return None
+    ids = [r[0] for r in df.select(key).distinct().where(F.col(key).isNotNull()).limit(LISTED + 1).collect()]
+    return ids if len(ids) <= LISTED else None
+
+
 def read_calls(spark: SparkSession, prefix: str, samples: DataFrame | None = None, markers: DataFrame | None = None) -> DataFrame:
     """i, j, d of a fileset; only the given samples (i) and markers (j)."""
     n = read_fam(spark, f"{prefix}.fam").count()
-    bed = read_bed(spark, f"{prefix}.bed", n)
-    if markers is not None:
+    keep, extract = _listed(samples, "i"), _listed(markers, "j")
+    bed = read_bed(spark, f"{prefix}.bed", n, samples=keep, markers=extract)
+    if markers is not None and extract is None:
         bed = bed.join(markers.select("j").distinct(), "j", "left_semi")
+    if keep is not None:
+        return bed.select("j", F.explode(F.arrays_zip("samples", "calls")).alias("c")).select(F.col("c.samples").alias("i"), "j", F.col("c.calls").alias("d"))
     rows = bed.select(F.posexplode("calls").alias("i", "d"), "j")
     if samples is not None:
         rows = rows.join(samples.select("i").distinct(), "i", "left_semi")

@@ -259,3 +259,89 @@ def test_reports_records_and_codes(spark, tmp_path):
     sinks.write_report(lines, f"{tmp_path}/r.txt")
     assert open(f"{tmp_path}/r.txt").read() == "line=0;sex=Male\nline=1;sex=NA\n"
     assert sinks.session_record(spark).where("name = 'spark'").first().value == spark.version
+
+
+def test_only_the_wanted_markers_are_read_and_only_the_wanted_samples_unpacked(spark, tmp_path, monkeypatch):
+    """The reader alone, over a file that counts what is read of it."""
+    import numpy as np
+
+    n, m = 4001, 300
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 4, (m, 4 * 1001)).astype(np.uint8)
+    raw = (codes.reshape(m, -1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2).astype(np.uint8)
+    path = f"{tmp_path}/big.bed"
+    open(path, "wb").write(plink.MAGIC + raw.tobytes())
+    dosage = plink.DOSAGE[codes][:, :n]
+    opened, got = plink._open, []
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *e):
+            self.file.close()
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+        def read(self, k):
+            got.append(k)
+            return self.file.read(k)
+
+    monkeypatch.setattr(plink, "_open", lambda p: Counted(opened(p)))
+    markers, samples = [3, 4, 5, 150, 299], [0, 5, 6, 2047, 4000]
+
+    def rows(**options):
+        got.clear()
+        reader = plink._BedReader({"path": path, "samples": str(n), **options})
+        parts = reader.partitions()
+        return [r for p in parts for b in reader.read(p) for r in b.to_pylist()], sum(got), len(parts)
+
+    found, read, _ = rows(keep_markers=plink.runs_text(markers), keep_samples=plink.runs_text(samples), gap_bytes="0")
+    assert [r["j"] for r in found] == markers and read == 3 + len(markers) * 1001
+    for r in found:
+        assert r["samples"] == samples and r["calls"] == [None if d < 0 else d for d in dosage[r["j"], samples].tolist()]
+    # a gap of one marker is read over, a wide one is not; partitions are bounded by bytes
+    assert rows(keep_markers=plink.runs_text([3, 5, 200]))[1] == 3 + 4 * 1001
+    every, read, parts = rows(range_bytes="20020")
+    assert len(every) == m and read == 3 + m * 1001 and parts == 15
+    assert rows(keep_markers="0-299", range_bytes="20020")[1:] == (read, 15)
+    assert rows(keep_markers=plink.runs_text([]))[0] == [] and plink.runs_text([9, 7, 8, 1]) == "1-1,7-9"
+
+
+def test_in_lists_reach_the_reader(spark, panel, tmp_path):
+    plink.write_bed(genotype.wide_markers(panel[0]), f"{tmp_path}/p.bed")
+    some = plink.read_bed(spark, f"{tmp_path}/p.bed", 7, range_bytes=2, samples=[6, 1]).where("j in (1, 2, 9)")
+    assert some.rdd.getNumPartitions() == 3 and sorted(r.j for r in some.collect()) == [1, 2, 9]
+    assert {tuple(r.samples) for r in some.collect()} == {(1, 6)}
+
+
+def test_digests_are_streamed_by_the_tasks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    texts = {"a.txt": b"one\ntwo\r\nthree\r", "b.txt": b"", "c.txt": b"\n" * 7 + b"\r\n\r\r\n", "d.bin": bytes(range(256)) * 50}
+    for name, content in texts.items():
+        (tmp_path / name).write_bytes(content)
+    want = {name: (len(c), hashlib.sha256(c).hexdigest(), hashlib.sha256(c.replace(b"\r\n", b"\n").replace(b"\n", b"\r\n")).hexdigest()) for name, c in texts.items()}
+    got = integrity.with_crlf_digest(spark, str(tmp_path))
+    assert {os.path.basename(r.path): (r.bytes, r.sha256, r.crlf_sha256) for r in got.collect()} == want
+    md5 = {os.path.basename(r.path): r.md5 for r in integrity.file_manifest(spark, str(tmp_path), md5=True).collect()}
+    assert md5 == {name: hashlib.md5(c).hexdigest() for name, c in texts.items()}
+    # wherever a buffer ends
+    for size in (1, 2, 3, 5):
+        monkeypatch.setattr(integrity, "BUFFER", size)
+        for name in ("a.txt", "c.txt"):
+            assert tuple(integrity.file_digests(str(tmp_path / name), crlf=True)) == want[name]
+    # no file is a value of the plan
+    assert "content" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_sparse_file_of_three_gigabytes(spark, tmp_path):
+    path, size = tmp_path / "big.bin", 3 << 30
+    with open(path, "wb") as f:
+        f.truncate(size)
+    row = integrity.file_manifest(spark, str(tmp_path)).first()
+    assert row.bytes == size and row.sha256 == "305b66a59d15b252092fbda9d09711230c429f351897cbd430e7b55a35fd3b97"  # of as many zeros
