@@ -35,3 +35,15 @@ def open_input(path: str) -> Any:
         return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
     system, inner = fs.FileSystem.from_uri(path)
     return system.open_input_file(inner)
+
+
+def open_output(path: str) -> Any:
+    """A new file to write to, likewise; its folder is made where there is none."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+    else:
+        system, inner = fs.FileSystem.from_uri(path)
+    system.create_dir(inner.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(inner, compression=None)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import require
 from ..operators import genotype, integrity, kinship
-from ..sources import fetch, plink, sinks, text
+from ..sources import bgzip, fetch, plink, sinks, text
 from ..streaming import MarkerAccumulator, stream_marker_stats
 from .panel_queries import rounded
 from .views import KING, PANEL, panel, table, work_folder
@@ -127,15 +127,27 @@ def map_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {PANEL}, a as (select i, j, d, unnest([0, 1]) as s from g) select j, 100 * j + 1 as pos, '#m' || j as id, count(*) as alleles,
 sum(case when d = 2 or (d = 1 and s = 0) then 1 else 0 end)::bigint as alternate, sum(case when d = 2 or (d = 1 and s = 0) then 2 * i + s else 0 end)::bigint as placed from a group by j""")
 def vcf_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Phased genotypes as gzipped VCF lines, read back with the names checked."""
+    """Phased genotypes as block-gzip VCF lines, read back with the names checked."""
+    back, alleles = _vcf(spark, sf)
+    sums = alleles.groupBy("j").agg(F.count("*").alias("alleles"), F.sum("allele").alias("alternate"), F.sum(F.col("hap") * F.col("allele")).alias("placed"))
+    return back.select("j", F.col("pos").cast("int").alias("pos"), "id").join(sums, "j")
+
+
+def _vcf(spark: SparkSession, sf: str, where: str = "true") -> tuple[DataFrame, DataFrame]:
     g, path = panel(spark, sf), f"{work_folder(spark, 'vcf')}/x"
     pairs = g.select("i", "j", F.posexplode(F.array((F.col("d") > 0).cast("int"), (F.col("d") == 2).cast("int"))).alias("s", "allele"))
     names = [f"s{i}" for i in range(table(spark, sf, "embeddings").count())]
     m = _bim(spark).select("j", "chr", F.col("pos").cast("long"), "id", F.col("a2").alias("ref"), F.col("a1").alias("alt"))
-    sinks.write_lines(sinks.vcf_lines(m, pairs.select((2 * F.col("i") + F.col("s")).alias("hap"), "j", "allele"), names), "line", "j", path, "gzip")
-    back, alleles, _ = text.read_vcf(spark, path, names)
-    sums = alleles.groupBy("j").agg(F.count("*").alias("alleles"), F.sum("allele").alias("alternate"), F.sum(F.col("hap") * F.col("allele")).alias("placed"))
-    return back.select("j", F.col("pos").cast("int").alias("pos"), "id").join(sums, "j")
+    bgzip.write_bgzip(sinks.vcf_lines(m, pairs.select((2 * F.col("i") + F.col("s")).alias("hap"), "j", "allele"), names), "line", "j", path, 4)
+    back, alleles, _ = text.read_vcf(spark, path, names, bgzip.read_bgzip(spark, path, 1 << 14), where)
+    return back, alleles
+
+
+@query(f"with {PANEL} select j, count(*) * 2 as alleles, sum(d)::bigint as alternate from g where j between 12 and 20 group by j")
+def vcf_region(spark: SparkSession, sf: str) -> DataFrame:
+    """A region of the same file: only its members are read."""
+    _, alleles = _vcf(spark, sf, "chr = '22' and pos >= 1201 and pos <= 2001")
+    return alleles.groupBy("j").agg(F.count("*").alias("alleles"), F.sum("allele").alias("alternate"))
 
 
 _PAIRS = f"{HOLES}, q as (select i, j, case when d is null then 0 when d = 2 then 2 else 1 end as a1, case when d is null then 0 when d = 0 then 1 else 2 end as a2 from h)"

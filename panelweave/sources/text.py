@@ -56,16 +56,20 @@ def parse_gt(gt: Column) -> Column:
     return F.transform(a, lambda x: x.try_cast("tinyint"))
 
 
-def read_vcf(spark: SparkSession, path: str, expected_samples: list[str] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+def read_vcf(spark: SparkSession, path: str, expected_samples: list[str] | None = None, lines: DataFrame | None = None, where: Column | str = "true") -> tuple[DataFrame, DataFrame, list[str]]:
     """Phased VCF (plain or gzip): markers (j, chr, pos, id, ref, alt), alleles
-    (hap, j, allele) with haplotypes 2i and 2i + 1 of sample i, sample names."""
-    lines = with_line_number(spark, path)
-    head = lines.where(F.col("value").startswith("#CHROM")).select("value", "line").first()
+    (hap, j, allele) with haplotypes 2i and 2i + 1 of sample i, sample names.
+
+    ``lines`` (line, chr, pos, value) may come from ``bgzip.read_bgzip``; then
+    ``where``, on chr and pos, reads only the members of the file that it needs."""
+    blocks = lines is not None
+    lines = lines if blocks else with_line_number(spark, path)
+    head = (lines.where("chr is null") if blocks else lines).where(F.col("value").startswith("#CHROM")).select("value", "line").first()
     require(head is not None, "no #CHROM line")
     names = head["value"].split("\t")[9:]
     require(expected_samples is None or names == expected_samples, "the samples differ from the expected ones")
     f = F.split("value", "\t")
-    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select((F.col("line") - head["line"] - 1).cast("int").alias("j"), f.alias("f"))
+    body = (lines.where(where) if blocks else lines).where(~F.col("value").startswith("#") & (F.col("value") != "")).select((F.col("line") - head["line"] - 1).cast("int").alias("j"), f.alias("f"))
     markers = body.select("j", F.col("f")[0].alias("chr"), F.col("f")[1].cast("long").alias("pos"), F.col("f")[2].alias("id"), F.col("f")[3].alias("ref"), F.col("f")[4].alias("alt"))
     cells = body.select("j", F.posexplode(F.slice("f", 10, max(1, len(names)))).alias("i", "gt"))
     alleles = cells.select("j", "i", F.posexplode(parse_gt(F.col("gt"))).alias("s", "allele")).select((2 * F.col("i") + F.col("s")).alias("hap"), "j", "allele")
