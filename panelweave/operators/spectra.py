@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import require
-from .genotype import wide_markers
+from .genotype import assert_hard_calls, wide_markers
 
 #: Largest matrix on the driver, 32 MB.
 MAX_SIDE = 2048
 COMPONENTS = 10
-STEPS, CONVERGED = 500, 1e-11
+#: Passes over the samples at most, degree of the filter, and how far a vector may be off.
+PASSES, DEGREE, RESIDUAL = 500, 6, 1e-9
 SUM = "r long, row binary"
 
 
@@ -102,25 +103,39 @@ def _sample_space(calls: DataFrame, n: int) -> np.ndarray:
 
 
 def leading(calls: DataFrame, count: int, mean: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ``count`` largest eigenvalues and their vectors in marker space, by
-    subspace iteration: a pass over the samples a step."""
+    """The ``count`` largest eigenvalues and their vectors in marker space.
+
+    A block of vectors goes through a Chebyshev polynomial of the matrix, shifted
+    so that it is small on the eigenvalues below the block's and grows above
+    them; each degree is a pass over the samples.  It ends when no vector is off
+    by more than ``RESIDUAL`` of the largest eigenvalue, and fails by name where
+    ``PASSES`` do not suffice."""
     m = len(mean)
     count = min(count, m)
+    times = lambda x: _marker_space(calls, mean, size, x)
     q = np.linalg.qr(np.random.default_rng(11).normal(size=(m, min(m, count + 4))))[0]
-    before = np.zeros(q.shape[1])
-    for _ in range(STEPS):
-        y = _marker_space(calls, mean, size, q)
+    y, passes = times(q), 1
+    while True:
         values, turn = np.linalg.eigh(q.T @ y)
         values, turn = values[::-1], turn[:, ::-1]
-        if np.abs(values[:count] - before[:count]).max() <= CONVERGED * max(values[0], 1e-300):
-            break
-        before = values
-        q = np.linalg.qr(y @ turn)[0]
-    return values[:count], (q @ turn)[:, :count]
+        q, y = q @ turn, y @ turn
+        off = np.linalg.norm(y - q * values, axis=0)[:count].max(initial=0.0)
+        if off <= RESIDUAL * max(values[0], 1e-300):
+            return values[:count], q[:, :count]
+        require(passes + DEGREE <= PASSES, f"eigenvalues have not converged after {passes} passes: residual {off:.3g}")
+        half = max(values[-1], 1e-12 * values[0]) / 2
+        was, now = q, y / half - q
+        for _ in range(DEGREE - 1):
+            was, now = now, 2 * (times(now) / half - now) - was
+        # columns near their own vectors differ in size, not in direction
+        q = np.linalg.qr(now / np.maximum(np.linalg.norm(now, axis=0), 1e-300))[0]
+        y, passes = times(q), passes + DEGREE
 
 
 def eigen_metrics(calls: DataFrame) -> tuple[float, float]:
-    """(effective rank, largest eigenvalue) of the marker correlation matrix."""
+    """(effective rank, largest eigenvalue) of the marker correlation matrix;
+    a missing call is an error, in either space."""
+    assert_hard_calls(calls)
     n = calls.agg(F.count_distinct("i")).first()[0]
     ids, mean, size = _marker_scales(calls)
     m, constant = len(ids), int((size == 0).sum())
@@ -178,8 +193,9 @@ def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """Fit: j, centre, scale and loadings (array) of each varying marker.
 
     The number of components is at most ``components``, n - 1 and the number of
-    varying markers.
+    varying markers.  A missing call is an error.
     """
+    assert_hard_calls(calls)
     n = calls.agg(F.count_distinct("i")).first()[0]
     ids, mean, size = _marker_scales(calls)
     varying = int((size > 0).sum())
