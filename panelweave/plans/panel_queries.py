@@ -296,6 +296,28 @@ def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(validation.dataset_metrics(g.where("label >= 5"), markers(spark), genotype.marker_stats(ref).select("j", "maf"), ref), 6)
 
 
+_SYNTHETIC = PANEL.replace("from p0)", "from p0 where label >= 5)")
+_BINS = "".join(
+    f", count_if(bin = '{b}')::bigint as pairs_{n}, round(avg(case when bin = '{b}' then r2 end), 6) as mean_r2_{n}, round(median(case when bin = '{b}' then r2 end), 6) as median_r2_{n}" for b, n in validation.BIN_NAMES.items()
+)
+
+
+@query(f"""with {_SYNTHETIC}, {KING}, {R2}, {MAP}, o as (select j, case when e < -1e-1 then 0 when e > 1e-1 then 2 else 1 end as d from p0 where label < 5),
+y as (select j, least(avg(d) / 2, 1 - avg(d) / 2) as y from o group by j), x as (select j, least(avg(d) / 2, 1 - avg(d) / 2) as x, count(distinct d) as levels from g group by j),
+maf as (select round(corr(x, y), 6) as maf_correlation_with_full_reference, round(avg(abs(x - y)), 6) as mean_maf_absolute_difference, round(median(abs(x - y)), 6) as median_maf_absolute_difference, round(max(abs(x - y)), 6) as max_maf_absolute_difference,
+  round(avg(x), 6) as mean_maf, round(median(x), 6) as median_maf, count_if(levels < 2)::bigint as monomorphic_markers from x join y using (j)),
+cells as (select 0e0 as genotype_missingness, round(avg(case when d = 1 then 1e0 else 0e0 end), 6) as heterozygosity from g),
+e as (select j1 as j, r2 from r2 union all select j2, r2 from r2), t as (select m.j, coalesce(sum(e.r2), 0e0) as s from m left join e on m.j = e.j group by 1), score as (select round(median(s), 6) as median_ld_score from t),
+rows_ as (select i, string_agg(d::varchar, ',' order by j) as s from g group by i), copies as (select count(*) - count(distinct s) as duplicated_individuals from rows_),
+columns_ as (select j, string_agg(d::varchar, ',' order by i) as s from g group by j), same_ as (select s, count(*) as c from columns_ group by s), same as (select cast(sum(c * (c - 1) / 2) as bigint) as identical_genotype_marker_pairs from same_),
+kin as (select count(*) as kinship_pairs, round(median(kinship), 6) as kinship_median, round(quantile_cont(kinship, 0.95), 6) as kinship_q95, round(max(kinship), 6) as kinship_max, {_CLASSES.replace("mz_pairs", '"duplicate_MZ_pairs"')} from king),
+b as (select {BIN} as bin, r2 from r2), ld as (select {_BINS[2:]} from b)
+select * from maf, cells, score, copies, same, kin, ld""")
+def dataset_metric_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """The figures of that vector that SQL has: all but eigenvalues and PCA."""
+    return dataset_metrics(spark, sf).drop("effective_rank", "largest_eigenvalue", "pca_centroid_rms_z", "pca_centroid_max_abs_z", "pca_variance_ratio_median")
+
+
 @query()
 def validation_gates(spark: SparkSession, sf: str) -> DataFrame:
     """The thirteen gates on populations 5 to 9 as a synthetic panel."""
