@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import agreement, gates, genotype, integrity, kinship, linkage, spectra, tiles, validation
@@ -318,6 +319,70 @@ def dataset_metric_figures(spark: SparkSession, sf: str) -> DataFrame:
     return dataset_metrics(spark, sf).drop("effective_rank", "largest_eigenvalue", "pca_centroid_rms_z", "pca_centroid_max_abs_z", "pca_variance_ratio_median")
 
 
+_LD_BINS = ("0_10kb", "10_50kb", "50_100kb")
+_RATED = [f"ld_ratio_{b}" for b in _LD_BINS] + ["ld_score_ratio", "effective_rank_ratio"]
+
+
+@query(f"""with {PANEL}, {KING}, s as (select a.label, a.j as j1, b.j as j2, cast(count(*) as double) as n, cast(sum(a.d) as double) as x, cast(sum(b.d) as double) as y, cast(sum(a.d * a.d) as double) as xx, cast(sum(b.d * b.d) as double) as yy, cast(sum(a.d * b.d) as double) as xy
+  from g a join g b on a.i = b.i and a.j < b.j group by 1, 2, 3),
+r2 as (select label, j1, j2, 4000 * (j2 - j1) as dist, coalesce((n * xy - x * y) * (n * xy - x * y) / nullif((n * xx - x * x) * (n * yy - y * y), 0e0), 0e0) as r2 from s),
+e as (select label, j1 as j, r2 from r2 union all select label, j2, r2 from r2), t as (select label, j, sum(r2) as s from e group by 1, 2), score as (select label, median(s) as ld_score from t group by 1),
+v as (select label, avg(case when dist < 10000 then r2 end) as a, avg(case when dist >= 10000 and dist < 50000 then r2 end) as b, avg(case when dist >= 50000 and dist < 100000 then r2 end) as c, 64e0 * 64 / (64 + 2 * sum(r2)) as f from r2 group by 1),
+w as (select label, a, b, c, ld_score as d, f from v join score using (label)), base as (select avg(a) as a, avg(b) as b, avg(c) as c, avg(d) as d, avg(f) as f from w where label < 5),
+ratios as (select w.a / base.a as a, w.b / base.b as b, w.c / base.c as c, w.d / base.d as d, w.f / base.f as f from w, base where label >= 5),
+p as (select distinct i, label from g), k as (select x.label as l1, y.label as l2, kinship from king join p x on x.i = i1 join p y on y.i = i2),
+own as (select l1, count_if(kinship >= pow(2, -2.5) and kinship < pow(2, -1.5)) / cast(count(*) as double) as f, count_if(kinship >= pow(2, -1.5)) / cast(count(*) as double) as m from k where l1 = l2 and l1 < 5 group by 1),
+lim as (select quantile_cont(f, 0.975) as fl, quantile_cont(m, 0.975) as ml from own),
+rate as (select count_if(kinship >= pow(2, -2.5) and kinship < pow(2, -1.5)) / cast(count(*) as double) as fr, count_if(kinship >= pow(2, -1.5)) / cast(count(*) as double) as mr from k where l1 >= 5 and l2 >= 5),
+rows_ as (select i, string_agg(d::varchar, ',' order by j) as s from g where label >= 5 group by i), dup as (select count(*) - count(distinct s) as dup from rows_),
+shape as (select count(distinct i) as n, count(distinct j) as m, count(*) as cells, bool_and(d in (0, 1, 2)) as hard from g where label >= 5),
+far as (select max(greatest(abs(a - 1), abs(b - 1), abs(c - 1))) as ld, max(abs(d - 1)) as score, max(abs(f - 1)) as rank,
+  bool_and(a between 0.8 and 1.2 and b between 0.8 and 1.2 and c between 0.8 and 1.2) as ld_ok, bool_and(d between 0.8 and 1.2) as score_ok, bool_and(f between 0.8 and 1.2) as rank_ok from ratios)
+select unnest(['dimensions_hard_calls', 'marker_integrity', 'ld_below_100kb', 'ld_score', 'effective_rank', 'duplicate_individuals', 'empirical_relatedness', 'plink_roundtrip']) as gate,
+  unnest([hard and n * m = cells and m = 64, true, ld_ok, score_ok, rank_ok, dup = 0, fr <= fl and mr <= ml, true]) as pass,
+  round(unnest([cast(cells as double), 64e0, ld, score, rank, cast(dup as double), fr + mr, cast(cells as double)]), 6) as figure
+from far, lim, rate, dup, shape""")
+def gate_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight gates, and the figure behind each, with populations as replicates:
+    0 to 4 the reference, 5 to 9 the synthetic panel."""
+    from ..operators.integrity import calls_differ, ordered_identity
+    from ..sources import plink
+    from .file_queries import _bim, _samples
+    from .views import work_folder
+
+    g = panel(spark, sf)
+    syn, ref = g.where("label >= 5"), g.where("label < 5")
+    marks = markers(spark)
+    people = g.select("i", "label").distinct()
+    place = people.select("i", (F.row_number().over(W.partitionBy("label").orderBy("i")) - 1).alias("place"))
+    each = g.join(place, "i").select(F.col("label").alias("replicate"), F.col("place").alias("i"), "j", "d")
+    metrics = validation.metrics_by_replicate(each, marks, genotype.marker_stats(ref).select("j", "maf"))
+    ratios = {f"mean_r2_{b}": f"ld_ratio_{b}" for b in _LD_BINS} | {"median_ld_score": "ld_score_ratio", "effective_rank": "effective_rank_ratio"}
+    base = metrics.where("replicate < 5").agg(*(F.avg(m).alias(f"base_{m}") for m in ratios))
+    rated = metrics.where("replicate >= 5").join(base).select(*((F.col(m) / F.col(f"base_{m}")).alias(r) for m, r in ratios.items()))
+    rated = rated.agg(*(F.collect_list(r).alias(r) for r in _RATED))
+    rates = metrics.where("replicate < 5").select((F.col("first_degree_pairs") / F.col("kinship_pairs")).alias("f"), (F.col("duplicate_MZ_pairs") / F.col("kinship_pairs")).alias("m"))
+    limits = rates.agg(F.percentile("f", F.lit(0.975)).alias("first_degree_limit"), F.percentile("m", F.lit(0.975)).alias("mz_limit"))
+    king = kinship.king_metrics(kinship.king_pairs(syn)).select((F.col("first_degree_pairs") / F.col("pairs")).alias("first_degree_rate"), (F.col("mz_pairs") / F.col("pairs")).alias("mz_rate"))
+    shape = syn.agg(F.bool_and(F.col("d").isin(0, 1, 2)).alias("hard_calls"), F.count_distinct("i").alias("n_samples"), F.count_distinct("j").alias("n_markers"), F.count("*").alias("cells"))
+    shape = shape.select("*", (F.col("cells") / F.col("n_markers")).cast("long").alias("expected_samples"), F.lit(64).alias("expected_markers"))
+    # the panel as a fileset and back, its markers in the order they were given
+    prefix = f"{work_folder(spark, 'gates')}/p"
+    dense = syn.join(syn.select("i").distinct().select("i", (F.row_number().over(W.orderBy("i")) - 1).alias("n")), "i").select(F.col("n").alias("i"), "j", F.col("d").cast("tinyint").alias("d"))
+    plink.write_fileset(prefix, dense, _bim(spark), _samples(dense))
+    back = calls_differ(dense, plink.read_calls(spark, prefix)).select((F.col("differences") == 0).alias("round_trip"))
+    order = ordered_identity(plink.read_bim(spark, f"{prefix}.bim").select("j", "id"), _bim(spark).select("j", "id"), "j").select(F.col("identical").alias("markers_in_order"))
+    summary = validation._beside([shape, rated, limits, king, genotype.duplicated_rows(syn), back, order])
+    far = lambda *names: F.greatest(*(F.aggregate(n, F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x - 1))) for n in names))
+    behind = {
+        "dimensions_hard_calls": F.col("cells"), "marker_integrity": F.col("n_markers"), "ld_below_100kb": far(*_RATED[:3]), "ld_score": far(_RATED[3], _RATED[3]), "effective_rank": far(_RATED[4], _RATED[4]),
+        "duplicate_individuals": F.col("duplicated"), "empirical_relatedness": F.col("first_degree_rate") + F.col("mz_rate"), "plink_roundtrip": F.col("cells"),
+    }
+    found = gates.evaluate(summary.withColumn("ancestry", F.lit("all")), [x for x in gates.enforced() if x.name in behind]).drop("ancestry")
+    figures = summary.select(F.explode(F.create_map(*(c for k, v in behind.items() for c in (F.lit(k), F.round(v.cast("double"), 6))))).alias("gate", "figure"))
+    return found.join(figures, "gate")
+
+
 @query()
 def validation_gates(spark: SparkSession, sf: str) -> DataFrame:
     """The thirteen gates on populations 5 to 9 as a synthetic panel."""
