@@ -1,9 +1,10 @@
-"""Commands over filesets: validate, convert, simulate, manifest.
+"""Commands over filesets: validate, convert, simulate, manifest, installed.
 
     python -m panelweave.cli validate --prefix P
     python -m panelweave.cli convert --ped X.ped --map X.map --out P
     python -m panelweave.cli simulate --vcf X.vcf.gz --map M.gz --n 100 --rate 20 --seed 1 --block-size 2500 --work DIR --out P [--resume | --force]
     python -m panelweave.cli manifest --dir D --out FILE
+    python -m panelweave.cli installed --prefix P --checksums FILE --design FILE --out DIR [--gates FILE]
 
 Of a repeated option the last value holds.
 """
@@ -12,12 +13,13 @@ from __future__ import annotations
 
 import argparse
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import require
-from .operators import genotype, integrity, mosaic, ordered
+from .functions import PanelError, require
+from .operators import gates, genotype, integrity, mosaic, ordered
 from .sources import plink, sinks, text
 
 
@@ -87,6 +89,44 @@ def manifest(spark: SparkSession, folder: str, out: str) -> None:
             file.write(f"{r['sha256']}  {r['bytes']}  {os.path.relpath(r['path'], os.path.abspath(folder))}\n")
 
 
+def installed(spark: SparkSession, prefix: str, checksums: str, design: str, out: str, accepted: str | None = None) -> DataFrame:
+    """Check an installed fileset against what was recorded of it.
+
+    ``checksums``: CSV with path (its last part counts), bytes and sha256;
+    ``design``: the marker design; ``accepted``: CSV with gate and pass of its
+    build.  Each check is a gate; all of them, their details and what they ran
+    on go to ``out`` as CSV before a failed one stops the command.
+    """
+    began = time.time()
+    name = F.substring_index("path", "/", -1)
+    files = spark.createDataFrame([(f"{prefix}.{x}",) for x in ("bed", "bim", "fam")], "path string")
+    found = integrity.digests(files, crlf=True).withColumn("path", name)
+    recorded = text.read_text_table(spark, checksums, ",", quote='"').select(name.alias("path"), F.col("bytes").cast("long").alias("recorded_bytes"), "sha256")
+    recorded = recorded.join(found.select("path"), "path", "left_semi")
+    status = integrity.compare_manifest(found, recorded).join(found.select("path", "bytes"), "path").join(recorded.select("path", "recorded_bytes"), "path", "left")
+    files = status.select(F.concat(F.lit("file_"), F.substring_index("path", ".", -1)).alias("gate"), ((F.col("status") == "match") & F.coalesce(F.col("bytes") == F.col("recorded_bytes"), F.lit(False))).alias("pass"), "status")
+    own = plink.read_bim(spark, f"{prefix}.bim").select("j", "chr", "id", "pos")
+    wanted = text.read_design(spark, design).select("j", F.col("CHROM").alias("chr"), F.col("ID").alias("id"), F.col("POS").alias("pos"))
+    order = integrity.ordered_identity(own, wanted, "j").select(F.lit("design_identity").alias("gate"), F.col("identical").alias("pass"), F.concat(F.col("differences").cast("string"), F.lit(" differences")).alias("status"))
+    rows = files.unionByName(order)
+    try:
+        checked = validate(spark, prefix).select(F.lit("structure").alias("gate"), F.lit(True).alias("pass"), F.format_string("%d samples, %d markers", "samples", "markers").alias("status"))
+    except PanelError as e:
+        checked = spark.createDataFrame([("structure", False, str(e))], "gate string, pass boolean, status string")
+    rows = rows.unionByName(checked)
+    if accepted:
+        gates_csv = text.read_text_table(spark, accepted, ",", quote='"')
+        rows = rows.unionByName(gates_csv.select(F.concat(F.lit("accepted_"), "gate").alias("gate"), F.coalesce(F.lower("pass") == "true", F.lit(False)).alias("pass"), F.col("pass").alias("status")))
+    rows = rows.persist()
+
+    def evidence(found: DataFrame) -> None:
+        sinks.write_csv(found.orderBy("gate"), f"{out}/checks")
+        sinks.write_csv(sinks.session_record(spark, began), f"{out}/record")
+
+    gates.stop_unless_passed(rows, evidence)
+    return rows
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="panelweave", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -107,6 +147,10 @@ def main(argv: list[str] | None = None) -> None:
     c = commands.add_parser("manifest")
     for o in ("--dir", "--out"):
         c.add_argument(o, required=True)
+    c = commands.add_parser("installed")
+    for o in ("--prefix", "--checksums", "--design", "--out"):
+        c.add_argument(o, required=True)
+    c.add_argument("--gates")
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("panelweave").getOrCreate()
     if a.command == "validate":
@@ -115,6 +159,8 @@ def main(argv: list[str] | None = None) -> None:
         convert(spark, a.ped, a.map, a.out)
     elif a.command == "simulate":
         simulate(spark, a.vcf, a.map, a.n, a.rate, a.seed, a.block_size, a.work, a.out, a.resume, a.force)
+    elif a.command == "installed":
+        installed(spark, a.prefix, a.checksums, a.design, a.out, a.gates).show(truncate=False)
     else:
         manifest(spark, a.dir, a.out)
 

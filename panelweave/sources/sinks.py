@@ -211,11 +211,15 @@ def replace_table(df: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
-def session_record(spark: SparkSession) -> DataFrame:
-    """name and value of what a build ran on, for its manifest."""
+def session_record(spark: SparkSession, began: float | None = None) -> DataFrame:
+    """name and value of what a build ran on, for its manifest; with ``began``
+    (seconds since 1970) also when it started and how long it took so far."""
     import platform
+    import time
 
     rows = [("spark", spark.version), ("python", platform.python_version()), ("system", platform.platform()), ("ansi", str(spark.conf.get("spark.sql.ansi.enabled"))), ("time_zone", spark.conf.get("spark.sql.session.timeZone"))]
+    if began is not None:
+        rows += [("started", time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(began))), ("elapsed_seconds", f"{time.time() - began:.3f}")]
     return spark.createDataFrame(rows, "name string, value string")
 
 
