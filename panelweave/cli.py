@@ -84,9 +84,10 @@ def simulate(spark: SparkSession, vcf: str, map_: str, n: int, rate: float, seed
 
 
 def manifest(spark: SparkSession, folder: str, out: str) -> None:
-    with open(out, "w") as file:
-        for r in integrity.file_manifest(spark, folder).orderBy("path").toLocalIterator():
-            file.write(f"{r['sha256']}  {r['bytes']}  {os.path.relpath(r['path'], os.path.abspath(folder))}\n")
+    base = os.path.abspath(folder).rstrip("/") + "/"
+    below = F.expr(f"substring(path, {len(base) + 1})")
+    files = integrity.file_manifest(spark, folder).select("path", F.concat_ws("  ", "sha256", F.col("bytes").cast("string"), below).alias("line"))
+    sinks.write_ordered(files, out, "path", "line")
 
 
 def installed(spark: SparkSession, prefix: str, checksums: str, design: str, out: str, accepted: str | None = None) -> DataFrame:

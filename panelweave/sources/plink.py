@@ -8,18 +8,23 @@ their bytes are unpacked.  The dosage counts the allele of BIM column 5: code 00
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from ..functions import require
 from ..functions.shared import open_input as _open
+from ..operators import scans
+from . import sinks
 from .text import with_line_number
 
 MAGIC = b"\x6c\x1b\x01"
@@ -165,13 +170,26 @@ def decode_block(block: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), call)
 
 
-def read_bed_sql(spark: SparkSession, path: str, n_samples: int) -> DataFrame:
-    """The file through ``binaryFile`` and ``decode_block``, for comparison on
-    small files (a file is one value here)."""
+def read_bed_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """The file through ``decode_block``, for comparison: tasks read byte ranges
+    of whole markers, SQL functions decode them."""
     width = -(-n_samples // 4)
-    file = spark.read.format("binaryFile").load(path).select("content", "length")
-    markers = file.select("content", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 3) / width).cast("int") - 1)).alias("j"))
-    return markers.select("j", decode_block(F.substring("content", F.lit(4) + F.col("j") * width, F.lit(width)), n_samples).alias("calls"))
+    with _open(path) as file:
+        n = (file.size() - 3) // width if width else 0
+    step = max(1, range_bytes // max(1, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            with _open(path) as file:
+                for first in (b.column(0).to_numpy() * step).tolist():
+                    file.seek(3 + first * width)
+                    for a in range(first, min(first + step, n), rows := max(1, (4 << 20) // width)):
+                        raw = file.read(min(rows, first + step - a, n - a) * width)
+                        blocks = [raw[k : k + width] for k in range(0, len(raw), width)]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + len(blocks), dtype=np.int32)), pa.array(blocks, pa.binary())], names=["j", "block"])
+
+    ranges = spark.range(0, -(-n // step), 1, max(1, -(-n // step)))
+    return ranges.mapInArrow(run, "j int, block binary").select("j", decode_block(F.col("block"), n_samples).alias("calls"))
 
 
 def bed_head_ok(spark: SparkSession, path: str) -> bool:
@@ -234,25 +252,36 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_bed(markers: DataFrame, path: str, append: bool = False) -> None:
     """Write (j, calls) in the order of j; ``append`` adds to an existing file.
 
-    Markers are packed in parallel; the driver streams one partition of packed
-    bytes at a time into the file, which has a single header."""
-    packed = markers.select("j", "calls").repartitionByRange("j").sortWithinPartitions("j").mapInArrow(_pack, "j int, block binary")
-    with open(path, "ab" if append else "wb") as file:
-        if not append:
+    All markers take the same bytes, so each task writes its own where they
+    belong; the driver sets up the header and the size."""
+    packed = markers.select("j", "calls").mapInArrow(_pack, "j int, block binary")
+    placed = scans.places(packed, ["j"])
+    n, low, high = placed.agg(F.count("*"), F.min(F.length("block")), F.max(F.length("block"))).first()
+    require(low == high, "markers have calls of different numbers of samples")
+    if not append:
+        with open(path, "wb") as file:
             file.write(MAGIC)
-        for row in packed.toLocalIterator():
-            file.write(row["block"])
+    width = high or 0
+    pieces = placed.select(((F.col("place") - 1) * width).alias("offset"), F.col("block").alias("data"))
+    sinks.write_in_place(pieces, path, n * width, os.path.getsize(path))
 
 
 def write_table(df: DataFrame, path: str, order: str, columns: list[str], sep: str = "\t") -> None:
     """A BIM or FAM file, in order."""
-    with open(path, "w") as file:
-        for row in df.orderBy(order).select(*columns).toLocalIterator():
-            file.write(sep.join(_text(row[c]) for c in columns) + "\n")
+    kind = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        shown = F.col(c).cast("string")
+        if kind[c] in ("double", "float"):
+            shown = _short(F.col(c).cast("double"))  # ten significant digits
+        return F.coalesce(shown, F.lit("0"))
+
+    sinks.write_ordered(df.select(order, F.concat_ws(sep, *(text(c) for c in columns)).alias("__line")), path, order, "__line")
 
 
-def _text(x: Any) -> str:
-    return "0" if x is None else f"{x:.10g}" if isinstance(x, float) else str(x)
+@F.pandas_udf(StringType())
+def _short(x: pd.Series) -> pd.Series:
+    return x.map(lambda v: None if pd.isna(v) else f"{v:.10g}")
 
 
 def default_fam(ids: DataFrame) -> DataFrame:

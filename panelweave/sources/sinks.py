@@ -6,12 +6,15 @@ import hashlib
 import json
 import os
 import shutil
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import require
+from ..operators import scans
 
 
 def write_csv(df: DataFrame, path: str, na: str = "", quoted: bool = True, sep: str = ",", single: bool = True) -> None:
@@ -42,19 +45,56 @@ def vcf_lines(markers: DataFrame, alleles: DataFrame, names: list[str]) -> DataF
     return head.unionByName(body)
 
 
+def write_in_place(rows: DataFrame, path: str, size: int, start: int = 0) -> None:
+    """One file out of pieces (offset, data) that the tasks write where they
+    belong, beyond the first ``start`` bytes, which stay.  The pieces must make
+    up ``size`` bytes; a task that runs again writes the same bytes again."""
+    with open(path, "r+b" if start else "wb") as file:
+        file.truncate(start + size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        with open(path, "r+b") as file:
+            for b in batches:
+                for at, data in sorted(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                    file.seek(start + at)
+                    done += file.write(data)
+            file.flush()
+            os.fsync(file.fileno())
+        yield pa.RecordBatch.from_arrays([pa.array([done])], names=["n"])
+
+    done = rows.select(F.col("offset").cast("long"), F.col("data").cast("binary")).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    require(done == size, f"{path}: pieces of {done} bytes for {size}")
+
+
+def write_ordered(lines: DataFrame, path: str, order: str, column: str) -> None:
+    """A text file of lines in order: each line's place is a running sum of the
+    sizes of those before it."""
+    rows = lines.select(F.col(order).alias("at"), F.col(column).alias("text")).withColumn("size", F.octet_length("text").cast("long") + 1)
+    placed = scans.running_sums(rows, ["at"], end=F.col("size"))
+    total = placed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    write_in_place(placed.select((F.col("end") - F.col("size")).alias("offset"), F.concat("text", F.lit("\n")).alias("data")), path, total)
+
+
 def write_triangle(pairs: DataFrame, path: str, n: int) -> None:
     """A float32 lower triangle without diagonal from (i1 < i2, value) of all
-    pairs of ``n`` samples: the driver streams a row of the triangle at a time."""
-    import numpy as np
+    pairs of ``n`` samples; each task writes the stretches that it holds."""
+    gaps = pairs.groupBy("i2").agg(F.count_distinct("i1").alias("found"), F.count("*").alias("c"), F.max("i1").alias("top"))
+    bad = gaps.where("i2 < 1 or found <> i2 or c <> i2 or top >= i2").agg(F.min("i2")).first()[0]
+    require(bad is None, f"row {bad} of the triangle is not complete")
+    rows = gaps.count()
+    require(rows == max(n - 1, 0), f"the triangle has {rows} rows for {n} samples")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            i1, i2 = (b.column(k).to_numpy().astype(np.int64) for k in (0, 1))
+            at, x = i2 * (i2 - 1) // 2 + i1, b.column(2).to_numpy().astype("<f4")
+            cuts = np.flatnonzero(np.diff(at) != 1) + 1
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(4 * at[np.append(0, cuts)]), pa.array([p.tobytes() for p in np.split(x, cuts)], pa.binary())], names=["offset", "data"])
 
-    rows = pairs.groupBy("i2").agg(F.sort_array(F.collect_list(F.struct("i1", F.col("value").cast("double").alias("value")))).alias("row")).select("i2", F.col("row.value").alias("row"))
-    with open(path, "wb") as file:
-        at = 0
-        for r in rows.repartitionByRange("i2").sortWithinPartitions("i2").toLocalIterator():
-            at += 1
-            require(r["i2"] == at == len(r["row"]), f"row {at} of the triangle is not complete")
-            np.asarray(r["row"], "<f4").tofile(file)
-    require(at == max(n - 1, 0), f"the triangle has {at} rows for {n} samples")
+    dealt = pairs.select("i1", "i2", F.col("value").cast("double").alias("value")).repartitionByRange("i2", "i1").sortWithinPartitions("i2", "i1")
+    write_in_place(dealt.mapInArrow(run, "offset long, data binary"), path, 2 * n * (n - 1))
 
 
 def sha256_file(path: str) -> str:
@@ -225,7 +265,5 @@ def session_record(spark: SparkSession, began: float | None = None) -> DataFrame
 
 def write_report(lines: DataFrame, path: str, order: str = "line", column: str = "value") -> None:
     """Report lines in order, staged and renamed: readers see all or nothing."""
-    with open(f"{path}.part", "w") as file:
-        for row in lines.orderBy(order).select(column).toLocalIterator():
-            file.write(f"{row[0]}\n")
+    write_ordered(lines, f"{path}.part", order, column)
     os.replace(f"{path}.part", path)

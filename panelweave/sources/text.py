@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import require
 from ..functions.checks import require_columns
+from ..functions.shared import open_input
 
 
 def with_line_number(spark: SparkSession, path: str) -> DataFrame:
@@ -110,24 +113,28 @@ def read_missingness(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("IID").alias("iid"), F.col(missing).try_cast("long").alias("missing"), F.col(observed).try_cast("long").alias("observed"))
 
 
-def read_triangle(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """i1 > i2 and value of a float32 lower triangle without diagonal."""
-    import numpy as np
-    import pyarrow as pa
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    require(files.select(F.length("content")).first()[0] == 4 * n * (n - 1) // 2, "the triangle has another size")
+def read_triangle(spark: SparkSession, path: str, n: int, range_values: int = 1 << 24) -> DataFrame:
+    """i1 > i2 and value of a float32 lower triangle without diagonal, by ranges of its values."""
+    total = n * (n - 1) // 2
+    with open_input(path) as file:
+        require(file.size() == 4 * total, "the triangle has another size")
 
     def run(batches):  # noqa: ANN001, ANN202
         for b in batches:
-            for content in b.column(0):
-                x = np.frombuffer(content.as_py(), "<f4").astype(float)
-                at = 0
-                for r in range(1, n):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(r, r, np.int32)), pa.array(np.arange(r, dtype=np.int32)), pa.array(x[at : at + r])], names=["i1", "i2", "value"])
-                    at += r
-
-    return files.mapInArrow(run, "i1 int, i2 int, value double")
+            with open_input(path) as file:
+                for part in b.column(0).to_pylist():
+                    low, high = part * range_values, min((part + 1) * range_values, total)
+                    for at in range(low, high, 1 << 18):
+                        file.seek(4 * at)
+                        x = np.frombuffer(file.read(4 * min(1 << 18, high - at)), "<f4")
+                        k = np.arange(at, at + len(x))
+                        # the row that value k is in: r (r - 1) / 2 <= k
+                        r = ((1 + np.sqrt(8.0 * k + 1)) / 2).astype(np.int64)
+                        r += (r * (r + 1) // 2 <= k).astype(np.int64) - (r * (r - 1) // 2 > k)
+                        yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array((k - r * (r - 1) // 2).astype(np.int32)), pa.array(x.astype(float))], names=["i1", "i2", "value"])
+
+    ranges = spark.range(0, -(-total // range_values), 1, max(1, -(-total // range_values)))
+    return ranges.mapInArrow(run, "i1 int, i2 int, value double")
 
 
 def parse_report(text: Column) -> Column:
