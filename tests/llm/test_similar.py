@@ -1,3 +1,5 @@
+import random
+
 import re
 
 import corpus_pipeline
@@ -119,3 +121,24 @@ def test_slices_of_a_batch_read_like_the_batch():
         s, ends = similar.shingle_sets(a.slice(at))
         t, last = similar.shingle_sets(pa.array(a.to_pylist()[at:]))
         assert (ends == last).all() and (s == t).all()
+
+
+def test_recall_of_planted_pairs_just_above_the_threshold(spark):
+    """Pairs of similarity 0.80 to 0.82, and others of 0.77 to 0.80 that must stay apart."""
+    draw, rows, near = random.Random(5), [], []
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    while len(near) < 1500:
+        changed = draw.choice([1, 2, 3, 5, 8])
+        words = [f"w{draw.randrange(10**6)}" for _ in range(draw.randint(40 * changed, 50 * changed) + 4)]
+        other, gap = list(words), len(words) // changed
+        for k in range(changed):
+            other[k * gap + gap // 2] = f"x{draw.randrange(10**6)}"
+        a, b = shingles(words), shingles(other)
+        j = len(a & b) / len(a | b)
+        if 0.77 <= j <= 0.82:
+            rows += [(2 * len(near), " ".join(words)), (2 * len(near) + 1, " ".join(other))]
+            near.append(j >= 0.8)
+    groups = similar.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    found = {r.doc_id: r.component for r in groups.select("doc_id", "component").collect()}
+    linked = [found.get(2 * k) is not None and found.get(2 * k) == found.get(2 * k + 1) for k in range(len(near))]
+    assert sum(near) > 300 and linked == near
