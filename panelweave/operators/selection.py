@@ -34,9 +34,10 @@ def of_key(key: np.ndarray) -> np.ndarray:
     return np.where(key < 0, key ^ np.int64((1 << 63) - 1), key).view(np.float64)
 
 
-def keyed(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """by, value and key of each row with a value that is a number; written."""
-    rows = df.select(*by, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull() & ~F.isnan(value))
+def keyed(df: DataFrame, value: str, by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
+    """by, value and key of each row with a value that is a number; written.
+    With ``weight``, a row stands for as many as that column says."""
+    rows = df.select(*by, *([weight] if weight else []), F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull() & ~F.isnan(value))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -45,13 +46,13 @@ def keyed(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     return written(rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("key", LongType(), False)])), "keys")
 
 
-def quantiles(rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] = ()) -> DataFrame:
+def quantiles(rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
     """by and ``q``: the quantiles of the ``keyed`` rows of each group, linear
     between neighbours.  A group without rows has none."""
     every = F.lit(0).alias("__all")
-    rows = rows.select(every, *by, "key")
+    rows = rows.select(every, *by, "key", (F.col(weight) if weight else F.lit(1)).cast("long").alias("__w")).where("__w > 0")
     groups = ["__all", *by]
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n"))
+    sizes = rows.groupBy(*groups).agg(F.sum("__w").alias("n"))
     at = F.col("p") * (F.col("n") - 1).cast("double")
     asked = sizes.select(*groups, "n", F.posexplode(F.array(*map(F.lit, map(float, wanted)))).alias("k", "p"))
     asked = asked.withColumn("share", at - F.floor(at)).withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -60,10 +61,10 @@ def quantiles(rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] =
     asked = written(asked.select(*groups, "k", "side", "share", "rank", F.lit(0).cast("long").alias("bucket")), "ranks")
     for n in range(1, ROUNDS + 1):
         held = F.lit(0).cast("long") if n == 1 else F.shiftright("key", 64 - BITS * (n - 1))
-        here = rows.select(*groups, held.alias("bucket"), F.shiftright("key", 64 - BITS * n).alias("next"))
+        here = rows.select(*groups, held.alias("bucket"), F.shiftright("key", 64 - BITS * n).alias("next"), "__w")
         if n > 1:  # two ranks a quantile and group
             here = here.join(asked.select(*groups, "bucket").distinct(), [*groups, "bucket"], "left_semi")
-        counts = here.groupBy(*groups, "bucket", "next").agg(F.count("*").alias("c"))
+        counts = here.groupBy(*groups, "bucket", "next").agg(F.sum("__w").alias("c"))
         upto = F.sum("c").over(W.partitionBy(*groups, "bucket").orderBy("next"))
         counts = counts.withColumn("before", upto - F.col("c"))
         met = asked.join(counts, [*groups, "bucket"]).where("before <= rank and rank < before + c")
@@ -81,9 +82,9 @@ def quantiles(rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] =
     return each.groupBy(every, *by).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", value.alias("v")))), lambda s: s["v"]).alias("q")).drop("__all")
 
 
-def with_quantiles(summary: DataFrame, rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] = ()) -> DataFrame:
+def with_quantiles(summary: DataFrame, rows: DataFrame, wanted: tuple[float, ...], by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
     """``summary``, a row a group, with ``q`` of the group's ``keyed`` rows."""
-    found = quantiles(rows, wanted, by)
+    found = quantiles(rows, wanted, by, weight)
     if by:
         return summary.join(found, list(by), "left")
     return summary.withColumn("__all", F.lit(0)).join(F.broadcast(found.withColumn("__all", F.lit(0))), "__all", "left").drop("__all")

@@ -74,8 +74,8 @@ def metrics_by_replicate(calls: DataFrame, markers: DataFrame, reference_maf: Da
     named = lambda c, b, n: (F.coalesce(pick(c, b), F.lit(0).cast("long")) if c == "pairs" else pick(c, b)).alias(f"{c}_{n}")
     ld = numbers.join(bins, "replicate", "left").groupBy("replicate").agg(*(named(c, b, n) for b, n in BIN_NAMES.items() for c in ("pairs", "mean_r2", "median_r2")))
     people = calls.withColumn("i", F.col("replicate") * (per * kinship.TILE) + F.col("i"))
-    pairs = kinship.king_pairs(people, per=per if several else None)
-    kin = kinship.king_metrics(pairs.withColumn("replicate", replicate("i1", per * kinship.TILE)), by)
+    pairs = kinship.king_values(people, per=per)  # a run is a replicate
+    kin = kinship.king_metrics(pairs.withColumn("replicate", F.col("run").cast("int")), by)
     kin = kin.select("replicate", F.col("pairs").alias("kinship_pairs"), F.col("median").alias("kinship_median"), F.col("q95").alias("kinship_q95"), F.col("max").alias("kinship_max"), F.col("mz_pairs").alias("duplicate_MZ_pairs"), "first_degree_pairs", "second_degree_pairs")
     if several:
         constant = {r["replicate"]: r["monomorphic_markers"] for r in own.collect()}
@@ -135,7 +135,7 @@ def validate_panel(
     ratios = syn.join(base).agg(*(F.array_sort(F.collect_list(F.coalesce(ratio(F.col(m), F.col(f"base_{m}")), F.lit(float("nan"))))).alias(n) for m, n in names.items()), F.array_sort(F.collect_list("pca_centroid_rms_z")).alias("pca_rms_z"))
     rates = ref.select((F.col("first_degree_pairs") / F.col("kinship_pairs")).alias("f"), (F.col("duplicate_MZ_pairs") / F.col("kinship_pairs")).alias("m"))
     limits = rates.agg(F.percentile("f", F.lit(0.975)).alias("first_degree_limit"), F.percentile("m", F.lit(0.975)).alias("mz_limit"))
-    king = kinship.king_metrics(kinship.king_pairs(synthetic)).select(ratio(F.col("first_degree_pairs"), F.col("pairs")).alias("first_degree_rate"), ratio(F.col("mz_pairs"), F.col("pairs")).alias("mz_rate"))
+    king = kinship.king_metrics(kinship.king_values(synthetic)).select(ratio(F.col("first_degree_pairs"), F.col("pairs")).alias("first_degree_rate"), ratio(F.col("mz_pairs"), F.col("pairs")).alias("mz_rate"))
     maf = agreement.maf_agreement(genotype.marker_stats(synthetic), full_reference_maf).select(F.col("correlation").alias("maf_correlation"), F.col("abs_difference_of_means").alias("mean_maf_difference"))
     het = _beside([genotype.panel_stats(x).select(F.col("heterozygosity").alias(n)) for x, n in ((synthetic, "heterozygosity"), (reference, "reference_heterozygosity"))]).withColumn("heterozygosity_difference", F.abs(F.col("heterozygosity") - F.col("reference_heterozygosity")))
     shape = synthetic.agg(F.bool_and(F.coalesce(F.col("d").isin(0, 1, 2), F.lit(False))).alias("hard_calls"), F.count_distinct("i").alias("n_samples"), F.count_distinct("j").alias("n_markers"), (F.count("*") == n_samples * n_markers).alias("complete"))
