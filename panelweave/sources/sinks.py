@@ -11,9 +11,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import require
+from ..functions.shared import written
 from ..operators import scans
 
 
@@ -76,25 +78,51 @@ def write_ordered(lines: DataFrame, path: str, order: str, column: str) -> None:
     write_in_place(placed.select((F.col("end") - F.col("size")).alias("offset"), F.concat("text", F.lit("\n")).alias("data")), path, total)
 
 
-def write_triangle(pairs: DataFrame, path: str, n: int) -> None:
+def write_triangle(pairs: DataFrame, path: str, n: int, dealt: bool = False) -> None:
     """A float32 lower triangle without diagonal from (i1 < i2, value) of all
-    pairs of ``n`` samples; each task writes the stretches that it holds."""
-    gaps = pairs.groupBy("i2").agg(F.count_distinct("i1").alias("found"), F.count("*").alias("c"), F.max("i1").alias("top"))
-    bad = gaps.where("i2 < 1 or found <> i2 or c <> i2 or top >= i2").agg(F.min("i2")).first()[0]
-    require(bad is None, f"row {bad} of the triangle is not complete")
-    rows = gaps.count()
-    require(rows == max(n - 1, 0), f"the triangle has {rows} rows for {n} samples")
+    pairs of ``n`` samples; each task writes the stretches that it holds.
+
+    ``dealt``: the pairs of an ``i2`` come in stretches of ``i1``, as those of
+    ``kinship.king_pairs`` do, and are written as they come; others are sorted
+    first.  The file is there only once its stretches make up every row."""
+    part = f"{path}.part"
+    with open(part, "wb") as file:
+        file.truncate(2 * n * (n - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            i1, i2 = (b.column(k).to_numpy().astype(np.int64) for k in (0, 1))
-            at, x = i2 * (i2 - 1) // 2 + i1, b.column(2).to_numpy().astype("<f4")
-            cuts = np.flatnonzero(np.diff(at) != 1) + 1
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(4 * at[np.append(0, cuts)]), pa.array([p.tobytes() for p in np.split(x, cuts)], pa.binary())], names=["offset", "data"])
-
-    dealt = pairs.select("i1", "i2", F.col("value").cast("double").alias("value")).repartitionByRange("i2", "i1").sortWithinPartitions("i2", "i1")
-    write_in_place(dealt.mapInArrow(run, "offset long, data binary"), path, 2 * n * (n - 1))
+        with open(part, "r+b") as file:
+            for b in batches:
+                i1, i2 = (b.column(k).to_numpy().astype(np.int64) for k in (0, 1))
+                if not len(i1):
+                    continue
+                x = b.column(2).to_numpy(zero_copy_only=False).astype("<f4")
+                cuts = np.append(0, np.flatnonzero((np.diff(i1) != 1) | (np.diff(i2) != 0)) + 1)
+                sizes = np.diff(np.append(cuts, len(i1)))
+                row, low = i2[cuts], i1[cuts]
+                inside = (low >= 0) & (low + sizes <= row) & (row < n)
+                offsets = 4 * (row * (row - 1) // 2 + low)
+                for k in np.flatnonzero(inside)[np.argsort(offsets[inside])].tolist():
+                    file.seek(offsets[k])
+                    file.write(x[cuts[k] : cuts[k] + sizes[k]].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.where(inside, low, -1)), pa.array(sizes)], names=["i2", "low", "n"])
+            file.flush()
+            os.fsync(file.fileno())
+
+    rows = pairs.select("i1", "i2", F.col("value").cast("double").alias("value"))
+    if not dealt:
+        rows = rows.repartitionByRange("i2", "i1").sortWithinPartitions("i2", "i1")
+    try:
+        spans = written(rows.mapInArrow(run, "i2 long, low long, n long"), "stretches")
+        # the stretches of a row, whose number is that of the blocks it crosses
+        end = F.lag(F.col("low") + F.col("n"), 1, 0).over(W.partitionBy("i2").orderBy("low", "n"))
+        gaps = spans.select("i2", "n", (F.col("low") != end).alias("gap")).groupBy("i2").agg(F.sum("n").alias("found"), F.max("gap").alias("gap"))
+        rows, bad = gaps.agg(F.count("*"), F.min(F.when(F.expr("i2 < 1 or gap or found <> i2"), F.col("i2")))).first()
+        require(bad is None, f"row {bad} of the triangle is not complete")
+        require(rows == max(n - 1, 0), f"the triangle has {rows} rows for {n} samples")
+    except BaseException:
+        os.remove(part)
+        raise
+    os.replace(part, path)
 
 
 def sha256_file(path: str) -> str:

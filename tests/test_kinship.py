@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelweave.functions import PanelError
 from panelweave.operators import kinship, tiles
+from panelweave.sources import sinks
 
 
 def calls_of(spark, g, ids=None):
@@ -85,3 +87,31 @@ def test_no_pair_is_shuffled(spark):
         plan = kinship.king_pairs(calls, 64, form)._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate" not in plan.split("MapInArrow")[0] and "Repartition" not in plan.split("MapInArrow")[0] and "MapInArrow" in plan
     assert kinship.king_values(calls).count() < 30 * 29 // 2
+
+
+@pytest.mark.parametrize("dealt", [True, False])
+def test_triangle_of_blocks(spark, small_blocks, tmp_path, dealt):
+    """Pairs as they come; before, all were counted by row and sorted first."""
+    g = np.random.default_rng(4).integers(0, 3, (25, 40))
+    want, path = expected(g, range(25)), f"{tmp_path}/k.bin"
+    pairs = kinship.king_pairs(calls_of(spark, g), 2).withColumnRenamed("kinship", "value")
+    sinks.write_triangle(pairs, path, 25, dealt=dealt)
+    assert np.fromfile(path, "<f4").tolist() == [np.float32(want[a, b]) for b in range(25) for a in range(b)]
+
+
+@pytest.mark.parametrize(
+    ("pairs", "error"),
+    [
+        ([(0, 1), (0, 2), (0, 2)], "row 2"),  # a copy in place of a pair
+        ([(0, 1), (0, 2)], "row 2"),
+        ([(0, 1), (2, 2), (0, 2), (1, 2)], "row 2"),
+        ([(0, 2), (1, 2)], "1 rows for 3"),
+        ([(0, 1), (0, 2), (1, 2), (0, 3), (1, 3), (2, 3)], "row 3"),
+    ],
+)
+@pytest.mark.parametrize("dealt", [True, False])
+def test_a_triangle_with_gaps_is_refused_and_not_left(spark, tmp_path, pairs, error, dealt):
+    df = spark.createDataFrame([(a, b, 0.5) for a, b in pairs], "i1 int, i2 int, value double")
+    with pytest.raises(PanelError, match=error):
+        sinks.write_triangle(df, f"{tmp_path}/k.bin", 3, dealt=dealt)
+    assert list(tmp_path.iterdir()) == []
