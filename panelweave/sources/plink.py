@@ -35,6 +35,8 @@ CODES = np.array([3, 2, 0, 1], np.uint8)
 #: Bytes of a partition; bytes between two wanted markers that are read over
 #: rather than sought past.
 RANGE_BYTES, GAP_BYTES = 64 << 20, 4096
+#: Bytes of a task of the second decoder, and of a piece that it decodes at a time.
+SQL_BYTES, PIECE = 1 << 20, 256
 #: Ids of a list that goes to the reader; a longer one is met by a semi-join.
 LISTED = 1 << 20
 FAM = ["fid", "iid", "pat", "mat", "sex", "pheno"]
@@ -159,37 +161,53 @@ def read_bed(spark: SparkSession, path: str, n_samples: int, range_bytes: int =
     return source.load(path)
 
 
-def decode_block(block: Column, n: int) -> Column:
-    """A second decoder, of SQL functions only: a marker's bytes to calls."""
+def decode_block(block: Column, n: int | Column) -> Column:
+    """A second decoder, of SQL functions only: a marker's bytes to calls.
+
+    Each call takes its byte out of a copy of the block, so blocks are short."""
 
     def call(i: Column) -> Column:
         byte = F.conv(F.hex(F.substring(block, (F.floor(i / 4) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         code = F.floor(byte / F.pow(F.lit(4), i % 4)).cast("int") % 4
         return F.when(code == 0, 2).when(code == 2, 1).when(code == 3, 0).cast("tinyint")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), call)
+    return F.transform(F.sequence(F.lit(0), F.lit(n) - 1 if isinstance(n, int) else n - 1), call)
 
 
-def read_bed_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The file through ``decode_block``, for comparison: tasks read byte ranges
-    of whole markers, SQL functions decode them."""
+def read_calls_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES, piece: int = PIECE) -> DataFrame:
+    """i, j, d of a BED file through ``decode_block``: tasks read byte ranges, of
+    a marker or of several, and cut them into pieces, which SQL functions decode."""
     width = -(-n_samples // 4)
     with _open(path) as file:
-        n = (file.size() - 3) // width if width else 0
-    step = max(1, range_bytes // max(1, width))
+        m = (file.size() - 3) // width if width else 0
+    # sections of one marker each, a whole number of pieces
+    section = max(1, min(width, max(range_bytes // piece, 1) * piece))
+    each, step = -(-width // section), max(1, range_bytes // section)
+    total = m * each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             with _open(path) as file:
                 for first in (b.column(0).to_numpy() * step).tolist():
-                    file.seek(3 + first * width)
-                    for a in range(first, min(first + step, n), rows := max(1, (4 << 20) // width)):
-                        raw = file.read(min(rows, first + step - a, n - a) * width)
-                        blocks = [raw[k : k + width] for k in range(0, len(raw), width)]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + len(blocks), dtype=np.int32)), pa.array(blocks, pa.binary())], names=["j", "block"])
-
-    ranges = spark.range(0, -(-n // step), 1, max(1, -(-n // step)))
-    return ranges.mapInArrow(run, "j int, block binary").select("j", decode_block(F.col("block"), n_samples).alias("calls"))
+                    for s in range(first, min(first + step, total)):
+                        j, low = s // each, s % each * section
+                        file.seek(3 + j * width + low)
+                        raw = file.read(min(section, width - low))
+                        at = np.arange(0, len(raw), piece)
+                        blocks = [raw[k : k + piece] for k in at.tolist()]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), j, np.int32)), pa.array((4 * (low + at)).astype(np.int32)), pa.array(blocks, pa.binary())], names=["j", "first", "block"])
+
+    tasks = -(-total // step)
+    pieces = spark.range(0, tasks, 1, max(1, tasks)).mapInArrow(run, "j int, first int, block binary")
+    held = F.least(4 * F.length("block"), F.lit(n_samples) - F.col("first"))
+    return pieces.select("j", "first", F.posexplode(decode_block(F.col("block"), held)).alias("k", "d")).select((F.col("first") + F.col("k")).alias("i"), "j", "d")
+
+
+def read_bed_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES) -> DataFrame:
+    """j and calls (in sample order) of each marker, by ``read_calls_sql``, for comparison."""
+    from ..operators.genotype import wide_markers
+
+    return wide_markers(read_calls_sql(spark, path, n_samples, range_bytes))
 
 
 def bed_head_ok(spark: SparkSession, path: str) -> bool:

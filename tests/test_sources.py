@@ -345,3 +345,21 @@ def test_a_sparse_file_of_three_gigabytes(spark, tmp_path):
         f.truncate(size)
     row = integrity.file_manifest(spark, str(tmp_path)).first()
     assert row.bytes == size and row.sha256 == "305b66a59d15b252092fbda9d09711230c429f351897cbd430e7b55a35fd3b97"  # of as many zeros
+
+
+def test_second_decoder_in_pieces(spark, tmp_path):
+    """Tasks of a few bytes, within a marker and across markers; a marker whole
+    was one row before, which was copied for each of its calls."""
+    import numpy as np
+
+    g = np.random.default_rng(6).integers(-1, 3, (5, 77))
+    codes = np.pad(np.array([3, 2, 0, 1], np.uint8)[np.where(g < 0, 3, g)], ((0, 0), (0, 3))).reshape(5, 20, 4)
+    body = (codes << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2).astype(np.uint8)
+    open(f"{tmp_path}/p.bed", "wb").write(plink.MAGIC + body.tobytes())
+    want = {(i, j): None if g[j, i] < 0 else int(g[j, i]) for j in range(5) for i in range(77)}
+    for range_bytes, piece in ((4, 4), (7, 3), (60, 8), (1 << 20, 256)):
+        rows = plink.read_calls_sql(spark, f"{tmp_path}/p.bed", 77, range_bytes, piece)
+        got = rows.collect()
+        assert len(got) == len(want) and {(r.i, r.j): r.d for r in got} == want
+        if piece < 20:
+            assert rows.rdd.getNumPartitions() > 1
