@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from panelweave.functions.shared import written
 from panelweave.llm import lm
 from panelweave.llm.lm_queries import op11_lm_scoring
 
@@ -145,3 +146,14 @@ def test_odd_tables(spark, edge, nothing):
     # nothing to learn from
     none = lm.score_documents(odd, F.lit(False), fold == 0).collect()
     assert len(none) == odd.count() and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
+
+
+def test_weights_are_fitted_on_every_word(spark, monkeypatch):
+    """No bound on the words that the weights see; before, a hash chose some."""
+    words, c = sample(200)
+    df = written(spark.createDataFrame([(bytearray(w), int(n) + 1) for w, n in zip(words, c)], "word binary, c long").coalesce(1), "words")
+    every, _ = lm.train(df)
+    monkeypatch.setattr(lm, "FIT_WORDS", 1, raising=False)
+    again, _ = lm.train(df)
+    assert np.allclose(every.weights, again.weights) and np.allclose(every.cells, again.cells)
+    assert not np.allclose(every.weights, lm.START)
