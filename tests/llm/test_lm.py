@@ -157,3 +157,31 @@ def test_weights_are_fitted_on_every_word(spark, monkeypatch):
     again, _ = lm.train(df)
     assert np.allclose(every.weights, again.weights) and np.allclose(every.cells, again.cells)
     assert not np.allclose(every.weights, lm.START)
+
+
+def test_words_share_the_work_on_what_they_have_in_common():
+    """Neighbours repeat the bytes of the word before; the scores are those of each word alone."""
+    words, c = sample()
+    words = sorted(words)
+    m, w = model_of(words, c)
+    counts = w.prefix_counts(4)
+    some, of = w.distinct()
+    flat = b"".join(x + b" " for x in words)
+    assert len(some) < 0.6 * len(flat) and bytes(w.data[some][of]) == flat
+    # one byte for each first part of up to PREFIX bytes, and all later bytes
+    parts = {x[: k + 1] for x in (y + b" " for y in words) for k in range(min(len(x), lm.PREFIX))}
+    assert len(some) == len(parts) + sum(max(len(x) + 1 - lm.PREFIX, 0) for x in words)
+    starts = np.concatenate([[0], np.cumsum(w.entries())])
+    alone = [m.log10(w.part(i, i + 1), counts[starts[i] : starts[i + 1]])[0] for i in range(len(w))]
+    assert np.allclose(m.log10(w, counts), alone, rtol=1e-12)
+    # a step on the tree learns what a step on every word would
+    fitted = []
+    for share in (True, False):
+        some_model, curve, hits = model_of(words, c)[0], np.tile(lm.DAMP * np.eye(lm.INPUTS), (lm.GATES, 1, 1)), np.zeros((256 * lm.CELLS, 2))
+        v = w.part(0, len(w))
+        v.weight = v.count
+        if not share:
+            v.distinct = lambda n=len(v.data): (np.arange(n), np.arange(n))
+        some_model.learn(v, counts, curve, hits)
+        fitted.append((some_model.weights, hits))
+    assert np.allclose(fitted[0][0], fitted[1][0]) and np.allclose(fitted[0][1], fitted[1][1])
