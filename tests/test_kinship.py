@@ -115,3 +115,19 @@ def test_a_triangle_with_gaps_is_refused_and_not_left(spark, tmp_path, pairs, er
     with pytest.raises(PanelError, match=error):
         sinks.write_triangle(df, f"{tmp_path}/k.bin", 3, dealt=dealt)
     assert list(tmp_path.iterdir()) == []
+
+
+@pytest.mark.parametrize("markers", [64, 500])
+def test_kinships_are_rounded_once_each(spark, small_blocks, markers):
+    """A rounded pair is what Spark's round gives; before, each row was rounded by Spark."""
+    g = np.random.default_rng(6).integers(-1, 3, (21, markers))
+    g[3], g[4] = 0, 2
+    calls = calls_of(spark, g)
+    want = {(r.i1, r.i2): r.kinship for r in kinship.king_pairs(calls, 4).withColumn("kinship", F.round("kinship", 3)).collect()}
+    got = kinship.king_pairs(calls, 4, digits=3)
+    assert {(r.i1, r.i2): r.kinship for r in got.collect()} == want
+    assert ("round" in got._jdf.queryExecution().optimizedPlan().toString()) == (markers > 64)
+    x = np.concatenate([tiles._fractions(1, None), [0.125, -0.125, 2.5e-9, -1.5e-8, 1e-12]])
+    x = x[x == x]
+    rows = spark.createDataFrame([(float(v),) for v in x], "x double").select(F.round("x", 8).alias("a"), F.round("x", 2).alias("b")).collect()
+    assert [r.a for r in rows] == tiles.half_up(x, 8).tolist() and [r.b for r in rows] == tiles.half_up(x, 2).tolist()
