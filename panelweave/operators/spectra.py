@@ -158,11 +158,15 @@ def eigen_metrics(calls: DataFrame) -> tuple[float, float]:
 def eigen_metrics_by(calls: DataFrame, constant: dict[int, int], n_markers: int) -> dict[int, tuple[float, float]]:
     """``eigen_metrics`` of each replicate (replicate, i, j, d) in one pass.
 
-    ``constant`` has each replicate's number of markers that do not vary.  A
-    replicate's samples are few: its matrix is in sample space, and all of them
-    reach the driver."""
+    ``constant`` has each replicate's number of markers that do not vary.  The
+    matrices are in marker space, or in sample space where samples are fewer, and
+    all of them reach the driver, as long as they are no more than ``MAX_SIDE``
+    squared in all."""
     sizes = {r["replicate"]: r["n"] for r in calls.groupBy("replicate").agg(F.count_distinct("i").alias("n")).collect()}
     most = max(sizes.values(), default=0)
+    if n_markers <= most and len(sizes) * n_markers * n_markers <= MAX_SIDE * MAX_SIDE:
+        found = _products_by(calls, n_markers)
+        return {r: _metrics_of(_correlations(*found[r], n), n_markers, constant[r]) for r, n in sizes.items()}
     if most > MAX_SIDE or len(sizes) * most * most > MAX_SIDE * MAX_SIDE:
         return {r: eigen_metrics(calls.where(F.col("replicate") == r)) for r in sizes}
     wide = calls.groupBy("replicate", "j").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"]).alias("calls"))
@@ -181,12 +185,41 @@ def eigen_metrics_by(calls: DataFrame, constant: dict[int, int], n_markers: int)
             yield _rows({r * most + k: row for r, t in total.items() for k, row in enumerate(t)})
 
     got = _added(wide.select("calls", "replicate").mapInArrow(run, SUM))
-    out = {}
-    for r, n in sizes.items():
-        values = np.linalg.eigvalsh(np.array([got[r * most + k] for k in range(n)]))
-        squares, still = float((values**2).sum()), constant[r]
-        out[r] = (n_markers * n_markers / (squares + still), max(float(values.max(initial=0)), 1.0 if still else 0.0))
-    return out
+    return {r: _metrics_of(np.array([got[r * most + k] for k in range(n)]), n_markers, constant[r]) for r, n in sizes.items()}
+
+
+def _metrics_of(matrix: np.ndarray, m: int, constant: int) -> tuple[float, float]:
+    values = np.linalg.eigvalsh(matrix)
+    return m * m / (float((values**2).sum()) + constant), max(float(values.max(initial=0)), 1.0 if constant else 0.0)
+
+
+def _products_by(calls: DataFrame, m: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Of each replicate the sums of products of its markers' calls, and of the
+    calls: whole numbers, so exact whatever the order."""
+    wide = calls.groupBy("replicate", "i").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "d"))), lambda s: s["d"]).alias("calls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            number = b.column(1).to_numpy()
+            for r in np.unique(number).tolist():
+                x = _matrix(b.filter(pa.array(number == r)))
+                total[r] = total.get(r, 0) + np.vstack([x.T @ x, x.sum(axis=0)])
+        if total:
+            yield _rows({r * (m + 1) + k: row for r, t in total.items() for k, row in enumerate(t)})
+
+    got: dict[int, list] = {}
+    for at, row in sorted(_added(wide.select("calls", "replicate").mapInArrow(run, SUM)).items()):
+        got.setdefault(at // (m + 1), []).append(row)
+    return {r: (np.array(rows[:-1]), rows[-1]) for r, rows in got.items()}
+
+
+def _correlations(products: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
+    """Correlations of markers from those sums over n samples; 0 for constant ones."""
+    cov = n * products - np.outer(sums, sums)
+    size = np.sqrt(np.maximum(cov.diagonal(), 0))
+    scale = np.outer(size, size)
+    return np.divide(cov, scale, out=np.zeros_like(cov), where=scale > 0)
 
 
 def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
@@ -223,10 +256,11 @@ def pca_reference(calls: DataFrame, components: int = COMPONENTS) -> DataFrame:
 
 
 def project(calls: DataFrame, reference: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """i, pc, score of samples on a reference's components."""
-    z = (F.col("d") - F.col("centre")) / F.col("scale")
-    terms = calls.join(reference, "j").select(*by, "i", z.alias("z"), F.posexplode("loading").alias("pc", "l"))
-    return terms.groupBy(*by, "i", "pc").agg(F.sum(F.col("z") * F.col("l")).alias("score"))
+    """i, pc, score of samples on a reference's components.  A call stays one
+    row: the components are as many sums."""
+    z, count = (F.col("d") - F.col("centre")) / F.col("scale"), reference.select(F.size("loading")).first()
+    sums = F.array(*(F.sum(z * F.col("loading")[c]) for c in range(count[0] if count else 0)))
+    return calls.join(reference, "j").groupBy(*by, "i").agg(sums.alias("scores")).select(*by, "i", F.posexplode("scores").alias("pc", "score"))
 
 
 def pca_displacement(calls: DataFrame, reference_calls: DataFrame, components: int = COMPONENTS, by: tuple[str, ...] = ()) -> DataFrame:

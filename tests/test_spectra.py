@@ -68,3 +68,26 @@ def test_displacement_of_the_given_panel(calls, matrix):
     z = (b.mean(axis=0) - a.mean(axis=0)) / a.std(axis=0, ddof=1)
     ratio = b.var(axis=0, ddof=1) / a.var(axis=0, ddof=1)
     assert np.allclose([got.rms_z, got.max_abs_z, got.median_variance_ratio], [np.sqrt((z**2).mean()), np.abs(z).max(), np.median(ratio)], rtol=1e-6)
+
+
+def test_replicates_of_many_samples_take_one_pass(spark, monkeypatch):
+    """Their matrices are in marker space; before, each replicate was run by itself."""
+    monkeypatch.setattr(spectra, "MAX_SIDE", 100)
+    rng = np.random.default_rng(8)
+    g = rng.integers(0, 3, (3, 70, 20))
+    g[1, :, 4] = 2  # does not vary
+    rows = [(r, i, j, int(g[r, i, j])) for r in range(3) for i in range(70) for j in range(20)]
+    calls = spark.createDataFrame(rows, "replicate int, i int, j int, d int")
+    want = {r: spectra.eigen_metrics(calls.where(F.col("replicate") == r)) for r in (1, 2)}
+    monkeypatch.setattr(spectra, "eigen_metrics", None)
+    got = spectra.eigen_metrics_by(calls, {0: 0, 1: 1, 2: 0}, 20)
+    assert sorted(got) == [0, 1, 2] and all(np.allclose(got[r], want[r], rtol=1e-10) for r in want)
+
+
+def test_projection_keeps_a_row_a_call(spark):
+    """Components are sums of one aggregate; before, each call was unfolded into all of them."""
+    d = np.random.default_rng(5).integers(0, 3, (30, 12))
+    calls = spark.createDataFrame([(i, j, int(d[i, j])) for i in range(30) for j in range(12)], "i int, j int, d int")
+    got = spectra.project(calls, spectra.pca_reference(calls, 3))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Generate")[0] and got.count() == 90
