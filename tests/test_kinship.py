@@ -2,6 +2,7 @@
 summaries that never list them."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,16 @@ def test_kinships_are_rounded_once_each(spark, small_blocks, markers):
     x = x[x == x]
     rows = spark.createDataFrame([(float(v),) for v in x], "x double").select(F.round("x", 8).alias("a"), F.round("x", 2).alias("b")).collect()
     assert [r.a for r in rows] == tiles.half_up(x, 8).tolist() and [r.b for r in rows] == tiles.half_up(x, 2).tolist()
+
+
+@pytest.mark.parametrize("markers", [64, 400])
+def test_strips_of_pairs_stay_small(markers):
+    """A core's cache holds the words of a strip; before, a strip had 2^19 pairs."""
+    rng, width = np.random.default_rng(1), -(-markers // 64)
+    n = 3000
+    rows = [{"i": i, "w": w, "h": int(h), "r": 0, "a": 0} for w in range(width) for i, h in enumerate(rng.integers(0, 1 << 62, n))]
+    kind = pa.list_(pa.struct([("i", pa.int32()), ("w", pa.int32()), ("h", pa.int64()), ("r", pa.int64()), ("a", pa.int64())]))
+    side = pa.array([rows], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([1]), side, side], names=["run", "t1", "t2", "left", "right"])
+    sizes = [num.size for _, _, _, num, *_ in tiles._strips(iter([batch]), width, 256)]
+    assert sum(sizes) == n * n and 8 * max(sizes) <= 1 << 20
