@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -88,3 +88,21 @@ def with_quantiles(summary: DataFrame, rows: DataFrame, wanted: tuple[float, ...
     if by:
         return summary.join(found, list(by), "left")
     return summary.withColumn("__all", F.lit(0)).join(F.broadcast(found.withColumn("__all", F.lit(0))), "__all", "left").drop("__all")
+
+
+def ranked(df: DataFrame, value: str, by: tuple[str, ...], weight: str) -> DataFrame:
+    """by, value and weight with before, upto and n: the ranks that a row stands
+    for among its group's.  A group is put in order by one task, so its rows must
+    be few, whatever their weights sum to."""
+    within = W.partitionBy(*by)
+    upto = F.sum(weight).over(within.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = df.where(F.col(weight) > 0).select(*by, value, weight, upto.alias("upto"), F.sum(weight).over(within).alias("n"))
+    return rows.withColumn("before", F.col("upto") - F.col(weight))
+
+
+def at_rank(value: str, p: float) -> Column:
+    """The quantile ``p`` of a group of ``ranked`` rows (an aggregate), linear between neighbours."""
+    at = F.lit(float(p)) * (F.col("n") - 1).cast("double")
+    x = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("upto")), F.col(value)))
+    lo, hi, share = x(F.floor(at)), x(F.ceil(at)), F.max(at - F.floor(at))
+    return F.when(lo == hi, lo).otherwise(lo + share * (hi - lo))

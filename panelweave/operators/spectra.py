@@ -25,6 +25,8 @@ MAX_SIDE = 2048
 COMPONENTS = 10
 #: Passes over the samples at most, degree of the filter, and how far a vector may be off.
 PASSES, DEGREE, RESIDUAL = 500, 6, 1e-9
+#: Calls that a task holds as numbers at a time, 8 MB.
+CELLS = 1 << 20
 SUM = "r long, row binary"
 
 
@@ -165,8 +167,8 @@ def eigen_metrics_by(calls: DataFrame, constant: dict[int, int], n_markers: int)
     sizes = {r["replicate"]: r["n"] for r in calls.groupBy("replicate").agg(F.count_distinct("i").alias("n")).collect()}
     most = max(sizes.values(), default=0)
     if n_markers <= most and len(sizes) * n_markers * n_markers <= MAX_SIDE * MAX_SIDE:
-        found = _products_by(calls, n_markers)
-        return {r: _metrics_of(_correlations(*found[r], n), n_markers, constant[r]) for r, n in sizes.items()}
+        found = products_by(calls.groupBy("replicate", "i").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "d"))), lambda s: s["d"]).alias("calls")), n_markers)
+        return {r: metrics_of(correlations(*found[r], n), n_markers, constant[r]) for r, n in sizes.items()}
     if most > MAX_SIDE or len(sizes) * most * most > MAX_SIDE * MAX_SIDE:
         return {r: eigen_metrics(calls.where(F.col("replicate") == r)) for r in sizes}
     wide = calls.groupBy("replicate", "j").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "d"))), lambda s: s["d"]).alias("calls"))
@@ -185,36 +187,39 @@ def eigen_metrics_by(calls: DataFrame, constant: dict[int, int], n_markers: int)
             yield _rows({r * most + k: row for r, t in total.items() for k, row in enumerate(t)})
 
     got = _added(wide.select("calls", "replicate").mapInArrow(run, SUM))
-    return {r: _metrics_of(np.array([got[r * most + k] for k in range(n)]), n_markers, constant[r]) for r, n in sizes.items()}
+    return {r: metrics_of(np.array([got[r * most + k] for k in range(n)]), n_markers, constant[r]) for r, n in sizes.items()}
 
 
-def _metrics_of(matrix: np.ndarray, m: int, constant: int) -> tuple[float, float]:
+def metrics_of(matrix: np.ndarray, m: int, constant: int) -> tuple[float, float]:
     values = np.linalg.eigvalsh(matrix)
     return m * m / (float((values**2).sum()) + constant), max(float(values.max(initial=0)), 1.0 if constant else 0.0)
 
 
-def _products_by(calls: DataFrame, m: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Of each replicate the sums of products of its markers' calls, and of the
-    calls: whole numbers, so exact whatever the order."""
-    wide = calls.groupBy("replicate", "i").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "d"))), lambda s: s["d"]).alias("calls"))
+def products_by(rows: DataFrame, m: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Of each replicate of ``rows`` (replicate, calls), a row a sample, the sums
+    of products of its markers' calls, and of the calls: whole numbers, so exact
+    whatever the order."""
+    step = max(1, CELLS // m)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             number = b.column(1).to_numpy()
             for r in np.unique(number).tolist():
-                x = _matrix(b.filter(pa.array(number == r)))
-                total[r] = total.get(r, 0) + np.vstack([x.T @ x, x.sum(axis=0)])
+                own = b.filter(pa.array(number == r))
+                for at in range(0, own.num_rows, step):
+                    x = _matrix(own.slice(at, step))
+                    total[r] = total.get(r, 0) + np.vstack([x.T @ x, x.sum(axis=0)])
         if total:
             yield _rows({r * (m + 1) + k: row for r, t in total.items() for k, row in enumerate(t)})
 
     got: dict[int, list] = {}
-    for at, row in sorted(_added(wide.select("calls", "replicate").mapInArrow(run, SUM)).items()):
+    for at, row in sorted(_added(rows.select("calls", "replicate").mapInArrow(run, SUM)).items()):
         got.setdefault(at // (m + 1), []).append(row)
     return {r: (np.array(rows[:-1]), rows[-1]) for r, rows in got.items()}
 
 
-def _correlations(products: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
+def correlations(products: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
     """Correlations of markers from those sums over n samples; 0 for constant ones."""
     cov = n * products - np.outer(sums, sums)
     size = np.sqrt(np.maximum(cov.diagonal(), 0))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import distance_bin, ratio
 from ..functions.columns import DISTANCE_BINS
-from . import agreement, gates, genotype, integrity, kinship, linkage, sampling, spectra
+from . import agreement, complete, gates, genotype, integrity, kinship, linkage, sampling, spectra
 
 # fixed values: the column name of each distance bin
 BIN_NAMES = dict(zip(DISTANCE_BINS, ("0_10kb", "10_50kb", "50_100kb", "100_500kb", "500kb_1Mb", "over_1Mb")))
@@ -38,12 +39,77 @@ def _by_replicate(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
     return spark.createDataFrame([tuple(rows[r].get(c) for c in schema.names) for r in sorted(rows)], schema)
 
 
+#: Replicates are numbered from 0; this one stands for a reference beside them.
+REFERENCE = -1
+FIGURES = ", ".join([
+    "replicate int, mean_maf double, median_maf double, monomorphic_markers long, maf_correlation_with_full_reference double, mean_maf_absolute_difference double, median_maf_absolute_difference double",
+    "max_maf_absolute_difference double, genotype_missingness double, heterozygosity double, median_ld_score double, effective_rank double, largest_eigenvalue double, duplicated_individuals long",
+    "identical_genotype_marker_pairs long, kinship_pairs long, kinship_median double, kinship_q95 double, kinship_max double, duplicate_MZ_pairs long, first_degree_pairs long, second_degree_pairs long",
+    *(f"pairs_{n} long, mean_r2_{n} double, median_r2_{n} double" for n in BIN_NAMES.values()),
+])
+PCA_FIGURES = ", pca_centroid_rms_z double, pca_centroid_max_abs_z double, pca_variance_ratio_median double"
+_MAF = {"correlation": "maf_correlation_with_full_reference", "mean_abs_difference": "mean_maf_absolute_difference", "median_abs_difference": "median_maf_absolute_difference", "max_abs_difference": "max_maf_absolute_difference"}
+_KIN = {"pairs": "kinship_pairs", "median": "kinship_median", "q95": "kinship_q95", "max": "kinship_max", "mz_pairs": "duplicate_MZ_pairs"}
+
+
+def _mafs(spark: SparkSession, found: dict[int, complete.Products]) -> DataFrame:
+    """replicate, j and maf: a row a marker."""
+    return spark.createDataFrame([(r, j, x) for r, p in found.items() for j, x in enumerate(p.maf.tolist())], "replicate int, j int, maf double").coalesce(1)
+
+
+def _figures(found: dict[int, complete.Products], rows: dict[str, dict[int, dict]], spots: list, fit: tuple | None, window: int) -> list[dict]:
+    """A dict of metrics of each replicate, in order; ``rows`` has what was counted over samples."""
+    out = []
+    for r, p in sorted(found.items()):
+        maf, kin = rows["maf"].get(r, {}), rows["king"].get(r, {})
+        score, bins = complete.linkage(p, spots, window)
+        rank, top = complete.eigen(p)
+        own = {"replicate": r, "mean_maf": float(p.maf.mean()), "median_maf": float(np.median(p.maf)), "monomorphic_markers": int((p.levels < 2).sum())}
+        own |= {name: maf.get(c) for c, name in _MAF.items()} | {"genotype_missingness": 0.0, "heterozygosity": float(p.hets.sum()) / (p.n * len(p.total))}
+        own |= {"median_ld_score": score, "effective_rank": rank, "largest_eigenvalue": top, "duplicated_individuals": rows["copies"][r]["duplicated"], "identical_genotype_marker_pairs": complete.equal_markers(p)}
+        own |= {_KIN.get(c, c): kin.get(c) for c in ("pairs", "median", "q95", "max", *kinship.CLASS_COUNTS)}
+        own |= {f"{c}_{n}": x for n, b in zip(BIN_NAMES.values(), bins) for c, x in zip(("pairs", "mean_r2", "median_r2"), b)}
+        if fit is not None:
+            own |= dict(zip(("pca_centroid_rms_z", "pca_centroid_max_abs_z", "pca_variance_ratio_median"), complete.displacement(p, fit)))
+        out.append(own)
+    return out
+
+
+def _counted(rows: DataFrame, markers: int, maf: DataFrame) -> dict[str, dict[int, dict]]:
+    """What is counted over samples, of each replicate: a few figures."""
+    parts = {"maf": maf, "copies": complete.copies(rows), "king": complete.king(rows, markers)}
+    return {name: {r["replicate"]: r.asDict() for r in p.collect()} for name, p in parts.items()}
+
+
+def _table(spark: SparkSession, figures: list[dict], schema: str) -> DataFrame:
+    return spark.createDataFrame([tuple(f.values()) for f in figures], schema).coalesce(1)
+
+
 def metrics_by_replicate(calls: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame | None = None, window: int = linkage.WINDOW) -> DataFrame:
     """replicate and its metrics, for panels (replicate, i, j, d) on the same
     markers (j, bp): every statistic is one job over all replicates.
 
     Samples are numbered from 0 within each replicate.  LD is measured within
-    ``window``; the PCA figures come only with a reference."""
+    ``window``; the PCA figures come only with a reference.  Complete panels of
+    at most as many markers as samples, whose matrices fit the driver, are read
+    once (``complete``); others take a job a statistic."""
+    spark, every = calls.sparkSession, calls.select("replicate", "i", "j", "d")
+    if pca_reference_calls is not None:
+        every = every.unionByName(pca_reference_calls.select(F.lit(REFERENCE).alias("replicate"), "i", "j", "d"))
+    spots = complete.spots(markers)
+    panel = complete.complete(every) if spots else None
+    if panel is None:
+        return metrics_by_statistic(calls, markers, reference_maf, pca_reference_calls, window)
+    found = complete.products(panel)
+    fit = complete.axes(found.pop(REFERENCE)) if pca_reference_calls is not None else None
+    own = panel.rows.where(F.col("replicate") != REFERENCE)
+    rows = _counted(own, panel.markers, agreement.maf_agreement(_mafs(spark, found), reference_maf, ("replicate",)))
+    panel.rows.unpersist()
+    return _table(spark, _figures(found, rows, spots, fit, window), FIGURES + (PCA_FIGURES if fit else ""))
+
+
+def metrics_by_statistic(calls: DataFrame, markers: DataFrame, reference_maf: DataFrame, pca_reference_calls: DataFrame | None = None, window: int = linkage.WINDOW) -> DataFrame:
+    """``metrics_by_replicate`` of panels of any shape."""
     by, spark = ("replicate",), calls.sparkSession
     calls = genotype.assert_hard_calls(calls).select("replicate", "i", "j", "d").cache()
     stats = genotype.marker_stats(calls, by).cache()
