@@ -309,8 +309,11 @@ kin as (select count(*) as kinship_pairs, round(median(kinship), 6) as kinship_m
 b as (select {BIN} as bin, r2 from r2), ld as (select {_BINS[2:]} from b)
 select * from maf, cells, score, copies, same, kin, ld""")
 def dataset_metric_figures(spark: SparkSession, sf: str) -> DataFrame:
-    """The figures of that vector that SQL has: all but eigenvalues and PCA."""
-    return dataset_metrics(spark, sf).drop("effective_rank", "largest_eigenvalue", "pca_centroid_rms_z", "pca_centroid_max_abs_z", "pca_variance_ratio_median")
+    """The figures of that vector that SQL has: all but eigenvalues and PCA,
+    so that of the reference only its allele frequencies are needed."""
+    g = panel(spark, sf)
+    maf = genotype.marker_stats(g.where("label < 5")).select("j", "maf")
+    return rounded(validation.dataset_metrics(g.where("label >= 5"), markers(spark), maf), 6).drop("effective_rank", "largest_eigenvalue")
 
 
 _LD_BINS = ("0_10kb", "10_50kb", "50_100kb")

@@ -52,8 +52,9 @@ def test_metrics_of_complete_panels_are_those_by_statistic(spark, replicates):
     assert {r.replicate: r.asDict() for r in more.collect()} == got  # markers that the panel lacks do not count
 
 
-def test_a_complete_panel_takes_few_jobs(spark, sf):
-    assert jobs_of(spark, "dataset_metrics", lambda: catalog.QUERIES["dataset_metrics"](spark, sf).collect()) <= 30
+@pytest.mark.parametrize("name", ["dataset_metrics", "dataset_metric_figures"])
+def test_a_complete_panel_takes_few_jobs(spark, sf, name):
+    assert jobs_of(spark, name, lambda: catalog.QUERIES[name](spark, sf).collect()) <= 30
 
 
 def test_panels_with_gaps_are_no_complete_ones(spark):
