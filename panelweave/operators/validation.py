@@ -39,8 +39,8 @@ def _by_replicate(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
     return spark.createDataFrame([tuple(rows[r].get(c) for c in schema.names) for r in sorted(rows)], schema)
 
 
-#: Replicates are numbered from 0; this one stands for a reference beside them.
-REFERENCE = -1
+#: Replicates are numbered from 0; these stand for a reference and for a whole panel beside them.
+REFERENCE, WHOLE = -1, -2
 FIGURES = ", ".join([
     "replicate int, mean_maf double, median_maf double, monomorphic_markers long, maf_correlation_with_full_reference double, mean_maf_absolute_difference double, median_maf_absolute_difference double",
     "max_maf_absolute_difference double, genotype_missingness double, heterozygosity double, median_ld_score double, effective_rank double, largest_eigenvalue double, duplicated_individuals long",
@@ -180,6 +180,65 @@ def subset_metrics(calls: DataFrame, subsets: DataFrame, markers: DataFrame, ref
     return metrics_by_replicate(chosen, markers, reference_maf, pca_reference_calls)
 
 
+#: What the summary has of a whole panel and its reference.
+_WHOLE = "hard_calls boolean, n_samples long, n_markers long, markers_in_order boolean, heterozygosity double, reference_heterozygosity double, duplicated long, first_degree_rate double, mz_rate double"
+
+
+def _at_once(synthetic: DataFrame, reference: DataFrame, markers: DataFrame, cells: int, seed: int, replicates: tuple[int, int], subset: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None:
+    """The metrics of both panels' subsets, j and maf of the whole synthetic
+    panel, and its row of ``_WHOLE``; None if the panels are not complete."""
+    spark, (of_reference, of_synthetic) = synthetic.sparkSession, replicates
+    spots = complete.spots(markers)
+    if not spots:
+        return None
+    both = complete.samples(reduce(DataFrame.unionByName, (x.select(F.lit(r).alias("replicate"), "i", "j", "d") for x, r in ((synthetic, WHOLE), (reference, REFERENCE))))).cache()
+    seen = complete.summed(both)
+    m = max((r["most"] for r in seen.values()), default=0)
+    sizes = {r: s["n"] for r, s in seen.items()}
+    if len(seen) < 2 or any(r["bad"] for r in seen.values()) or not complete.fits(seen, 2 + sum(replicates)) or min(subset, *sizes.values()) < m:
+        both.unpersist()
+        return None
+    ids = lambda r: both.where(F.col("replicate") == r).select("i")
+    of = lambda r, *draw: sampling.seeded_subsets(ids(r), "i", subset, *draw).select(F.lit(r).alias("source"), "i", "replicate")
+    sets = of(REFERENCE, of_reference, seed).unionByName(of(WHOLE, of_synthetic, seed + 1).withColumn("replicate", F.col("replicate") + of_reference))
+    chosen = both.withColumnRenamed("replicate", "source").join(sets, ["source", "i"]).select("replicate", "i", "calls").cache()
+    rows = chosen.unionByName(both.select("replicate", "i", "calls"))
+    sizes |= {r: min(subset, sizes[REFERENCE if r < of_reference else WHOLE]) for r in range(of_reference + of_synthetic)}
+    found = complete.products(complete.Complete(rows, sizes, m))
+    own, whole = found.pop(REFERENCE), found.pop(WHOLE)
+    maf = lambda p: _mafs(spark, {0: p}).select("j", "maf")
+    counted = _counted(rows.where(F.col("replicate") != REFERENCE), m, agreement.maf_agreement(_mafs(spark, found), maf(own), ("replicate",)))
+    figures = _figures(found, counted, spots, complete.axes(own), linkage.WINDOW)
+    ref = [f for f in figures if f["replicate"] < of_reference]
+    syn = [f | {"replicate": f["replicate"] - of_reference} for f in figures[len(ref) :]]
+    kin = counted["king"].get(WHOLE, {})
+    rate = lambda c: kin[c] / kin["pairs"] if kin.get("pairs") else None
+    order = [s["j"] for s in sorted(spots, key=lambda s: (s["bp"], s["j"]))] == list(range(m))
+    het = [float(p.hets.sum()) / (p.n * m) for p in (whole, own)]
+    row = (whole.n * m == cells, whole.n, m, order, *het, counted["copies"][WHOLE]["duplicated"], rate("first_degree_pairs"), rate("mz_pairs"))
+    for kept in (chosen, both):
+        kept.unpersist()
+    return _table(spark, ref, FIGURES + PCA_FIGURES), _table(spark, syn, FIGURES + PCA_FIGURES), maf(whole), spark.createDataFrame([row], _WHOLE).coalesce(1)
+
+
+def _by_statistic(synthetic: DataFrame, reference: DataFrame, markers: DataFrame, cells: int, seed: int, replicates: tuple[int, int], subset: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """As ``_at_once``, of panels of any shape."""
+    own_maf = genotype.marker_stats(reference).select("j", "maf")
+    ids = lambda c: c.select("i").distinct()
+    ref_sets = sampling.seeded_subsets(ids(reference), "i", subset, replicates[0], seed)
+    syn_sets = sampling.seeded_subsets(ids(synthetic), "i", subset, replicates[1], seed + 1)
+    ref = subset_metrics(reference, ref_sets, markers, own_maf, reference)
+    syn = subset_metrics(synthetic, syn_sets, markers, own_maf, reference)
+    king = kinship.king_metrics(kinship.king_values(synthetic)).select(ratio(F.col("first_degree_pairs"), F.col("pairs")).alias("first_degree_rate"), ratio(F.col("mz_pairs"), F.col("pairs")).alias("mz_rate"))
+    het = [genotype.panel_stats(x).select(F.col("heterozygosity").alias(n)) for x, n in ((synthetic, "heterozygosity"), (reference, "reference_heterozygosity"))]
+    shape = synthetic.agg(F.bool_and(F.coalesce(F.col("d").isin(0, 1, 2), F.lit(False))).alias("hard_calls"), F.count_distinct("i").alias("n_samples"), F.count_distinct("j").alias("n_markers"), (F.count("*") == cells).alias("complete"))
+    shape = shape.select((F.col("hard_calls") & F.col("complete")).alias("hard_calls"), "n_samples", "n_markers")
+    # the same markers, in the order of their positions
+    place = lambda rows, *by: rows.select("j", F.row_number().over(W.orderBy(*by)).alias("place"))
+    order = integrity.ordered_identity(place(synthetic.select("j").distinct(), "j"), place(markers, "bp", "j"), "place").select(F.col("identical").alias("markers_in_order"))
+    return ref, syn, genotype.marker_stats(synthetic).select("j", "maf"), _beside([shape, order, *het, genotype.duplicated_rows(synthetic), king])
+
+
 def validate_panel(
     ancestry: str, synthetic: DataFrame, reference: DataFrame, markers: DataFrame, full_reference_maf: DataFrame, n_samples: int, n_markers: int, seed: int,
     reference_replicates: int = 20, synthetic_replicates: int = 5, subset: int = 200, round_trip: bool = True,
@@ -188,27 +247,19 @@ def validate_panel(
 
     Matched random subsets of both give metric vectors; the synthetic ones are
     divided by the mean of the reference's.  Close pairs of the whole panel are
-    compared with the 97.5 % quantile of the reference subsets' rates.
+    compared with the 97.5 % quantile of the reference subsets' rates.  Complete
+    panels, as in ``metrics_by_replicate``, are read once with all their subsets.
     """
-    own_maf = genotype.marker_stats(reference).select("j", "maf")
-    ids = lambda c: c.select("i").distinct()
-    ref_sets = sampling.seeded_subsets(ids(reference), "i", subset, reference_replicates, seed)
-    syn_sets = sampling.seeded_subsets(ids(synthetic), "i", subset, synthetic_replicates, seed + 1)
-    ref = subset_metrics(reference, ref_sets, markers, own_maf, reference)
-    syn = subset_metrics(synthetic, syn_sets, markers, own_maf, reference)
+    given = synthetic, reference, markers, n_samples * n_markers, seed, (reference_replicates, synthetic_replicates), subset
+    ref, syn, own_maf, whole = _at_once(*given) or _by_statistic(*given)
     names = {f"mean_r2_{n}": f"ld_ratio_{n}" for n in ("0_10kb", "10_50kb", "50_100kb")} | {"median_ld_score": "ld_score_ratio", "effective_rank": "effective_rank_ratio", "largest_eigenvalue": "largest_eigenvalue_ratio"}
     base = ref.agg(*(F.avg(m).alias(f"base_{m}") for m in names))
     ratios = syn.join(base).agg(*(F.array_sort(F.collect_list(F.coalesce(ratio(F.col(m), F.col(f"base_{m}")), F.lit(float("nan"))))).alias(n) for m, n in names.items()), F.array_sort(F.collect_list("pca_centroid_rms_z")).alias("pca_rms_z"))
     rates = ref.select((F.col("first_degree_pairs") / F.col("kinship_pairs")).alias("f"), (F.col("duplicate_MZ_pairs") / F.col("kinship_pairs")).alias("m"))
     limits = rates.agg(F.percentile("f", F.lit(0.975)).alias("first_degree_limit"), F.percentile("m", F.lit(0.975)).alias("mz_limit"))
-    king = kinship.king_metrics(kinship.king_values(synthetic)).select(ratio(F.col("first_degree_pairs"), F.col("pairs")).alias("first_degree_rate"), ratio(F.col("mz_pairs"), F.col("pairs")).alias("mz_rate"))
-    maf = agreement.maf_agreement(genotype.marker_stats(synthetic), full_reference_maf).select(F.col("correlation").alias("maf_correlation"), F.col("abs_difference_of_means").alias("mean_maf_difference"))
-    het = _beside([genotype.panel_stats(x).select(F.col("heterozygosity").alias(n)) for x, n in ((synthetic, "heterozygosity"), (reference, "reference_heterozygosity"))]).withColumn("heterozygosity_difference", F.abs(F.col("heterozygosity") - F.col("reference_heterozygosity")))
-    shape = synthetic.agg(F.bool_and(F.coalesce(F.col("d").isin(0, 1, 2), F.lit(False))).alias("hard_calls"), F.count_distinct("i").alias("n_samples"), F.count_distinct("j").alias("n_markers"), (F.count("*") == n_samples * n_markers).alias("complete"))
-    shape = shape.select((F.col("hard_calls") & F.col("complete")).alias("hard_calls"), "n_samples", "n_markers", F.lit(n_samples).alias("expected_samples"), F.lit(n_markers).alias("expected_markers"))
-    # the same markers, in the order of their positions
-    place = lambda rows, *by: rows.select("j", F.row_number().over(W.orderBy(*by)).alias("place"))
-    order = integrity.ordered_identity(place(synthetic.select("j").distinct(), "j"), place(markers, "bp", "j"), "place").select(F.col("identical").alias("markers_in_order"))
-    copies = genotype.duplicated_rows(synthetic)
-    summary = _beside([shape, order, maf, het, ratios, copies, king, limits]).select(F.lit(ancestry).alias("ancestry"), "*", F.lit(round_trip).alias("round_trip")).cache()
+    maf = agreement.maf_agreement(own_maf, full_reference_maf).select(F.col("correlation").alias("maf_correlation"), F.col("abs_difference_of_means").alias("mean_maf_difference"))
+    expected = [F.lit(n_samples).alias("expected_samples"), F.lit(n_markers).alias("expected_markers")]
+    het = F.abs(F.col("heterozygosity") - F.col("reference_heterozygosity")).alias("heterozygosity_difference")
+    columns = ["hard_calls", "n_samples", "n_markers", *expected, "markers_in_order", *maf.columns, "heterozygosity", "reference_heterozygosity", het, *ratios.columns, "duplicated", "first_degree_rate", "mz_rate", *limits.columns]
+    summary = _beside([whole, maf, ratios, limits]).select(F.lit(ancestry).alias("ancestry"), *columns, F.lit(round_trip).alias("round_trip")).cache()
     return Validation(summary, gates.evaluate(summary), ref, syn)
