@@ -142,3 +142,13 @@ def value_counts(first: int, last: int, values: np.ndarray) -> list[np.ndarray]:
     """value and pairs: how many of a piece's values are the same."""
     found, pairs = np.unique(values, return_counts=True)
     return [found.astype(np.float64), pairs.astype(np.int64)]
+
+
+def row_figures(first: int, last: int, values: np.ndarray) -> list[np.ndarray]:
+    """i1, pairs, low and high of each row of a piece that has a kinship: how many, the least and the greatest."""
+    rows = np.arange(first, last)
+    at, there = rows * (rows - 1) // 2 - first * (first - 1) // 2, ~np.isnan(values)
+    pairs = rows if there.all() else np.add.reduceat(there, at, dtype=np.int64)
+    keep = pairs > 0
+    found = [f.reduceat(values, at)[keep].astype(np.float64) for f in (np.fmin, np.fmax)]
+    return [rows[keep].astype(np.int32), pairs[keep].astype(np.int64), *found]

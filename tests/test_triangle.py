@@ -73,7 +73,21 @@ def test_full_panel_refuses_kinships_that_are_not_finite(spark, tmp_path):
         kinship.full_panel(rows)
 
 
-@pytest.mark.parametrize("name", ["full_panel_king"])
+def test_figures_of_rows(spark, tmp_path, monkeypatch):
+    """Pairs without a kinship do not count, nor does a row that has none."""
+    monkeypatch.setattr(triangle, "PIECE", 20)
+    g = panel_of(5)
+    g[0], g[1] = 0, 2
+    rows = triangle.through_pieces(calls_of(spark, g), 23, str(tmp_path), triangle.row_figures, "i1 int, pairs long, low double, high double").collect()
+    want = {}
+    for (_, b), x in expected(g, range(23)).items():
+        want.setdefault(b, []).append(float(np.float32(x)))
+    assert 1 not in want and len(want[4]) < 4
+    assert {r.i1: (r.pairs, r.low, r.high) for r in rows} == {b: (len(x), min(x), max(x)) for b, x in want.items()} and len(rows) == len(want)
+    assert os.listdir(tmp_path) == ["planes.bin"]
+
+
+@pytest.mark.parametrize("name", ["full_panel_king", "triangle_round_trip"])
 def test_queries_leave_no_triangle(spark, sf, tmp_path, monkeypatch, name):
     """The pairs of the panel are not on the disk at the end, nor all at once before."""
     monkeypatch.setattr(file_queries, "work_folder", lambda spark, name: str(tmp_path))
