@@ -116,7 +116,8 @@ def pair_equivalence(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
 
 
 def calls_differ(a: DataFrame, b: DataFrame) -> DataFrame:
-    """differences of two decoders' (i, j, d), for round trips."""
+    """differences of two decoders' (i, j, d), for round trips; ``d`` may be the
+    calls of several samples from ``i`` on, which are then one difference at most."""
     both = a.select("i", "j", F.struct("d").alias("x")).join(b.select("i", "j", F.struct("d").alias("y")), ["i", "j"], "full")
     return both.agg(F.count_if(~F.col("x").eqNullSafe(F.col("y"))).alias("differences"))
 

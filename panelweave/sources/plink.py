@@ -23,7 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 
 from ..functions import require
 from ..functions.shared import open_input as _open
-from ..operators import scans
+from ..operators import integrity, scans
 from . import sinks
 from .text import with_line_number
 
@@ -174,8 +174,9 @@ def decode_block(block: Column, n: int | Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n) - 1 if isinstance(n, int) else n - 1), call)
 
 
-def read_calls_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES, piece: int = PIECE) -> DataFrame:
-    """i, j, d of a BED file through ``decode_block``: tasks read byte ranges, of
+def read_pieces_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES, piece: int = PIECE) -> DataFrame:
+    """j, first and calls of each piece (``piece`` bytes of a marker, from sample
+    ``first`` on) of a BED file through ``decode_block``: tasks read byte ranges, of
     a marker or of several, and cut them into pieces, which SQL functions decode."""
     width = -(-n_samples // 4)
     with _open(path) as file:
@@ -200,7 +201,22 @@ def read_calls_sql(spark: SparkSession, path: str, n_samples: int, range_bytes:
     tasks = -(-total // step)
     pieces = spark.range(0, tasks, 1, max(1, tasks)).mapInArrow(run, "j int, first int, block binary")
     held = F.least(4 * F.length("block"), F.lit(n_samples) - F.col("first"))
-    return pieces.select("j", "first", F.posexplode(decode_block(F.col("block"), held)).alias("k", "d")).select((F.col("first") + F.col("k")).alias("i"), "j", "d")
+    return pieces.select("j", "first", decode_block(F.col("block"), held).alias("calls"))
+
+
+def read_calls_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES, piece: int = PIECE) -> DataFrame:
+    """i, j, d of a BED file by ``read_pieces_sql``."""
+    pieces = read_pieces_sql(spark, path, n_samples, range_bytes, piece)
+    return pieces.select("j", "first", F.posexplode("calls").alias("k", "d")).select((F.col("first") + F.col("k")).alias("i"), "j", "d")
+
+
+def decoders_differ(spark: SparkSession, path: str, n_samples: int, piece: int = PIECE) -> DataFrame:
+    """differences: pieces of a BED file in which the two decoders disagree on any
+    call, or that one of them lacks.  Both sides travel as a list of calls a piece."""
+    first = F.sequence(F.lit(0), F.lit(max(n_samples - 1, 0)), F.lit(4 * piece))
+    cut = F.transform(first, lambda f: F.struct(f.alias("i"), F.slice("calls", f + 1, 4 * piece).alias("d")))
+    one = read_bed(spark, path, n_samples).select("j", F.inline(cut))
+    return integrity.calls_differ(one, read_pieces_sql(spark, path, n_samples, piece=piece).select("j", F.col("first").alias("i"), F.col("calls").alias("d")))
 
 
 def read_bed_sql(spark: SparkSession, path: str, n_samples: int, range_bytes: int = SQL_BYTES) -> DataFrame:
